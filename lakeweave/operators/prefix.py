@@ -13,9 +13,16 @@ is split in two phases:
    give each slice its carry-in from the earlier slices, joined back on
    ``(keys, partition)``.
 
-Cost: one range shuffle (plus its sampling pass), one hash shuffle, and a
-small aggregate + join.  Requires ``order`` to be a total order per key
-(break ties on every column) so the result does not depend on layout.
+The slice number is physical (``spark_partition_id`` after the range
+shuffle) and the range bounds are sampled from input whose row order is
+not fixed, so the sliced data is checkpointed once into the shared
+``spark.checkpoint.dir``: every later branch (local scan, slice totals,
+retries after a lost executor) sees the same slice numbers.
+
+Cost: one range shuffle (plus its sampling pass) written once as a
+checkpoint, one hash shuffle, and a small aggregate + join.  Requires
+``order`` to be a total order per key (break ties on every column) so the
+result does not depend on layout.
 """
 
 from __future__ import annotations
@@ -25,6 +32,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_root
+
 _PART = "_scan_part"
 
 
@@ -35,9 +44,12 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
 def ranged(df: DataFrame, keys: list[str], order_by: list[str], partitions: int | None = None) -> DataFrame:
     """Phase-1 layout: contiguous ``(keys, order)`` slices, tagged with their
     slice number."""
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared_root(spark)          # checkpoint dir: the cluster's, or a local one in tests
     return df.repartitionByRange(parts, *[F.col(c) for c in keys + order_by]) \
-        .withColumn(_PART, F.spark_partition_id())
+        .withColumn(_PART, F.spark_partition_id()) \
+        .checkpoint(eager=True)
 
 
 def scan_slices(sliced: DataFrame, keys: list[str], order_by: list[str],
