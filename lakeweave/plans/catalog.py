@@ -170,4 +170,5 @@ def q_flagship(spark, sf):
 
 
 def all_queries() -> dict:
-    return dict(batch_queries())
+    from .streams import stream_queries
+    return {**batch_queries(), **stream_queries()}

@@ -355,4 +355,30 @@ FROM movements""",
         "customer_classify": _classify(),
         "payable_orders": _with(ORD_CTE, SILVER_ORD) + """SELECT order_id, customer_id, total_amount AS amount
 FROM silver_orders WHERE coalesce(order_status <> 'cancelled', true)""",
+        **_stream_sql(),
+    }
+
+
+def _text(col: str) -> str:
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f') AS {col}"
+
+
+def _stream_sql() -> dict[str, str]:
+    """Streaming queries equal their batch counterparts (through the
+    current-state view); append mode keeps only windows whose end the final
+    watermark (max event time - 10 minutes) has reached."""
+    rev = _gold_revenue("5 minutes")
+    return {
+        "bronze_payments_stream": _with(PAY_CTE) + "SELECT * FROM bronze_payments",
+        "silver_dedup_stream": _with(PAY_CTE, SILVER_PAY) + 'SELECT * EXCLUDE ("offset") FROM silver_payments',
+        "gold_revenue_stream_current": rev,
+        "gold_revenue_stream_final": f"""SELECT * FROM ({rev}) g
+WHERE window_end <= (SELECT max({_parse('created_at')}) FROM ({_with(PAY_CTE, SILVER_PAY)} SELECT created_at FROM silver_payments) m) - INTERVAL '10 minutes'""",
+        "load_revenue": f"""SELECT {_text('window_start')}, {_text('window_end')}, total_revenue, transaction_count
+FROM ({rev}) g""",
+        "load_products": f"""SELECT {_text('window_start')}, {_text('window_end')}, product_id, product_name,
+  total_quantity_sold FROM ({_gold_units('1 hour')}) g""",
+        "load_activity": f"""SELECT {_text('window_start')}, {_text('window_end')}, customer_id, order_count,
+  total_spent, strftime(last_order_at, '%Y-%m-%d %H:%M:%S.%f') AS last_order_at
+FROM ({_gold_activity('1 hour')}) g""",
     }
