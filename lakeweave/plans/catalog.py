@@ -19,7 +19,10 @@ from ..operators.bronze import corrupt_split, to_bronze
 from ..operators.dedup import dedup_latest
 from ..operators.quality import layer_counts
 from ..operators.silver import reject_counts, silver_entity, to_silver
-from ..schemas import ENTITY
+from ..schemas import ENTITY, bronze_schema
+from ..session import scratch
+from ..sinks.files import write_layer
+from ..sources.layers import read_layer
 from ..sources.testdata import messages
 
 CORRUPT = "_corrupt_record"
@@ -27,11 +30,23 @@ CORRUPT = "_corrupt_record"
 
 # --- layer builders over the test tables ----------------------------------
 def bronze(spark: SparkSession, sf_dir: str, topic: str, corrupt_col: str | None = None) -> DataFrame:
-    return to_bronze(messages(spark, sf_dir, topic), ENTITY[topic], corrupt_col=corrupt_col, stamp=False)
+    """Bronze layer of one topic, materialised as Parquet in the shared
+    folder (as the bronze job does) and read back with its declared schema.
 
+    Downstream filters then reach the Parquet scan (pushdown, pruning)
+    instead of being pushed into the JSON parse, where Catalyst would
+    re-evaluate ``from_json`` once per predicate, and every consumer in the
+    query reads the same rows without re-deriving them.
+    """
+    path = scratch(spark, f"bronze-{topic}")
+    write_layer(to_bronze(messages(spark, sf_dir, topic), ENTITY[topic],
+                          corrupt_col=corrupt_col, stamp=False), path)
+    return read_layer(spark, path, bronze_schema(ENTITY[topic], stamp=False, corrupt_col=corrupt_col))
 
-def silver(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
-    return silver_entity(bronze(spark, sf_dir, topic), topic, stamp=False)
+
+def silver(spark: SparkSession, sf_dir: str, topic: str, bronze_df: DataFrame | None = None) -> DataFrame:
+    src = bronze_df if bronze_df is not None else bronze(spark, sf_dir, topic)
+    return silver_entity(src, topic, stamp=False)
 
 
 def _round(df: DataFrame, *cols: str) -> DataFrame:
@@ -111,8 +126,11 @@ def _gold(name: str, duration: str):
 
 # --- quality ----------------------------------------------------------------
 def q_layer_counts(spark, sf):
-    return layer_counts({t: (bronze(spark, sf, t), silver(spark, sf, t))
-                         for t in ("orders", "payments", "inventory")})
+    layers = {}
+    for t in ("orders", "payments", "inventory"):
+        b = bronze(spark, sf, t)
+        layers[t] = (b, silver(spark, sf, t, bronze_df=b))
+    return layer_counts(layers)
 
 
 # --- business rules ---------------------------------------------------------

@@ -43,6 +43,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (a few large row groups) before CPU-heavy per-row work such as
+    JSON encoding.  A scan of many files already has enough partitions and
+    is left alone, so no shuffle is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _pick(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]),
                         (F.pmod(index, F.lit(len(values))) + 1).cast("int"))
@@ -80,7 +91,7 @@ def _envelope(records: DataFrame, topic: str, broken: Column | None) -> DataFram
 
 def payment_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> payments topic (one payment per event)."""
-    ev = table(spark, sf_dir, "events").select(
+    ev = spread(table(spark, sf_dir, "events")).select(
         "event_id", "ts", "user_id", "event_type", "value", _copies(F.col("event_id")).alias("copy"))
     e = F.col("event_id")
     rec = ev.select(
@@ -187,7 +198,7 @@ def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    lines = li.join(part, li["l_partkey"] == part["p_partkey"], "inner")
+    lines = spread(li).join(part, li["l_partkey"] == part["p_partkey"], "inner")
     k = F.col("l_orderkey")
     qty = F.col("l_quantity").cast("int")
     stamp = iso_utc(_order_time(k, F.col("l_shipdate")))
@@ -213,7 +224,7 @@ def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` of type signup/click -> customers topic.  Every event
     carries its own name/email/phone; R4 restores the first ones."""
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("signup", "click"))
+    ev = spread(table(spark, sf_dir, "events")).filter(F.col("event_type").isin("signup", "click"))
     e, u = F.col("event_id"), F.col("user_id")
     stamp = iso_utc(F.col("ts"))
     rec = ev.select(
