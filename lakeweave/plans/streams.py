@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators import gold
 from ..operators.bronze import to_bronze
@@ -27,7 +26,6 @@ from ..streaming.runner import run_append, run_update
 
 SLICES = 3
 DELAY = "10 minutes"
-_SLICE = "_slice"
 
 
 def _run(query) -> None:
@@ -37,23 +35,23 @@ def _run(query) -> None:
 
 
 def write_time_slices(df: DataFrame, ts: str, root: str, slices: int = SLICES) -> list[DataFrame]:
-    """Materialise ``df`` once, partitioned into ``slices`` event-time ranges
-    of equal width; return one lazily-read DataFrame per slice (partition
-    pruning reads only that folder)."""
-    bounds = df.agg(F.min(ts).cast("double").alias("lo"), F.max(ts).cast("double").alias("hi")).first()
+    """Materialise ``df`` once, then return ``slices`` event-time ranges of
+    equal width, each a lazy filtered read of that copy.  The bounds come
+    from a one-row min/max aggregate."""
+    spark = df.sparkSession
+    write_layer(df, f"{root}/all")
+    full = read_layer(spark, f"{root}/all", df.schema)
+    bounds = full.agg(F.min(ts).cast("double").alias("lo"), F.max(ts).cast("double").alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     width = max((hi - lo) / slices, 1e-6) if lo is not None else 1.0
     sid = F.least(F.floor((F.col(ts).cast("double") - F.lit(lo or 0.0)) / F.lit(width)),
-                  F.lit(slices - 1)).cast("int")
-    write_layer(df.withColumn(_SLICE, sid), f"{root}/all", partition_by=[_SLICE])
-    schema = StructType(list(df.schema.fields) + [StructField(_SLICE, IntegerType(), True)])
-    full = df.sparkSession.read.schema(schema).parquet(f"{root}/all")
-    return [full.filter(F.col(_SLICE) == i).drop(_SLICE) for i in range(slices)]
+                  F.lit(slices - 1))
+    return [full.filter(sid == i) for i in range(slices)]
 
 
 def _silver_batch(spark: SparkSession, sf: str, topic: str) -> DataFrame:
-    bronze = to_bronze(messages(spark, sf, topic), ENTITY[topic], stamp=False)
-    return silver_entity(bronze, topic, stamp=False)
+    from .catalog import silver
+    return silver(spark, sf, topic)
 
 
 def stream_gold_log(spark: SparkSession, sf: str, name: str, duration: str,
@@ -113,7 +111,7 @@ def q_silver_dedup_stream(spark, sf):
     b_schema = bronze_schema(ENTITY["payments"], stamp=True)
     src, out, ckpt = f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoints/silver"
     bronze = to_bronze(messages(spark, sf, "payments"), ENTITY["payments"], stamp=True)
-    write_layer(bronze, f"{root}/bronze_once")
+    write_layer(bronze, f"{root}/bronze_once")   # one copy, fed twice below
     once = read_layer(spark, f"{root}/bronze_once", b_schema)
     for _ in range(2):
         once.write.mode("append").parquet(src)
