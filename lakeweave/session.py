@@ -63,10 +63,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/lakeweave/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of ``path`` (works
     for any scheme the cluster has configured)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _fs_path(spark, path)
     return bool(fs.exists(p))
+
+
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` (and parents) if absent, so a layer that has not
+    received data yet reads as zero rows and a file stream can start."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        fs.mkdirs(p)

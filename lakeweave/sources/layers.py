@@ -10,16 +10,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..session import ensure_dir
+
 
 def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Batch scan of every Parquet file under ``path``.  Filters and
-    column selections on the result reach the scan (pushdown, pruning)."""
+    column selections on the result reach the scan (pushdown, pruning).
+    A folder that does not exist yet is created and reads as zero rows."""
+    ensure_dir(spark, path)
     return spark.read.schema(schema).option("recursiveFileLookup", "false").parquet(path)
 
 
 def read_layer_stream(spark: SparkSession, path: str, schema: StructType,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """File stream over a layer folder, pinned schema."""
+    """File stream over a layer folder, pinned schema; the folder is
+    created first so the query can start before any data arrives."""
+    ensure_dir(spark, path)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import path_exists
+from ..session import ensure_dir, path_exists
 
 
 def trigger_kwargs(trigger: str) -> dict:
@@ -65,6 +65,7 @@ def run_update(df: DataFrame, path: str, checkpoint: str, trigger: str = "30 sec
     if has_out != has_ckpt:
         raise RuntimeError(
             f"output {path!r} and checkpoint {checkpoint!r} must both exist or both be new")
+    ensure_dir(spark, path)     # created with the checkpoint, even if no batch runs
     w = (df.writeStream.outputMode("update")
          .foreachBatch(batch_writer(path))
          .option("checkpointLocation", checkpoint)
