@@ -112,7 +112,7 @@ ORD_CTE = f"""ord_lines AS (
     CASE WHEN {_every('o_orderkey', BAD)} THEN 'garbage'
          ELSE {_iso('o_orderdate + to_seconds(o_orderkey % 86400)')} END AS f_created_at,
     'order_created' AS f_event_type,
-    coalesce(n_items, 0) AS f_item_count,
+    CAST(coalesce(n_items, 0) AS INTEGER) AS f_item_count,
     CAST(o_custkey % {td.TOPIC_PARTITIONS} AS INTEGER) AS "partition",
     o_orderkey * 2 + copy AS "offset",
     CAST(o_orderdate + to_seconds(o_orderkey % 86400) AS TIMESTAMP) AS kafka_timestamp,

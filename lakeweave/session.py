@@ -8,6 +8,7 @@ checkpoints and streaming state from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -51,11 +52,17 @@ def shared_root(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="lakeweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # noqa: BLE001
+            pass
     return base.rstrip("/")
 
 
@@ -65,21 +72,42 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    """Hadoop FileSystem + Path for ``path``, or None without JVM access
+    (e.g. a Spark Connect client)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    except Exception:  # noqa: BLE001 - no classic JVM gateway
+        return None
+
+
+def _local(path: str) -> str | None:
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    return path if "://" not in path else None
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of ``path`` (works
     for any scheme the cluster has configured)."""
-    fs, p = _fs_path(spark, path)
+    fsp = _fs_path(spark, path)
+    if fsp is None:
+        local = _local(path)
+        return bool(local) and os.path.exists(local)
+    fs, p = fsp
     return bool(fs.exists(p))
 
 
 def ensure_dir(spark: SparkSession, path: str) -> None:
     """Create ``path`` (and parents) if absent, so a layer that has not
     received data yet reads as zero rows and a file stream can start."""
-    fs, p = _fs_path(spark, path)
+    fsp = _fs_path(spark, path)
+    if fsp is None:
+        local = _local(path)
+        if local:
+            os.makedirs(local, exist_ok=True)
+        return
+    fs, p = fsp
     if not fs.exists(p):
         fs.mkdirs(p)

@@ -48,9 +48,12 @@ def spread(df: DataFrame) -> DataFrame:
     cores (a few large row groups) before CPU-heavy per-row work such as
     JSON encoding.  A scan of many files already has enough partitions and
     is left alone, so no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave the scan as is
+        pass
     return df
 
 
