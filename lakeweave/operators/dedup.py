@@ -1,6 +1,6 @@
 """De-duplication.
 
-D1 is the reference behaviour on streams: first row seen per key within
+D1 is the original streaming behaviour: first row seen per key within
 the watermark delay.  The batch forms keep exactly one row per key under
 a total order, and are written as a grouped ``min``/``max`` of a struct
 rather than ``row_number() OVER (PARTITION BY key ...)``: the aggregate

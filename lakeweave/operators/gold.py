@@ -25,7 +25,7 @@ def _watermarked(df: DataFrame, delay: str | None) -> DataFrame:
 def _exclude(df: DataFrame, exclude_status: tuple[str, ...] | list[str]) -> DataFrame:
     if not exclude_status:
         return df
-    # NULL status is kept, as in the reference (no status rule at all).
+    # NULL status is kept (the original aggregates had no status rule at all).
     return df.filter(F.coalesce(~F.col("order_status").isin(*exclude_status), F.lit(True)))
 
 
@@ -62,7 +62,7 @@ def order_items(silver_orders: DataFrame) -> DataFrame:
 def product_units(silver_orders: DataFrame, duration: str, delay: str | None = None,
                   exclude_status: tuple[str, ...] = ()) -> DataFrame:
     """A2: per (window, product_id, product_name) ``total_quantity_sold``.
-    Watermark is set after the explode, as in the reference."""
+    Watermark is set after the explode, as in the original job."""
     exploded = order_items(_exclude(silver_orders, exclude_status))
     agg = (_watermarked(exploded, delay)
            .groupBy(F.window(TS, duration), "product_id", "product_name")
