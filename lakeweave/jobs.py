@@ -53,12 +53,13 @@ def bronze_job(spark: SparkSession, topic: str, envelope: DataFrame, out: str, c
 
 def silver_job(spark: SparkSession, topic: str, root: str, trigger: str = SILVER_TRIGGER,
                delay: str = DELAY, max_files_per_trigger: int | None = None):
-    """S2 -> P5, F6 -> W1 + D1 -> P6 -> K2 for one entity."""
+    """S2 -> P5, F6 -> W1 + D1 -> P6 -> K2 for one entity.  Per-rule reject
+    counts appear in ``query.lastProgress["observedMetrics"]["<topic>_rejects"]``."""
     src, _ = _paths(root, "bronze", topic)
     out, ckpt = _paths(root, "silver", topic)
     bronze = read_layer_stream(spark, src, bronze_schema(ENTITY[topic]), max_files_per_trigger)
-    return run_append(silver_entity(bronze, topic, delay=delay), out, ckpt, trigger,
-                      query_name=f"silver_{topic}")
+    silver = silver_entity(bronze, topic, delay=delay, observe=f"{topic}_rejects")
+    return run_append(silver, out, ckpt, trigger, query_name=f"silver_{topic}")
 
 
 def gold_job(spark: SparkSession, name: str, duration: str, root: str, trigger: str = GOLD_TRIGGER,
