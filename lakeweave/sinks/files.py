@@ -22,6 +22,12 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def publish(messages: DataFrame, bootstrap: str) -> None:
+    """K6 sink: write ``(key, value, topic)`` rows to their topics.  Needs
+    the ``spark-sql-kafka`` connector on the classpath."""
+    messages.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save()
+
+
 def create_database(spark: SparkSession, name: str) -> None:
     """K7: idempotent namespace creation."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
@@ -29,7 +35,8 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 def load_table(spark: SparkSession, folder: str, schema: StructType, keys: list[str],
                columns: list[str], target: str, current: bool = True,
-               text_timestamps: bool = True, logged: bool = True) -> DataFrame | None:
+               text_timestamps: bool = True, logged: bool = True,
+               jdbc: dict | None = None) -> DataFrame | None:
     """K4: full refresh of ``target`` from every Parquet file of ``folder``.
 
     * S5/U1: one scan of the whole folder with the declared schema (files
@@ -43,6 +50,8 @@ def load_table(spark: SparkSession, folder: str, schema: StructType, keys: list[
       returned (the original returned before truncating).
 
     ``target`` containing ``/`` is a Parquet path, otherwise a table name.
+    With ``jdbc`` (``url``, credentials, driver ...) ``target`` is the remote
+    table: it is truncated and refilled in one overwrite, keeping its DDL.
     Returns the loaded target as a DataFrame.
     """
     src_schema = with_batch_id(schema) if logged else schema
@@ -53,6 +62,10 @@ def load_table(spark: SparkSession, folder: str, schema: StructType, keys: list[
     out = rows.select(*columns)
     if text_timestamps:
         out = timestamps_as_text(out)
+    if jdbc is not None:
+        (out.write.format("jdbc").options(**jdbc).option("dbtable", target)
+         .option("truncate", "true").mode("overwrite").save())
+        return spark.read.format("jdbc").options(**jdbc).option("dbtable", target).load()
     if "/" in target:
         out.write.mode("overwrite").parquet(target)
         return spark.read.parquet(target)

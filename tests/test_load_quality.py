@@ -52,3 +52,5 @@ def test_layer_counts(spark):
     got = {r.topic: (r.bronze_rows, r.silver_rows)
            for r in layer_counts({"orders": (b, s), "payments": (s, s)}).collect()}
     assert got == {"orders": (10, 7), "payments": (7, 7)}
+    empty = spark.range(0)
+    assert [tuple(r) for r in layer_counts({"inventory": (empty, empty)}).collect()] == [("inventory", 0, 0)]
