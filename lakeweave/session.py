@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     # Stateful streaming: RocksDB keeps large key sets off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Upload only the changelog of each micro-batch, not a full state snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
