@@ -52,13 +52,14 @@ def bronze_job(spark: SparkSession, topic: str, envelope: DataFrame, out: str, c
 
 
 def silver_job(spark: SparkSession, topic: str, root: str, trigger: str = SILVER_TRIGGER,
-               delay: str = DELAY, max_files_per_trigger: int | None = None):
+               delay: str = DELAY, max_files_per_trigger: int | None = None, salt_buckets: int = 0):
     """S2 -> P5, F6 -> W1 + D1 -> P6 -> K2 for one entity.  Per-rule reject
     counts appear in ``query.lastProgress["observedMetrics"]["<topic>_rejects"]``."""
     src, _ = _paths(root, "bronze", topic)
     out, ckpt = _paths(root, "silver", topic)
     bronze = read_layer_stream(spark, src, bronze_schema(ENTITY[topic]), max_files_per_trigger)
-    silver = silver_entity(bronze, topic, delay=delay, observe=f"{topic}_rejects")
+    silver = silver_entity(bronze, topic, delay=delay, observe=f"{topic}_rejects",
+                           salt_buckets=salt_buckets)
     return run_append(silver, out, ckpt, trigger, query_name=f"silver_{topic}")
 
 
@@ -105,6 +106,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--target", default=None)
     p.add_argument("--raw", action="store_true", help="load the raw update log, not the current view")
+    p.add_argument("--salt-buckets", type=int, default=0, help="two-level stream dedup for hot keys")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
@@ -120,7 +122,7 @@ def main(argv: list[str] | None = None) -> None:
         out, ckpt = (a.out, a.checkpoint) if a.out else _paths(a.root, "bronze", a.topic)
         q = bronze_job(spark, a.topic, env, out, ckpt, a.trigger or BRONZE_TRIGGER)
     elif a.job == "silver":
-        q = silver_job(spark, a.topic, a.root, a.trigger or SILVER_TRIGGER)
+        q = silver_job(spark, a.topic, a.root, a.trigger or SILVER_TRIGGER, salt_buckets=a.salt_buckets)
     else:
         q = gold_job(spark, a.name, a.duration, a.root, a.trigger or GOLD_TRIGGER)
     q.awaitTermination()         # W9: run until stopped; restarts belong to the cluster manager

@@ -54,14 +54,15 @@ def observe_rejects(bronze_typed: DataFrame, rules: list[Rule], name: str) -> Da
 
 def silver_entity(bronze: DataFrame, entity: str, stamp: bool = True,
                   delay: str = "10 minutes", reject_nan: bool = False,
-                  observe: str | None = None) -> DataFrame:
+                  observe: str | None = None, salt_buckets: int = 0) -> DataFrame:
     """Whole silver job for one entity, batch or stream.
 
     Stream: rules -> watermark + ``dropDuplicatesWithinWatermark`` (D1).
     Batch: rules -> keep first arrival per key (same result as D1 when no
     duplicate outlives the delay).  With ``observe`` the per-rule reject
     counts of every (micro-)batch are published as observed metrics under
-    that name.
+    that name.  ``salt_buckets`` spreads hot keys in the stream dedup (see
+    ``dedup_stream``).
     """
     rules = rules_for(entity, reject_nan=reject_nan)
     key = ENTITY_KEY[entity]
@@ -70,7 +71,7 @@ def silver_entity(bronze: DataFrame, entity: str, stamp: bool = True,
         typed = observe_rejects(typed, rules, observe)
     clean = typed.filter(all_pass(rules))
     if clean.isStreaming:
-        out = dedup_stream(clean, key, delay=delay)
+        out = dedup_stream(clean, key, delay=delay, salt_buckets=salt_buckets)
     else:
         out = dedup_first(clean, key, ARRIVAL_ORDER)
     if stamp:

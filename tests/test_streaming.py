@@ -106,3 +106,24 @@ def test_batch_only_operators_refuse_streams(spark, tmp):
         dedup_latest(stream, "payment_id", ["created_at_ts"])
     with pytest.raises(ValueError):
         current_state(stream, ["payment_id"])
+
+
+def test_salted_stream_dedup_spreads_hot_key(spark, tmp):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    rows = [("hot" if i % 3 == 0 else f"P{i}", float(i), T(2024, 1, 1) + dt.timedelta(seconds=i % 60))
+            for i in range(1500)]
+    results = {}
+    for salt in (0, 8):
+        src, out, ckpt = f"{tmp}/src{salt}", f"{tmp}/out{salt}", f"{tmp}/ckpt{salt}"
+        _write(spark, rows, src)
+        q = run_append(dedup_stream(read_layer_stream(spark, src, schema), "payment_id", salt_buckets=salt),
+                       out, ckpt, trigger="availableNow")
+        _run(q)
+        got = spark.read.schema(schema).parquet(out)
+        results[salt] = sorted(r.payment_id for r in got.collect())
+        ops = q.recentProgress[0]["stateOperators"]
+        assert len(ops) == (2 if salt else 1)
+        if salt:
+            totals = sorted(o["numRowsTotal"] for o in ops)
+            assert totals == [1001, 1000 + 8]              # salt level keeps the hot key once per salt
+    assert results[0] == results[8] and len(results[8]) == 1001
