@@ -36,11 +36,20 @@ def flatten_window(df: DataFrame, window_col: str = "window") -> DataFrame:
 
 
 def timestamps_as_text(df: DataFrame, fmt: str = TEXT_TIMESTAMP) -> DataFrame:
-    """P10: every timestamp column -> text ``yyyy-MM-dd HH:mm:ss.ffffff``."""
+    """P10: every timestamp column -> text ``yyyy-MM-dd HH:mm:ss.ffffff``.
+
+    Instants (``TIMESTAMP``) are written as UTC wall-clock whatever the
+    session time zone; wall-clock values (``TIMESTAMP_NTZ``) as they are.
+    """
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC")
     out = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (TimestampType, TimestampNTZType)):
-            out.append(F.date_format(F.col(f.name), fmt).alias(f.name))
+        c = F.col(f.name)
+        if isinstance(f.dataType, TimestampType):
+            utc = c if tz in ("UTC", "Z", "+00:00", "Etc/UTC", "GMT") else F.to_utc_timestamp(c, tz)
+            out.append(F.date_format(utc, fmt).alias(f.name))
+        elif isinstance(f.dataType, TimestampNTZType):
+            out.append(F.date_format(c, fmt).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(c)
     return df.select(*out)

@@ -54,3 +54,17 @@ def test_layer_counts(spark):
     assert got == {"orders": (10, 7), "payments": (7, 7)}
     empty = spark.range(0)
     assert [tuple(r) for r in layer_counts({"inventory": (empty, empty)}).collect()] == [("inventory", 0, 0)]
+
+
+def test_text_timestamps_are_utc_in_any_session_zone(spark):
+    from lakeweave.functions.timefmt import timestamps_as_text
+    df = spark.sql("SELECT TIMESTAMP'2024-01-01 00:00:07.5+00:00' AS t, "
+                   "TIMESTAMP_NTZ'2024-01-01 00:00:07.5' AS n")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "Asia/Ho_Chi_Minh", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = timestamps_as_text(df).first()
+            assert (r.t, r.n) == ("2024-01-01 00:00:07.500000", "2024-01-01 00:00:07.500000"), tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
