@@ -57,21 +57,23 @@ def _keep_one(df: DataFrame, keys: list[str], order_by: list[str | Column], pick
         .select(*df.columns)
 
 
-def dedup_first(df: DataFrame, key: str | list[str], order_by: list[str | Column]) -> DataFrame:
+def dedup_first(df: DataFrame, key: str | list[str], order_by: list[str | Column],
+                tie_break: list[str | Column] | None = None) -> DataFrame:
     """Batch form of D1: per key keep the row that is smallest in
     ``order_by`` (e.g. ``kafka_timestamp, partition, offset`` = first
-    arrived), remaining columns break ties."""
+    arrived), then ``tie_break``, then the remaining columns."""
     keys = [key] if isinstance(key, str) else list(key)
-    return _keep_one(df, keys, order_by, F.min)
+    return _keep_one(df, keys, list(order_by) + list(tie_break or []), F.min)
 
 
-def dedup_latest(df: DataFrame, key: str | list[str], order_by: list[str | Column]) -> DataFrame:
+def dedup_latest(df: DataFrame, key: str | list[str], order_by: list[str | Column],
+                 tie_break: list[str | Column] | None = None) -> DataFrame:
     """D2 (batch): per key keep the row that is greatest in ``order_by``
-    (e.g. ``ingested_at``), remaining columns break ties.
+    (e.g. ``ingested_at``), then ``tie_break``, then the remaining columns.
 
     Works per micro-batch of a stream through ``foreachBatch``.
     """
     if df.isStreaming:
         raise ValueError("dedup_latest is batch-only; call it inside foreachBatch for streams")
     keys = [key] if isinstance(key, str) else list(key)
-    return _keep_one(df, keys, order_by, F.max)
+    return _keep_one(df, keys, list(order_by) + list(tie_break or []), F.max)

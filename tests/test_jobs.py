@@ -75,3 +75,16 @@ def test_reject_metrics_observed_on_stream(spark, tmp):
     busy = [m for m in metrics if m["rows"]]
     assert len(busy) == 1 and busy[0]["rows"] == 4
     assert busy[0]["amount_positive"] == 2 and busy[0]["payment_status_is_success"] == 2
+
+
+def test_jobs_command_line(spark, tmp):
+    root = f"{tmp}/lake"
+    vals = [payment(f"P{i}", amount=1.0, created_at="2024-01-01T00:00:00+00:00") for i in range(3)]
+    envelope(spark, "payments", vals, keys=["ORD1"] * 3).write.parquet(f"{tmp}/env")
+    jobs.main(["bronze", "--topic", "payments", "--source", "parquet", "--envelope", f"{tmp}/env",
+               "--root", root, "--trigger", "availableNow"])
+    jobs.main(["silver", "--topic", "payments", "--root", root, "--trigger", "availableNow", "--salt-buckets", "4"])
+    jobs.main(["gold", "--name", "revenue", "--duration", "1 hour", "--root", root, "--trigger", "availableNow"])
+    jobs.main(["load", "--name", "revenue", "--root", root, "--target", f"{tmp}/wh"])
+    r = spark.read.parquet(f"{tmp}/wh").first()
+    assert (r.window_start, r.total_revenue, r.transaction_count) == ("2024-01-01 00:00:00.000000", 3.0, 3)

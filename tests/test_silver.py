@@ -79,6 +79,10 @@ def test_dedup_ties_broken_by_remaining_columns(spark):
     df = spark.createDataFrame([("k", 1, "b"), ("k", 1, "a"), ("k", 1, "c")], "k string, o int, v string")
     assert dedup_first(df, "k", ["o"]).first().v == "a"
     assert dedup_latest(df, "k", ["o"]).first().v == "c"
+    # tie_break is consulted before the remaining columns
+    rev = spark.createDataFrame([("k", 1, "a", 3), ("k", 1, "b", 1)], "k string, o int, v string, w int")
+    assert dedup_first(rev, "k", ["o"], tie_break=["w"]).first().v == "b"
+    assert dedup_latest(rev, "k", ["o"], tie_break=["w"]).first().v == "a"
 
 
 def test_silver_entity_batch_dedups_first_arrival(spark):
