@@ -27,8 +27,6 @@ result does not depend on layout.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,17 +35,29 @@ from ..session import shared_root
 _PART = "_scan_part"
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
+def _surrogates(keys: list[str]) -> tuple[list[str], list[str]]:
+    return [f"_sk{i}" for i in range(len(keys))], [f"_sn{i}" for i in range(len(keys))]
 
 
 def ranged(df: DataFrame, keys: list[str], order_by: list[str], partitions: int | None = None) -> DataFrame:
     """Phase-1 layout: contiguous ``(keys, order)`` slices, tagged with their
-    slice number."""
+    slice number and with non-NULL surrogates of the keys
+    (``coalesce(key, default)``, ``isnull(key)``).  Grouping on the
+    surrogates equals NULL-safe grouping on the keys, and because they are
+    plain non-NULL columns, the window partitioning, the slice totals and
+    the carry join all share one hash layout (a NULL-safe join would be
+    rewritten to those expressions and force a re-shuffle of the large
+    side)."""
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared_root(spark)          # checkpoint dir: the cluster's, or a local one in tests
-    return df.repartitionByRange(parts, *[F.col(c) for c in keys + order_by]) \
+    sk, sn = _surrogates(keys)
+    tagged = df.select(
+        "*",
+        *[F.coalesce(F.col(k), F.lit(0).cast(df.schema[k].dataType)).alias(a) for k, a in zip(keys, sk)],
+        *[F.col(k).isNull().alias(a) for k, a in zip(keys, sn)],
+    )
+    return tagged.repartitionByRange(parts, *[F.col(c) for c in keys + order_by]) \
         .withColumn(_PART, F.spark_partition_id()) \
         .checkpoint(eager=True)
 
@@ -58,18 +68,22 @@ def scan_slices(sliced: DataFrame, keys: list[str], order_by: list[str],
     already ``ranged`` data; adds column ``out``."""
     agg = {"sum": F.sum, "min": F.min, "max": F.max}[op]
     val = F.col(value) if isinstance(value, str) else value
-    local_w = (Window.partitionBy(_PART, *keys).orderBy(*order_by)
+    sk, sn = _surrogates(keys)
+    layout = [_PART] + sk + sn
+    local_w = (Window.partitionBy(*layout).orderBy(*order_by)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = sliced.withColumn("_val", val).withColumn("_local", agg("_val").over(local_w))
 
     # One row per (key, slice); a key spans at most #partitions slices.
-    totals = local.groupBy(*keys, _PART).agg(agg("_val").alias("_slice"))
-    before_w = (Window.partitionBy(*keys).orderBy(_PART)
+    totals = local.groupBy(*layout).agg(agg("_val").alias("_slice"))
+    before_w = (Window.partitionBy(*sk, *sn).orderBy(_PART)
                 .rowsBetween(Window.unboundedPreceding, -1))
     carry = totals.withColumn("_carry", agg("_slice").over(before_w)).drop("_slice")
 
-    joined = local.join(carry, _null_safe_on(local, carry, keys + [_PART]), "left") \
-        .select(local["*"], carry["_carry"])
+    # Equi-join on the same columns, in the same order, as the local
+    # window's partitioning: the large side keeps its layout (also through
+    # the second scan of clamped_running_sum) and only the carry table moves.
+    joined = local.join(carry, on=layout, how="left").select(*local.columns, "_carry")
     if op == "sum":
         total = F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))
     elif op == "min":
@@ -79,11 +93,16 @@ def scan_slices(sliced: DataFrame, keys: list[str], order_by: list[str],
     return joined.withColumn(out, total).drop("_val", "_local", "_carry")
 
 
+def _drop_layout(df: DataFrame, keys: list[str]) -> DataFrame:
+    sk, sn = _surrogates(keys)
+    return df.drop(_PART, *sk, *sn)
+
+
 def running_sum(df: DataFrame, keys: list[str], order_by: list[str], value: str | Column,
                 out: str, partitions: int | None = None) -> DataFrame:
     """Per-key cumulative sum of ``value`` in ``order_by`` order."""
-    return scan_slices(ranged(df, keys, order_by, partitions), keys, order_by, value, out, "sum") \
-        .drop(_PART)
+    sliced = ranged(df, keys, order_by, partitions)
+    return _drop_layout(scan_slices(sliced, keys, order_by, value, out, "sum"), keys)
 
 
 def clamped_running_sum(df: DataFrame, keys: list[str], order_by: list[str], change: str,
@@ -100,5 +119,5 @@ def clamped_running_sum(df: DataFrame, keys: list[str], order_by: list[str], cha
         .withColumn("_p", F.col("_p") + F.lit(initial))
     with_m = scan_slices(with_p, keys, order_by, "_p", "_m", "min")
     result = F.col("_p") - F.least(F.col("_m"), F.lit(floor)) + F.lit(floor)
-    return with_m.withColumn(out, result.cast(df.schema[change].dataType)) \
-        .drop("_p", "_m", _PART)
+    return _drop_layout(with_m.withColumn(out, result.cast(df.schema[change].dataType)), keys) \
+        .drop("_p", "_m")
