@@ -1,7 +1,6 @@
 """Windowed aggregates and their physical plans."""
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from lakeweave.operators import gold
 from lakeweave.schemas import ENTITY, silver_schema
