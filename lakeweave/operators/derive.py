@@ -83,11 +83,14 @@ def classify_customers(events: DataFrame, order_by: list[str] | None = None) ->
     ``new``; later events -> ``customer_updated`` keeping the first event's
     full_name, email, phone and created_at.
 
-    ``order_by`` (default: event time of ``updated_at``, then ``offset``)
-    must be a total order within a customer.
+    ``order_by`` (default: event time of ``updated_at`` with unparsable
+    times last, then ``offset``) must be a total order within a customer.
     """
-    order_cols = [F.col(c) for c in order_by] if order_by else \
-        [event_time(F.col("updated_at")), F.col("offset")]
+    if order_by:
+        order_cols = [F.col(c) for c in order_by]
+    else:
+        t = event_time(F.col("updated_at"))
+        order_cols = [t.isNull(), t, F.col("offset")]
     keyed = events.select(
         "*", F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order_cols)]).alias("_ord"))
     firsts = keyed.groupBy("customer_id").agg(F.min(F.struct(

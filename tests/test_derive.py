@@ -63,3 +63,14 @@ def test_classify_customers(spark):
         ("customer_updated", "vip", "first", "asecond")
     assert later.created_at == "2024-01-01T00:00:00+00:00"
     assert rows[("C2", "2024-01-03T00:00:00+00:00")].event_type == "customer_created"
+
+
+def test_classify_customers_unparsable_time_is_not_first(spark):
+    def c(name, ts):
+        return {"customer_id": "C1", "full_name": name, "email": "e", "phone": "p", "address": "a",
+                "city": "x", "segment": "vip", "created_at": ts, "updated_at": ts, "event_type": "?"}
+    b = to_bronze(envelope(spark, "customers", [c("bad", "garbage"), c("good", "2024-01-01T00:00:00+00:00")]),
+                  ENTITY["customers"], stamp=False)
+    rows = {r.updated_at: r for r in derive.classify_customers(b).collect()}
+    assert rows["2024-01-01T00:00:00+00:00"].event_type == "customer_created"
+    assert rows["garbage"].event_type == "customer_updated" and rows["garbage"].full_name == "good"
