@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..schemas import ENVELOPE
 from ..session import ensure_dir
 
 
@@ -37,15 +38,18 @@ def read_envelope_stream(spark: SparkSession, path: str, max_files_per_trigger:
     connector on the classpath use ``spark.readStream.format("kafka")
     .option("subscribe", topic).option("startingOffsets", "earliest")``
     instead; both yield the same columns."""
-    from ..schemas import ENVELOPE
     return read_layer_stream(spark, path, ENVELOPE, max_files_per_trigger)
 
 
-def read_topic(spark: SparkSession, bootstrap: str, topic: str, starting: str = "earliest") -> DataFrame:
+def read_topic(spark: SparkSession, bootstrap: str, topic: str, starting: str = "earliest",
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Subscribe to one topic from ``starting`` offsets.  Needs the
-    ``spark-sql-kafka`` connector on the classpath."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting)
-            .load())
+    ``spark-sql-kafka`` connector on the classpath.  ``max_offsets_per_trigger``
+    bounds each micro-batch (and the work one hot key can put on a task)."""
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap)
+              .option("subscribe", topic)
+              .option("startingOffsets", starting))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    return reader.load()
