@@ -6,6 +6,7 @@
     spark-submit -m lakeweave.jobs gold    --name revenue --duration "5 minutes" --root s3a://lake
     spark-submit -m lakeweave.jobs load    --name revenue --root s3a://lake --target wh.raw_revenue
     spark-submit -m lakeweave.jobs counts  --root s3a://lake
+    spark-submit -m lakeweave.jobs compact --layer bronze --topic orders --root s3a://lake
 
 Layout under ``--root``: ``bronze/<topic>``, ``silver/<topic>``,
 ``gold/<name>``, checkpoints in ``_checkpoints/<layer>/<name>``.  Every
@@ -26,7 +27,7 @@ from .operators.bronze import to_bronze
 from .operators.quality import layer_counts
 from .operators.silver import silver_entity
 from .schemas import ENTITY, GOLD_TABLES, bronze_schema, silver_schema
-from .sinks.files import load_table
+from .sinks.files import compact_layer, load_table
 from .sources.layers import read_envelope_stream, read_layer, read_layer_stream, read_topic
 from .streaming.runner import run_append, run_update
 
@@ -82,6 +83,18 @@ def load_job(spark: SparkSession, name: str, root: str, target: str, current: bo
     return load_table(spark, folder, schema, keys, cols, target, current=current)
 
 
+def compact_job(spark: SparkSession, layer: str, name: str, root: str,
+                target_file_bytes: int = 128 * 1024 * 1024) -> str:
+    """Small-file compaction of ``<root>/<layer>/<name>`` into
+    ``<root>/<layer>_compacted/<name>``; returns the new folder."""
+    schema = {"bronze": lambda: bronze_schema(ENTITY[name]),
+              "silver": lambda: silver_schema(ENTITY[name])}[layer]()
+    src, _ = _paths(root, layer, name)
+    dst, _ = _paths(root, f"{layer}_compacted", name)
+    compact_layer(spark, src, dst, schema, target_file_bytes)
+    return dst
+
+
 def counts_job(spark: SparkSession, root: str, topics=("orders", "payments", "inventory")) -> DataFrame:
     """A4: bronze vs silver row counts per topic."""
     layers = {}
@@ -93,7 +106,8 @@ def counts_job(spark: SparkSession, root: str, topics=("orders", "payments", "in
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="lakeweave.jobs")
-    p.add_argument("job", choices=["bronze", "silver", "gold", "load", "counts"])
+    p.add_argument("job", choices=["bronze", "silver", "gold", "load", "counts", "compact"])
+    p.add_argument("--layer", default="bronze", choices=["bronze", "silver"], help="layer to compact")
     p.add_argument("--root", default=None, help="lake root folder (bronze/silver/gold below it)")
     p.add_argument("--topic", default=None)
     p.add_argument("--name", default=None, help="gold table: revenue | product_units | customer_activity")
@@ -113,6 +127,9 @@ def main(argv: list[str] | None = None) -> None:
     if a.job == "counts":
         counts_job(spark, a.root).show(truncate=False)
         return
+    if a.job == "compact":
+        compact_job(spark, a.layer, a.topic, a.root)
+        return
     if a.job == "load":
         load_job(spark, a.name, a.root, a.target, current=not a.raw)
         return

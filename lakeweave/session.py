@@ -113,3 +113,15 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
     fs, p = fsp
     if not fs.exists(p):
         fs.mkdirs(p)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata only)."""
+    fsp = _fs_path(spark, path)
+    if fsp is None:
+        local = _local(path)
+        if not local or not os.path.exists(local):
+            return 0
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(local) for f in fs)
+    fs, p = fsp
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

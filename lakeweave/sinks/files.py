@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.timefmt import timestamps_as_text
 from ..operators.current import current_state
 from ..schemas import with_batch_id
+from ..session import folder_bytes
 from ..sources.layers import read_layer
 from pyspark.sql.types import StructType
 
@@ -22,6 +23,20 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def compact_layer(spark: SparkSession, src: str, dst: str, schema: StructType,
+                  target_file_bytes: int = 128 * 1024 * 1024,
+                  partition_by: tuple[str, ...] | list[str] = ()) -> int:
+    """Small-file control: rewrite the layer at ``src`` into ``dst`` with
+    files of about ``target_file_bytes`` (frequent append triggers leave many
+    small files).  The file count comes from folder metadata; ``coalesce``
+    merges input splits without a shuffle.  ``src`` is left as it is;
+    readers switch to ``dst``.  Returns the number of output files planned."""
+    files = max(1, -(-folder_bytes(spark, src) // target_file_bytes))
+    layer = read_layer(spark, src, schema)
+    write_layer(layer.coalesce(files), dst, partition_by=partition_by)
+    return files
+
+
 def publish(messages: DataFrame, bootstrap: str) -> None:
     """K6 sink: write ``(key, value, topic)`` rows to their topics.  Needs
     the ``spark-sql-kafka`` connector on the classpath."""

@@ -88,3 +88,5 @@ def test_jobs_command_line(spark, tmp):
     jobs.main(["load", "--name", "revenue", "--root", root, "--target", f"{tmp}/wh"])
     r = spark.read.parquet(f"{tmp}/wh").first()
     assert (r.window_start, r.total_revenue, r.transaction_count) == ("2024-01-01 00:00:00.000000", 3.0, 3)
+    jobs.main(["compact", "--layer", "bronze", "--topic", "payments", "--root", root])
+    assert spark.read.parquet(f"{root}/bronze_compacted/payments").count() == 3

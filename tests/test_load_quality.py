@@ -68,3 +68,18 @@ def test_text_timestamps_are_utc_in_any_session_zone(spark):
             assert (r.t, r.n) == ("2024-01-01 00:00:07.500000", "2024-01-01 00:00:07.500000"), tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_compact_layer_merges_small_files(spark, tmp):
+    import os
+    from lakeweave.sinks.files import compact_layer
+    schema = "k long, v string"
+    for i in range(6):                                   # six appends -> many small files
+        spark.range(i * 10, i * 10 + 10).selectExpr("id AS k", "cast(id AS string) AS v") \
+            .repartition(3).write.mode("append").parquet(f"{tmp}/small")
+    src_files = [f for f in os.listdir(f"{tmp}/small") if f.endswith(".parquet")]
+    st = spark.createDataFrame([], schema).schema
+    n = compact_layer(spark, f"{tmp}/small", f"{tmp}/compact", st)
+    out_files = [f for f in os.listdir(f"{tmp}/compact") if f.endswith(".parquet")]
+    assert n == 1 and len(out_files) == 1 < len(src_files)
+    assert sorted(r.k for r in spark.read.parquet(f"{tmp}/compact").collect()) == list(range(60))
