@@ -29,18 +29,23 @@ CORRUPT = "_corrupt_record"
 
 
 # --- layer builders over the test tables ----------------------------------
-def bronze(spark: SparkSession, sf_dir: str, topic: str, corrupt_col: str | None = None) -> DataFrame:
-    """Bronze layer of one topic, materialised as Parquet in the shared
-    folder (as the bronze job does) and read back with its declared schema.
-
-    Downstream filters then reach the Parquet scan (pushdown, pruning)
-    instead of being pushed into the JSON parse, where Catalyst would
-    re-evaluate ``from_json`` once per predicate, and every consumer in the
-    query reads the same rows without re-deriving them.
+def bronze(spark: SparkSession, sf_dir: str, topic: str, corrupt_col: str | None = None,
+           materialize: bool = True) -> DataFrame:
+    """Bronze layer of one topic.
+
+    With ``materialize`` (for consumers that filter, i.e. silver) it is
+    written as Parquet to the shared folder, as the bronze job does, and
+    read back with its declared schema: the silver predicates then reach
+    the Parquet scan instead of being pushed into the JSON parse, where
+    Catalyst would evaluate ``from_json`` once per predicate.  Consumers
+    that only project or aggregate read the parse directly (``from_json``
+    appears once in their plan) and skip the write.
     """
+    parsed = to_bronze(messages(spark, sf_dir, topic), ENTITY[topic], corrupt_col=corrupt_col, stamp=False)
+    if not materialize:
+        return parsed
     path = scratch(spark, f"bronze-{topic}")
-    write_layer(to_bronze(messages(spark, sf_dir, topic), ENTITY[topic],
-                          corrupt_col=corrupt_col, stamp=False), path)
+    write_layer(parsed, path)
     return read_layer(spark, path, bronze_schema(ENTITY[topic], stamp=False, corrupt_col=corrupt_col))
 
 
@@ -55,13 +60,13 @@ def _round(df: DataFrame, *cols: str) -> DataFrame:
 
 # --- bronze -----------------------------------------------------------------
 def q_bronze_payments(spark, sf):
-    return bronze(spark, sf, "payments")
+    return bronze(spark, sf, "payments", materialize=False)
 
 
 def q_bronze_orders(spark, sf):
     """Orders bronze, compared one row per item (NULL item fields for an
     order with no or unreadable items)."""
-    b = bronze(spark, sf, "orders")
+    b = bronze(spark, sf, "orders", materialize=False)
     rest = [c for c in b.columns if c != "items"]
     return b.select(*rest, F.explode_outer("items").alias("item")).select(
         *rest,
@@ -73,15 +78,15 @@ def q_bronze_orders(spark, sf):
 
 
 def q_bronze_inventory(spark, sf):
-    return bronze(spark, sf, "inventory")
+    return bronze(spark, sf, "inventory", materialize=False)
 
 
 def q_bronze_customers(spark, sf):
-    return bronze(spark, sf, "customers")
+    return bronze(spark, sf, "customers", materialize=False)
 
 
 def q_bronze_corrupt_split(spark, sf):
-    parts = [corrupt_split(bronze(spark, sf, t, corrupt_col=CORRUPT), CORRUPT)
+    parts = [corrupt_split(bronze(spark, sf, t, corrupt_col=CORRUPT, materialize=False), CORRUPT)
              for t in ("orders", "payments", "inventory", "customers")]
     return reduce(DataFrame.unionByName, parts)
 
@@ -101,7 +106,7 @@ def q_silver_inventory(spark, sf):
 
 
 def q_silver_reject_counts(spark, sf):
-    parts = [reject_counts(bronze(spark, sf, t), rules_for(t)).select(
+    parts = [reject_counts(bronze(spark, sf, t, materialize=False), rules_for(t)).select(
         F.lit(t).alias("entity"), "rule", "rows") for t in ("orders", "payments", "inventory")]
     return reduce(DataFrame.unionByName, parts)
 
@@ -148,6 +153,7 @@ def q_running_stock(spark, sf):
 
 
 def q_customer_classify(spark, sf):
+    # read twice (first-event aggregate + join back): materialise, parse once
     return derive.classify_customers(bronze(spark, sf, "customers"))
 
 
