@@ -11,7 +11,8 @@ from lakeweave.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=4)
+    s = build_session("local[4]", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lakeweave-wh-")})
     # Tests own a scratch checkpoint dir (a cluster sets spark.checkpoint.dir).
     if not s.conf.get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="lakeweave-test-")
