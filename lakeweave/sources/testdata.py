@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.messages import encode_messages
+from ..operators.derive import WAREHOUSES
 from ..functions.timefmt import event_time, iso_utc
 from ..schemas import ENTITY, MESSAGE_KEY
 
@@ -32,9 +33,9 @@ BROKEN_VALUE = "{bad"
 MAX_ITEMS = 1024
 TOPIC_PARTITIONS = 4
 
-# Enumerations used when shaping messages.
+# Enumerations used when shaping messages (warehouse codes
+# are shared with the stock operators, see operators/derive.py).
 PAYMENT_METHODS = ["credit_card", "momo", "bank_transfer", "cod"]
-WAREHOUSES = ["WH_HN", "WH_HCM", "WH_DN"]
 SEGMENTS = ["regular", "vip", "new"]
 CITIES = ["Hà Nội", "Hồ Chí Minh", "Đà Nẵng", "Ninh Bình", "Hải Phòng"]
 
