@@ -127,7 +127,7 @@ INV_CTE = f"""inv_rec AS (
     'INV' || {_lp('l.l_orderkey', 10)} || {_lp('l.l_linenumber', 2)} AS f_inventory_id,
     CASE WHEN {_every('l.l_orderkey', NUL)} THEN NULL ELSE 'P' || {_lp('l.l_partkey', 6)} END AS f_product_id,
     p.p_name AS f_product_name,
-    {_list(td.WAREHOUSES)}[l.l_suppkey % 3 + 1] AS f_warehouse_id,
+    {_list(WAREHOUSES)}[l.l_suppkey % {len(WAREHOUSES)} + 1] AS f_warehouse_id,
     -CAST(l.l_quantity AS INTEGER) AS f_quantity_change,
     25 - CAST(l.l_quantity AS INTEGER) AS f_quantity_on_hand,
     'sale' AS f_change_reason,
