@@ -54,7 +54,8 @@ def observe_rejects(bronze_typed: DataFrame, rules: list[Rule], name: str) -> Da
 
 def silver_entity(bronze: DataFrame, entity: str, stamp: bool = True,
                   delay: str = "10 minutes", reject_nan: bool = False,
-                  observe: str | None = None, salt_buckets: int = 0) -> DataFrame:
+                  observe: str | None = None, salt_buckets: int = 0,
+                  keep: list[str] | None = None) -> DataFrame:
     """Whole silver job for one entity, batch or stream.
 
     Stream: rules -> watermark + ``dropDuplicatesWithinWatermark`` (D1).
@@ -63,6 +64,13 @@ def silver_entity(bronze: DataFrame, entity: str, stamp: bool = True,
     counts of every (micro-)batch are published as observed metrics under
     that name.  ``salt_buckets`` spreads hot keys in the stream dedup (see
     ``dedup_stream``).
+
+    ``keep`` names the columns a downstream consumer needs: after the rules
+    the rows are narrowed to key + arrival order + ``keep`` before the
+    de-duplication, so the bronze scan reads only those and the rule
+    columns.  The kept row does not change: arrival order (partition,
+    offset) is unique per message within a topic, so the tie-break on the
+    remaining columns never decides.
     """
     rules = rules_for(entity, reject_nan=reject_nan)
     key = ENTITY_KEY[entity]
@@ -70,6 +78,9 @@ def silver_entity(bronze: DataFrame, entity: str, stamp: bool = True,
     if observe:
         typed = observe_rejects(typed, rules, observe)
     clean = typed.filter(all_pass(rules))
+    if keep is not None:
+        wanted = [key] + ARRIVAL_ORDER + ["created_at_ts"] + list(keep)
+        clean = clean.select(*dict.fromkeys(wanted))
     if clean.isStreaming:
         out = dedup_stream(clean, key, delay=delay, salt_buckets=salt_buckets)
     else:

@@ -49,9 +49,23 @@ def bronze(spark: SparkSession, sf_dir: str, topic: str, corrupt_col: str | None
     return read_layer(spark, path, bronze_schema(ENTITY[topic], stamp=False, corrupt_col=corrupt_col))
 
 
-def silver(spark: SparkSession, sf_dir: str, topic: str, bronze_df: DataFrame | None = None) -> DataFrame:
+def silver(spark: SparkSession, sf_dir: str, topic: str, bronze_df: DataFrame | None = None,
+           keep: list[str] | None = None) -> DataFrame:
+    """Silver rows of one topic; ``keep`` narrows them to what the consumer
+    reads (the bronze scan is pruned accordingly)."""
     src = bronze_df if bronze_df is not None else bronze(spark, sf_dir, topic)
-    return silver_entity(src, topic, stamp=False)
+    return silver_entity(src, topic, stamp=False, keep=keep)
+
+
+# Columns each consumer of silver reads (besides key, arrival order, event time).
+NEEDS = {
+    "revenue": ["amount"],
+    "product_units": ["items", "order_status"],
+    "customer_activity": ["customer_id", "total_amount", "order_status"],
+    "order_total_check": ["total_amount", "items"],
+    "stock_movements": ["order_status", "items", "created_at"],
+    "payable_orders": ["customer_id", "total_amount", "order_status"],
+}
 
 
 def _round(df: DataFrame, *cols: str) -> DataFrame:
@@ -124,7 +138,7 @@ def _gold(name: str, duration: str):
     money = {"revenue": ("total_revenue",), "customer_activity": ("total_spent",)}.get(name, ())
 
     def q(spark, sf):
-        return _round(build(silver(spark, sf, topic), duration), *money)
+        return _round(build(silver(spark, sf, topic, keep=NEEDS[name]), duration), *money)
     q.__name__ = f"q_gold_{name}_{duration.replace(' ', '')}"
     return q
 
@@ -140,15 +154,15 @@ def q_layer_counts(spark, sf):
 
 # --- business rules ---------------------------------------------------------
 def q_order_total_check(spark, sf):
-    return derive.order_total_check(silver(spark, sf, "orders"))
+    return derive.order_total_check(silver(spark, sf, "orders", keep=NEEDS["order_total_check"]))
 
 
 def q_stock_movements(spark, sf):
-    return derive.stock_movements(silver(spark, sf, "orders"))
+    return derive.stock_movements(silver(spark, sf, "orders", keep=NEEDS["stock_movements"]))
 
 
 def q_running_stock(spark, sf):
-    mv = derive.stock_movements(silver(spark, sf, "orders"))
+    mv = derive.stock_movements(silver(spark, sf, "orders", keep=NEEDS["stock_movements"]))
     return derive.running_stock(mv, order_by=["created_at_ts", "order_id", "item_pos"])
 
 
@@ -158,7 +172,7 @@ def q_customer_classify(spark, sf):
 
 
 def q_payable_orders(spark, sf):
-    return derive.payable_orders(silver(spark, sf, "orders"))
+    return derive.payable_orders(silver(spark, sf, "orders", keep=NEEDS["payable_orders"]))
 
 
 def batch_queries() -> dict:
