@@ -77,3 +77,17 @@ def test_scan_is_pruned_and_aggregation_is_partial(spark, tmp):
     rev = plan_text(gold.revenue(spark.read.schema(pschema).parquet(f"{tmp}/payments"), "5 minutes"))
     assert _read_schema(rev) == "struct<amount:double,created_at_ts:timestamp>"
     assert "partial_count" in rev
+
+
+def test_silver_keep_prunes_bronze_scan(spark, tmp):
+    from lakeweave.operators.silver import silver_entity
+    from lakeweave.schemas import bronze_schema
+    schema = bronze_schema(ENTITY["payments"], stamp=False)
+    spark.createDataFrame([], schema).write.parquet(f"{tmp}/bronze")
+    bronze = spark.read.schema(schema).parquet(f"{tmp}/bronze")
+    read = _read_schema(plan_text(gold.revenue(silver_entity(bronze, "payments", stamp=False,
+                                                             keep=["amount"]), "5 minutes")))
+    for unused in ("currency", "payment_method", "customer_id", "event_type", "kafka_key", "topic"):
+        assert unused not in read
+    for needed in ("payment_id", "amount", "created_at", "payment_status", "offset"):
+        assert needed in read
