@@ -49,9 +49,10 @@ def write_time_slices(df: DataFrame, ts: str, root: str, slices: int = SLICES) -
     return [full.filter(sid == i) for i in range(slices)]
 
 
-def _silver_batch(spark: SparkSession, sf: str, topic: str) -> DataFrame:
-    from .catalog import silver
-    return silver(spark, sf, topic)
+def _silver_batch(spark: SparkSession, sf: str, topic: str, consumer: str) -> DataFrame:
+    """Silver rows narrowed to what ``consumer`` reads (see catalog.NEEDS)."""
+    from .catalog import NEEDS, silver
+    return silver(spark, sf, topic, keep=NEEDS[consumer])
 
 
 def stream_gold_log(spark: SparkSession, sf: str, name: str, duration: str,
@@ -61,8 +62,9 @@ def stream_gold_log(spark: SparkSession, sf: str, name: str, duration: str,
     schema (``batch_id`` from the folder names)."""
     topic, build = gold.GOLD_BUILDERS[name]
     root = scratch(spark, f"gold-{name}")
-    s_schema = silver_schema(ENTITY[topic], stamp=False)
-    parts = write_time_slices(_silver_batch(spark, sf, topic), "created_at_ts", f"{root}/slices", slices)
+    batch = _silver_batch(spark, sf, topic, name)
+    s_schema = batch.schema            # declared by the plan, never inferred from files
+    parts = write_time_slices(batch, "created_at_ts", f"{root}/slices", slices)
     src, out, ckpt = f"{root}/silver", f"{root}/gold", f"{root}/_checkpoints/gold"
     for part in parts:
         part.write.mode("append").parquet(src)
@@ -82,8 +84,9 @@ def q_gold_revenue_stream_current(spark, sf):
 def q_gold_revenue_stream_final(spark, sf):
     """W5 append mode: only windows the watermark has closed are emitted."""
     root = scratch(spark, "gold-final")
-    s_schema = silver_schema(ENTITY["payments"], stamp=False)
-    parts = write_time_slices(_silver_batch(spark, sf, "payments"), "created_at_ts", f"{root}/slices")
+    batch = _silver_batch(spark, sf, "payments", "revenue")
+    s_schema = batch.schema
+    parts = write_time_slices(batch, "created_at_ts", f"{root}/slices")
     src, out, ckpt = f"{root}/silver", f"{root}/gold", f"{root}/_checkpoints/gold"
     for part in parts:
         part.write.mode("append").parquet(src)
