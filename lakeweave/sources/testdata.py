@@ -138,12 +138,14 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
-    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    # Lines with a known part; an order whose lines all lack one counts as
+    # having no items (it is still emitted, with an empty array).
+    lines = li.join(part, li["l_partkey"] == part["p_partkey"], "inner").drop("p_partkey")
+    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     heads = orders.join(counts, orders["o_orderkey"] == counts["l_orderkey"], "left") \
         .drop("l_orderkey") \
         .withColumn("n_parts", F.ceil(F.col("n_lines") / F.lit(MAX_ITEMS)))
 
-    lines = li.join(part, li["l_partkey"] == part["p_partkey"], "inner").drop("p_partkey")
     lines = lines.join(heads.filter(F.col("n_lines").isNotNull()),
                        lines["l_orderkey"] == heads["o_orderkey"], "inner").drop("l_orderkey")
     chunk = F.when(F.col("n_parts") > 1,

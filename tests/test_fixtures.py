@@ -59,3 +59,18 @@ def test_partitioned_append_sink(spark, tmp):
                    trigger="availableNow", partition_by=("day",))
     q.awaitTermination()
     assert os.path.isdir(f"{tmp}/out/day=2024-01-01")
+
+
+def test_order_whose_lines_lack_parts_keeps_empty_items(spark, tmp):
+    _tables(spark, tmp)
+    spark.createDataFrame([(3, 9, "P", 12.5, dt.datetime(1995, 1, 3), "2-HIGH")],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                          "o_orderdate timestamp_ntz, o_orderpriority string") \
+        .write.mode("append").parquet(f"{tmp}/orders.parquet")
+    spark.createDataFrame([(3, 999, 1, 1, 1.0, 5.0)],          # part 999 does not exist
+                          "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, "
+                          "l_quantity double, l_extendedprice double") \
+        .write.mode("append").parquet(f"{tmp}/lineitem.parquet")
+    rows = to_bronze(testdata.order_messages(spark, tmp), ENTITY["orders"], stamp=False).collect()
+    orphan = [r for r in rows if r.order_id == "ORD000000000003"]
+    assert len(orphan) == 1 and orphan[0]["items"] == [] and orphan[0].total_amount == 12.5
