@@ -90,7 +90,7 @@ ORD_CTE = f"""ord_lines AS (
     CAST(l.l_quantity AS INTEGER) AS quantity,
     l.l_extendedprice / l.l_quantity AS unit_price,
     l.l_extendedprice
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
 ), ord_tot AS (
   SELECT l_orderkey, count(*) AS n_items, round(sum(l_extendedprice), 2) AS total
   FROM ord_lines GROUP BY l_orderkey
@@ -138,7 +138,7 @@ INV_CTE = f"""inv_rec AS (
     l.l_orderkey * 16 + l.l_linenumber AS "offset",
     CAST(l.l_shipdate + to_seconds(l.l_orderkey % 86400) AS TIMESTAMP) AS kafka_timestamp,
     {_every('l.l_orderkey', BRK)} AS _broken
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
 ), bronze_inventory AS (
   {_bronze('inv_rec', 'f_product_id', INV_FIELDS, 'inventory')}
 )"""

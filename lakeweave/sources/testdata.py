@@ -138,9 +138,9 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
-    # Lines with a known part; an order whose lines all lack one counts as
-    # having no items (it is still emitted, with an empty array).
-    lines = li.join(part, li["l_partkey"] == part["p_partkey"], "inner").drop("p_partkey")
+    # Every line becomes an item; a part missing from ``part`` leaves the
+    # item's product_name NULL rather than dropping the line.
+    lines = li.join(part, li["l_partkey"] == part["p_partkey"], "left").drop("p_partkey")
     counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     heads = orders.join(counts, orders["o_orderkey"] == counts["l_orderkey"], "left") \
         .drop("l_orderkey") \
@@ -204,7 +204,7 @@ def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    lines = spread(li).join(part, li["l_partkey"] == part["p_partkey"], "inner")
+    lines = spread(li).join(part, li["l_partkey"] == part["p_partkey"], "left")   # keep every line
     k = F.col("l_orderkey")
     qty = F.col("l_quantity").cast("int")
     stamp = iso_utc(_order_time(k, F.col("l_shipdate")))

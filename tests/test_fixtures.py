@@ -9,15 +9,19 @@ from lakeweave.schemas import ENTITY
 from lakeweave.sources import testdata
 
 
+LINE_SCHEMA = ("l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, "
+               "l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz")
+
+
 def _tables(spark, root):
     spark.createDataFrame(
         [(1, 7, "F", 100.0, dt.datetime(1995, 1, 1), "1-URGENT"),
          (2, 8, "O", 55.5, dt.datetime(1995, 1, 2), "5-LOW")],          # no lines
         "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
         "o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{root}/orders.parquet")
-    lines = [(1, 10 + i, i % 7 + 1, 3, float(i + 1), 10.0 * (i + 1)) for i in range(9)]     # one "hot" order
-    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, "
-                                 "l_quantity double, l_extendedprice double").write.parquet(f"{root}/lineitem.parquet")
+    ship = dt.datetime(1995, 2, 1)
+    lines = [(1, 10 + i, i % 7 + 1, 3, float(i + 1), 10.0 * (i + 1), ship) for i in range(9)]   # one "hot" order
+    spark.createDataFrame(lines, LINE_SCHEMA).write.parquet(f"{root}/lineitem.parquet")
     spark.createDataFrame([(10 + i, f"part{i}") for i in range(9)], "p_partkey long, p_name string") \
         .write.parquet(f"{root}/part.parquet")
 
@@ -61,16 +65,17 @@ def test_partitioned_append_sink(spark, tmp):
     assert os.path.isdir(f"{tmp}/out/day=2024-01-01")
 
 
-def test_order_whose_lines_lack_parts_keeps_empty_items(spark, tmp):
+def test_line_without_part_is_kept(spark, tmp):
     _tables(spark, tmp)
     spark.createDataFrame([(3, 9, "P", 12.5, dt.datetime(1995, 1, 3), "2-HIGH")],
                           "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
                           "o_orderdate timestamp_ntz, o_orderpriority string") \
         .write.mode("append").parquet(f"{tmp}/orders.parquet")
-    spark.createDataFrame([(3, 999, 1, 1, 1.0, 5.0)],          # part 999 does not exist
-                          "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, "
-                          "l_quantity double, l_extendedprice double") \
-        .write.mode("append").parquet(f"{tmp}/lineitem.parquet")
+    spark.createDataFrame([(3, 999, 1, 1, 1.0, 5.0, dt.datetime(1995, 2, 2))],    # part 999 does not exist
+                          LINE_SCHEMA).write.mode("append").parquet(f"{tmp}/lineitem.parquet")
     rows = to_bronze(testdata.order_messages(spark, tmp), ENTITY["orders"], stamp=False).collect()
     orphan = [r for r in rows if r.order_id == "ORD000000000003"]
-    assert len(orphan) == 1 and orphan[0]["items"] == [] and orphan[0].total_amount == 12.5
+    assert len(orphan) == 1 and orphan[0].total_amount == 5.0
+    assert [(i.product_id, i.product_name, i.quantity) for i in orphan[0]["items"]] == [("P000999", None, 1)]
+    inv = to_bronze(testdata.inventory_messages(spark, tmp), ENTITY["inventory"], stamp=False).collect()
+    assert len(inv) == 10 and [r.product_name for r in inv if r.product_id == "P000999"] == [None]
