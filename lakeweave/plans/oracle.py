@@ -159,7 +159,7 @@ CUS_CTE = f"""cus_rec AS (
     event_id AS "offset",
     CAST(ts AS TIMESTAMP) AS kafka_timestamp,
     false AS _broken
-  FROM events WHERE event_type IN ('signup', 'click')
+  FROM events
 ), bronze_customers AS (
   {_bronze('cus_rec', 'f_customer_id', CUS_FIELDS, 'customers')}
 )"""

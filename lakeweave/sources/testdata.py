@@ -228,9 +228,10 @@ def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` of type signup/click -> customers topic.  Every event
-    carries its own name/email/phone; R4 restores the first ones."""
-    ev = spread(table(spark, sf_dir, "events")).filter(F.col("event_type").isin("signup", "click"))
+    """``events`` -> customers topic, one profile event per event (signup:
+    created, anything else: updated).  Every event carries its own
+    name/email/phone; R4 restores the first ones."""
+    ev = spread(table(spark, sf_dir, "events"))
     e, u = F.col("event_id"), F.col("user_id")
     stamp = iso_utc(F.col("ts"))
     rec = ev.select(
