@@ -31,6 +31,8 @@ BROKEN_VALUE = "{bad"
 # into messages ORD<key>-<chunk>.  Bounds the nested array (and the task
 # building it) even when one order holds a large share of all lines.
 MAX_ITEMS = 1024
+# Largest set of such split orders that is broadcast (16 bytes a row).
+HOT_BROADCAST_ROWS = 1_000_000
 TOPIC_PARTITIONS = 4
 
 # Enumerations used when shaping messages (warehouse codes
@@ -126,11 +128,17 @@ def _order_time(key: Column, day: Column) -> Column:
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders ⋈ lineitem ⋈ part`` -> orders topic, items nested per order.
 
-    Plan: per-order line counts (partial aggregate) joined onto ``orders``
-    (both one row per key); lines joined to ``part`` and to those order
-    heads; lines re-partitioned on (order, chunk) and collected.  Join
-    strategies are left to Catalyst/AQE (broadcast only under
-    ``autoBroadcastJoinThreshold``, sort-merge with skew splitting beyond).
+    Plan, with lineitem-sized data shuffled only twice (join to ``part``,
+    then the collect):
+
+    1. orders holding more than ``MAX_ITEMS`` lines -- the only ones split
+       into chunks -- come from a one-column partial count over lineitem; the
+       set is broadcast when its row count proves it small
+       (``HOT_BROADCAST_ROWS``), otherwise joined normally;
+    2. lines (left-joined to ``part``) get their chunk, are shuffled on
+       (order, chunk) -- a hot order spreads over tasks -- and collected;
+    3. order fields join onto the collected rows (order-sized, not
+       line-sized); orders without lines keep an empty item array.
     """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -138,16 +146,17 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
 
+    hot = (li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+           .filter(F.col("n_lines") > MAX_ITEMS)
+           .select(F.col("l_orderkey").alias("_hot_key"),
+                   F.ceil(F.col("n_lines") / F.lit(MAX_ITEMS)).alias("n_parts")))
+    if hot.count() <= HOT_BROADCAST_ROWS:        # proven bound -> broadcast, no line shuffle
+        hot = F.broadcast(hot)
+
     # Every line becomes an item; a part missing from ``part`` leaves the
     # item's product_name NULL rather than dropping the line.
     lines = li.join(part, li["l_partkey"] == part["p_partkey"], "left").drop("p_partkey")
-    counts = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    heads = orders.join(counts, orders["o_orderkey"] == counts["l_orderkey"], "left") \
-        .drop("l_orderkey") \
-        .withColumn("n_parts", F.ceil(F.col("n_lines") / F.lit(MAX_ITEMS)))
-
-    lines = lines.join(heads.filter(F.col("n_lines").isNotNull()),
-                       lines["l_orderkey"] == heads["o_orderkey"], "inner").drop("l_orderkey")
+    lines = lines.join(hot, lines["l_orderkey"] == hot["_hot_key"], "left").drop("_hot_key")
     chunk = F.when(F.col("n_parts") > 1,
                    F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                      "l_extendedprice"), F.col("n_parts"))).otherwise(F.lit(0))
@@ -157,19 +166,20 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("int").alias("quantity"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
     )
-    head_cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "n_parts"]
     nested = (lines.withColumn("chunk", chunk)
-              .repartition("o_orderkey", "chunk")   # hot orders spread by chunk
-              .groupBy(*head_cols, "chunk")
+              .withColumn("n_parts", F.coalesce(F.col("n_parts"), F.lit(1)))
+              .repartition("l_orderkey", "chunk")   # hot orders spread by chunk
+              .groupBy("l_orderkey", "chunk", "n_parts")
               .agg(F.array_sort(F.collect_list(item)).alias("items"),
                    F.round(F.sum("l_extendedprice"), 2).alias("total")))
-    empty = heads.filter(F.col("n_lines").isNull()).select(
-        *[F.col(c) if c != "n_parts" else F.lit(1).cast("long").alias("n_parts") for c in head_cols],
-        F.lit(0).cast("long").alias("chunk"),
-        F.array().cast(ENTITY["orders"]["items"].dataType).alias("items"),
-        F.round(F.col("o_totalprice"), 2).alias("total"),
+    no_items = F.array().cast(ENTITY["orders"]["items"].dataType)
+    per_order = orders.join(nested, orders["o_orderkey"] == nested["l_orderkey"], "left").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
+        F.coalesce(F.col("n_parts"), F.lit(1)).alias("n_parts"),
+        F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
+        F.coalesce(F.col("items"), no_items).alias("items"),
+        F.coalesce(F.col("total"), F.round(F.col("o_totalprice"), 2)).alias("total"),
     )
-    per_order = nested.unionByName(empty)
 
     k = F.col("o_orderkey")
     msgs = per_order.select("*", _copies(k).alias("copy"))
