@@ -121,6 +121,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", default=None)
     p.add_argument("--raw", action="store_true", help="load the raw update log, not the current view")
     p.add_argument("--salt-buckets", type=int, default=0, help="two-level stream dedup for hot keys")
+    p.add_argument("--exclude-status", action="append", default=[],
+                   help="order status left out of order-based gold tables (repeatable, e.g. cancelled)")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
@@ -141,7 +143,8 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "silver":
         q = silver_job(spark, a.topic, a.root, a.trigger or SILVER_TRIGGER, salt_buckets=a.salt_buckets)
     else:
-        q = gold_job(spark, a.name, a.duration, a.root, a.trigger or GOLD_TRIGGER)
+        q = gold_job(spark, a.name, a.duration, a.root, a.trigger or GOLD_TRIGGER,
+                     exclude_status=tuple(a.exclude_status))
     q.awaitTermination()         # W9: run until stopped; restarts belong to the cluster manager
 
 
