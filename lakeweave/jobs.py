@@ -1,12 +1,14 @@
 """Runnable jobs: the medallion flow as ``spark-submit`` entry points.
 
-    spark-submit -m lakeweave.jobs bronze  --topic orders  --source kafka --bootstrap host:9092 \\
-                 --out s3a://lake/bronze/orders --checkpoint s3a://lake/_checkpoints/bronze/orders
-    spark-submit -m lakeweave.jobs silver  --topic payments --root s3a://lake
-    spark-submit -m lakeweave.jobs gold    --name revenue --duration "5 minutes" --root s3a://lake
-    spark-submit -m lakeweave.jobs load    --name revenue --root s3a://lake --target wh.raw_revenue
-    spark-submit -m lakeweave.jobs counts  --root s3a://lake
-    spark-submit -m lakeweave.jobs compact --layer bronze --topic orders --root s3a://lake
+    spark-submit run_job.py bronze  --topic orders --source kafka --bootstrap host:9092 --root s3a://lake
+    spark-submit run_job.py silver  --topic payments --root s3a://lake
+    spark-submit run_job.py gold    --name revenue --duration "5 minutes" --root s3a://lake
+    spark-submit run_job.py load    --name revenue --root s3a://lake --target wh.raw_revenue
+    spark-submit run_job.py counts  --root s3a://lake
+    spark-submit run_job.py compact --layer bronze --topic orders --root s3a://lake
+
+(``run_job.py`` at the repository root; ship the package with
+``--py-files`` or install it on the cluster.)
 
 Layout under ``--root``: ``bronze/<topic>``, ``silver/<topic>``,
 ``gold/<name>``, checkpoints in ``_checkpoints/<layer>/<name>``.  Every
