@@ -59,3 +59,24 @@ def test_current_state_is_latest_batch(spark, rows):
         if w not in best or b > best[w][0]:
             best[w] = (b, t)
     assert got == {(w, t) for w, (_, t) in best.items()}
+
+
+scan_rows = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 20), st.integers(-9, 9)),
+                     min_size=1, max_size=50)
+
+
+@SETTINGS
+@given(rows=scan_rows, parts=st.integers(1, 9), initial=st.integers(0, 30))
+def test_clamped_running_sum_matches_sequential(spark, rows, parts, initial):
+    from lakeweave.operators.prefix import clamped_running_sum, running_sum
+    data = [(k, t, i, c) for i, (k, t, c) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, t int, id int, c int")
+    clamped = {r.id: r.q for r in clamped_running_sum(df, ["k"], ["t", "id"], "c", initial, "q",
+                                                      partitions=parts).collect()}
+    plain = {r.id: r.s for r in running_sum(df, ["k"], ["t", "id"], "c", "s", partitions=parts).collect()}
+    state, total, exp_q, exp_s = {}, {}, {}, {}
+    for k, t, i, c in sorted(data, key=lambda r: (r[1], r[2])):
+        state[k] = max(state.get(k, initial) + c, 0)
+        total[k] = total.get(k, 0) + c
+        exp_q[i], exp_s[i] = state[k], total[k]
+    assert clamped == exp_q and plain == exp_s
