@@ -79,3 +79,17 @@ def test_line_without_part_is_kept(spark, tmp):
     assert [(i.product_id, i.product_name, i.quantity) for i in orphan[0]["items"]] == [("P000999", None, 1)]
     inv = to_bronze(testdata.inventory_messages(spark, tmp), ENTITY["inventory"], stamp=False).collect()
     assert len(inv) == 10 and [r.product_name for r in inv if r.product_id == "P000999"] == [None]
+
+
+def test_orders_plan_shuffles_lines_once_on_order_and_chunk(spark, tmp):
+    import contextlib
+    import io
+    _tables(spark, tmp)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        testdata.order_messages(spark, tmp).explain(mode="formatted")
+    plan = buf.getvalue()
+    assert "hashpartitioning(l_orderkey" in plan and "chunk" in plan and "REPARTITION_BY_COL" in plan
+    # split-order set: counted, then broadcast (no line-sized shuffle to attach it)
+    assert plan.count("BroadcastExchange") >= 1
+    assert "collect_list" in plan
