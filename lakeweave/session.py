@@ -46,11 +46,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (tests, local runs) a
-    folder is created and registered as the checkpoint dir.
+    Read from the session (it is a core setting, fixed at start-up).  Only
+    when it is unset (tests, local runs) a folder is created once per
+    application and registered with ``SparkContext.setCheckpointDir`` so
+    ``DataFrame.checkpoint`` works.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -59,12 +64,17 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
             base = None
     if not base:
-        base = tempfile.mkdtemp(prefix="lakeweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         try:
-            spark.sparkContext.setCheckpointDir(base)
+            app = spark.sparkContext.applicationId
         except Exception:  # noqa: BLE001
-            pass
+            app = "connect"
+        base = _LOCAL_ROOTS.get(app)
+        if base is None:
+            base = _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="lakeweave-ckpt-")
+            try:
+                spark.sparkContext.setCheckpointDir(base)
+            except Exception:  # noqa: BLE001
+                pass
     return base.rstrip("/")
 
 

@@ -13,11 +13,8 @@ from lakeweave.session import build_session  # noqa: E402
 def spark():
     s = build_session("local[4]", shuffle_partitions=4,
                       extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lakeweave-wh-")})
-    # Tests own a scratch checkpoint dir (a cluster sets spark.checkpoint.dir).
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="lakeweave-test-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    # A cluster names its shared folder in spark.checkpoint.dir; when it is
+    # unset, lakeweave.session.shared_root registers a local one.
     yield s
     s.stop()
 

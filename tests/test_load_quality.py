@@ -83,3 +83,30 @@ def test_compact_layer_merges_small_files(spark, tmp):
     out_files = [f for f in os.listdir(f"{tmp}/compact") if f.endswith(".parquet")]
     assert n == 1 and len(out_files) == 1 < len(src_files)
     assert sorted(r.k for r in spark.read.parquet(f"{tmp}/compact").collect()) == list(range(60))
+
+
+def test_shared_root_when_checkpoint_dir_unset():
+    from lakeweave import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        applicationId = "app-test-unset"
+        registered = None
+
+        def getCheckpointDir(self):
+            return self.registered
+
+        def setCheckpointDir(self, d):
+            self.registered = d
+
+    class Spark:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    fake = Spark()
+    root = session.shared_root(fake)
+    assert root and fake.sparkContext.registered == root
+    assert session.shared_root(fake) == root          # registered once, reused
