@@ -53,3 +53,25 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(res.columns)
     assert len(rows) == len(orows)
     assert _bag(df.columns, rows) == _bag(res.columns, orows)
+
+
+LAYOUT_SENSITIVE = ["silver_inventory", "silver_dedup_latest", "running_stock", "customer_classify",
+                    "gold_product_units_1h", "gold_revenue_stream_current"]
+
+
+@pytest.mark.parametrize("name", LAYOUT_SENSITIVE)
+def test_results_do_not_depend_on_layout(spark, duck, name):
+    """Same answers with AQE off, no automatic broadcast and an odd partition count."""
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.shuffle.partitions": "3"}
+    old = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        df = E.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    res = duck.sql(E.oracle_sql()[name])
+    assert _bag(df.columns, rows) == _bag(res.columns, res.fetchall())
