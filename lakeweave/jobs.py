@@ -123,6 +123,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", default=None)
     p.add_argument("--raw", action="store_true", help="load the raw update log, not the current view")
     p.add_argument("--salt-buckets", type=int, default=0, help="two-level stream dedup for hot keys")
+    p.add_argument("--corrupt-col", default=None,
+                   help="bronze: keep the raw text of unparsable messages in this column")
     p.add_argument("--exclude-status", action="append", default=[],
                    help="order status left out of order-based gold tables (repeatable, e.g. cancelled)")
     a = p.parse_args(argv)
@@ -141,7 +143,7 @@ def main(argv: list[str] | None = None) -> None:
         env = (read_topic(spark, a.bootstrap, a.topic) if a.source == "kafka"
                else read_envelope_stream(spark, a.envelope))
         out, ckpt = (a.out, a.checkpoint) if a.out else _paths(a.root, "bronze", a.topic)
-        q = bronze_job(spark, a.topic, env, out, ckpt, a.trigger or BRONZE_TRIGGER)
+        q = bronze_job(spark, a.topic, env, out, ckpt, a.trigger or BRONZE_TRIGGER, corrupt_col=a.corrupt_col)
     elif a.job == "silver":
         q = silver_job(spark, a.topic, a.root, a.trigger or SILVER_TRIGGER, salt_buckets=a.salt_buckets)
     else:

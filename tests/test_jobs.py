@@ -82,7 +82,8 @@ def test_jobs_command_line(spark, tmp):
     vals = [payment(f"P{i}", amount=1.0, created_at="2024-01-01T00:00:00+00:00") for i in range(3)]
     envelope(spark, "payments", vals, keys=["ORD1"] * 3).write.parquet(f"{tmp}/env")
     jobs.main(["bronze", "--topic", "payments", "--source", "parquet", "--envelope", f"{tmp}/env",
-               "--root", root, "--trigger", "availableNow"])
+               "--root", root, "--trigger", "availableNow", "--corrupt-col", "_corrupt_record"])
+    assert "_corrupt_record" in spark.read.parquet(f"{root}/bronze/payments").columns
     jobs.main(["silver", "--topic", "payments", "--root", root, "--trigger", "availableNow", "--salt-buckets", "4"])
     jobs.main(["gold", "--name", "revenue", "--duration", "1 hour", "--root", root, "--trigger", "availableNow"])
     jobs.main(["load", "--name", "revenue", "--root", root, "--target", f"{tmp}/wh"])
