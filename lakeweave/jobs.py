@@ -67,12 +67,13 @@ def silver_job(spark: SparkSession, topic: str, root: str, trigger: str = SILVER
 
 
 def gold_job(spark: SparkSession, name: str, duration: str, root: str, trigger: str = GOLD_TRIGGER,
-             delay: str = DELAY, exclude_status: tuple[str, ...] = ()):
+             delay: str = DELAY, exclude_status: tuple[str, ...] = (),
+             max_files_per_trigger: int | None = None):
     """S2 -> W2/W3 + A1|A2|A3 -> K3 (update log, one folder per batch)."""
     topic, build = gold.GOLD_BUILDERS[name]
     src, _ = _paths(root, "silver", topic)
     out, ckpt = _paths(root, "gold", name)
-    silver = read_layer_stream(spark, src, silver_schema(ENTITY[topic]))
+    silver = read_layer_stream(spark, src, silver_schema(ENTITY[topic]), max_files_per_trigger)
     kwargs = {"exclude_status": exclude_status} if topic == "orders" else {}
     return run_update(build(silver, duration, delay=delay, **kwargs), out, ckpt, trigger,
                       query_name=f"gold_{name}")
@@ -123,6 +124,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", default=None)
     p.add_argument("--raw", action="store_true", help="load the raw update log, not the current view")
     p.add_argument("--salt-buckets", type=int, default=0, help="two-level stream dedup for hot keys")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=None,
+                   help="bronze from Kafka: bound each micro-batch")
+    p.add_argument("--max-files-per-trigger", type=int, default=None,
+                   help="silver / gold / parquet bronze: bound each micro-batch")
     p.add_argument("--corrupt-col", default=None,
                    help="bronze: keep the raw text of unparsable messages in this column")
     p.add_argument("--exclude-status", action="append", default=[],
@@ -140,15 +145,16 @@ def main(argv: list[str] | None = None) -> None:
         load_job(spark, a.name, a.root, a.target, current=not a.raw)
         return
     if a.job == "bronze":
-        env = (read_topic(spark, a.bootstrap, a.topic) if a.source == "kafka"
-               else read_envelope_stream(spark, a.envelope))
+        env = (read_topic(spark, a.bootstrap, a.topic, max_offsets_per_trigger=a.max_offsets_per_trigger)
+               if a.source == "kafka" else read_envelope_stream(spark, a.envelope, a.max_files_per_trigger))
         out, ckpt = (a.out, a.checkpoint) if a.out else _paths(a.root, "bronze", a.topic)
         q = bronze_job(spark, a.topic, env, out, ckpt, a.trigger or BRONZE_TRIGGER, corrupt_col=a.corrupt_col)
     elif a.job == "silver":
-        q = silver_job(spark, a.topic, a.root, a.trigger or SILVER_TRIGGER, salt_buckets=a.salt_buckets)
+        q = silver_job(spark, a.topic, a.root, a.trigger or SILVER_TRIGGER, salt_buckets=a.salt_buckets,
+                       max_files_per_trigger=a.max_files_per_trigger)
     else:
         q = gold_job(spark, a.name, a.duration, a.root, a.trigger or GOLD_TRIGGER,
-                     exclude_status=tuple(a.exclude_status))
+                     exclude_status=tuple(a.exclude_status), max_files_per_trigger=a.max_files_per_trigger)
     q.awaitTermination()         # W9: run until stopped; restarts belong to the cluster manager
 
 

@@ -85,7 +85,8 @@ def test_jobs_command_line(spark, tmp):
                "--root", root, "--trigger", "availableNow", "--corrupt-col", "_corrupt_record"])
     assert "_corrupt_record" in spark.read.parquet(f"{root}/bronze/payments").columns
     jobs.main(["silver", "--topic", "payments", "--root", root, "--trigger", "availableNow", "--salt-buckets", "4"])
-    jobs.main(["gold", "--name", "revenue", "--duration", "1 hour", "--root", root, "--trigger", "availableNow"])
+    jobs.main(["gold", "--name", "revenue", "--duration", "1 hour", "--root", root, "--trigger", "availableNow",
+               "--max-files-per-trigger", "1"])
     jobs.main(["load", "--name", "revenue", "--root", root, "--target", f"{tmp}/wh"])
     r = spark.read.parquet(f"{tmp}/wh").first()
     assert (r.window_start, r.total_revenue, r.transaction_count) == ("2024-01-01 00:00:00.000000", 3.0, 3)
