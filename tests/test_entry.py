@@ -7,6 +7,8 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from lakeweave.plans.catalog import all_queries
+from lakeweave.plans.oracle import oracle_sql as _oracle
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test tables not present")
@@ -32,7 +34,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(_oracle()) == set(all_queries())
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +46,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
