@@ -142,7 +142,7 @@ def rules() -> dict[str, tuple[Column, Column]]:
         "line_copies": (never, (F.col("n_lines") >= 4) & (_share("n_dup_lines", "n_lines") > 0.3)),
         "vocabulary": ((words >= 50) & (_share("n_unique_words", "n_words") > 0.4),
                        (words >= 50) & (words <= 1000) & (_share("n_unique_words", "n_words") < 0.15)),
-        "function_words": ((words >= 20) & (_share("n_function_words", "n_words") > 0.1),
+        "function_words": ((words >= 20) & (_share("n_function_words", "n_words") > 0.06),
                            (words >= 50) & (_share("n_function_words", "n_words") < 0.01)),
         "capitals": (never, (F.col("n_letters") >= 100) & (_share("n_upper", "n_letters") > 0.5)),
     }
