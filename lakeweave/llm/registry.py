@@ -3,11 +3,12 @@ production parameters to its whole table."""
 
 from __future__ import annotations
 
-from . import byte_bpe, language_id, packing, quality_votes, token_files
+from . import byte_bpe, language_id, packing, quality_votes, sharding, token_files
 
 QUERIES = {f.__name__: f for f in (
     quality_votes.op3_quality_votes,
     byte_bpe.op4_byte_bpe,
+    sharding.op6_sharding,
     packing.op8_packing,
     token_files.op9_token_files,
     language_id.op10_language_id,
