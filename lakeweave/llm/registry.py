@@ -3,12 +3,15 @@ production parameters to its whole table."""
 
 from __future__ import annotations
 
-from . import byte_bpe, language_id, packing, quality_votes, sharding, token_files
+from . import (byte_bpe, cross_polytope, language_id, packing, quality_votes, sharding, token_files,
+               weighted_minhash)
 
 QUERIES = {f.__name__: f for f in (
+    weighted_minhash.op1_weighted_minhash,
     quality_votes.op3_quality_votes,
     byte_bpe.op4_byte_bpe,
     sharding.op6_sharding,
+    cross_polytope.op7_cross_polytope,
     packing.op8_packing,
     token_files.op9_token_files,
     language_id.op10_language_id,
