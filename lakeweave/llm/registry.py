@@ -3,11 +3,12 @@ production parameters to its whole table."""
 
 from __future__ import annotations
 
-from . import (byte_bpe, cross_polytope, language_id, packing, quality_votes, sharding, token_files,
+from . import (byte_bpe, cross_polytope, language_id, packing, quality_votes, repeats, sharding, token_files,
                weighted_minhash)
 
 QUERIES = {f.__name__: f for f in (
     weighted_minhash.op1_weighted_minhash,
+    repeats.op2_repeats,
     quality_votes.op3_quality_votes,
     byte_bpe.op4_byte_bpe,
     sharding.op6_sharding,
