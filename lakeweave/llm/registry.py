@@ -3,7 +3,7 @@ production parameters to its whole table."""
 
 from __future__ import annotations
 
-from . import (byte_bpe, cross_polytope, language_id, packing, quality_votes, repeats, sharding, token_files,
+from . import (byte_bpe, cross_polytope, language_id, line_templates, packing, quality_votes, repeats, sharding, token_files,
                weighted_minhash)
 
 QUERIES = {f.__name__: f for f in (
@@ -11,6 +11,7 @@ QUERIES = {f.__name__: f for f in (
     repeats.op2_repeats,
     quality_votes.op3_quality_votes,
     byte_bpe.op4_byte_bpe,
+    line_templates.op5_line_templates,
     sharding.op6_sharding,
     cross_polytope.op7_cross_polytope,
     packing.op8_packing,

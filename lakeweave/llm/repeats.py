@@ -368,10 +368,11 @@ def marks(src: DataFrame) -> DataFrame:
     return done.unionByName(by_windows(matched.filter(F.col("kind") == WINDOW)))
 
 
-def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of ``df`` with ``kept`` (binary), ``n_bytes, n_removed,
-    n_spans`` put before its own columns; columns of ``df`` with these names
-    are dropped."""
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
+    """Every row of ``df`` with ``kept, n_bytes, n_removed, n_spans`` put before
+    its own columns but the text; columns of ``df`` with these names are
+    dropped.  ``kept`` is binary, or with ``as_text`` a string without the
+    characters that a cut left incomplete."""
     spark = df.sparkSession
     mine = ("kept", "n_bytes", "n_removed", "n_spans")
     own = [c for c in df.columns if c.lower() not in mine]
@@ -385,7 +386,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty = F.array().cast("array<struct<start:bigint,length:bigint>>")
     hit = possible(src, found, "doc_id").join(lists, ["doc_id", "print"], "left").select("text", F.coalesce("m", empty).alias("m"), "row")
     rest = possible(src, found, "doc_id", outside=True).select("text", empty.alias("m"), "row")
-    schema = fields("kept binary, n_bytes long, n_removed long, n_spans long").add("row", src.schema["row"].dataType)
+    schema = fields(f"kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long").add("row", src.schema["row"].dataType)
 
     def run(batch):
         data, off = tb.flat(batch.column(0))
@@ -414,13 +415,15 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             kept.append(b"".join(out))
             removed.append(int(n.sum()))
             spans.append(len(at))
-        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.binary()), pa.array(np.diff(off)), pa.array(removed, pa.int64()),
+        if as_text:
+            kept = [k.decode("utf-8", "ignore") for k in kept]
+        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(np.diff(off)), pa.array(removed, pa.int64()),
                                           pa.array(spans, pa.int64()), batch.column(2)],
                                          names=["kept", "n_bytes", "n_removed", "n_spans", "row"])
 
     out = on_text(hit, run, schema).unionByName(on_text(rest, run, schema))
     ship(spark)
-    return out.select(*mine[:1], *mine[1:], *[F.col(f"row.`{c}`").alias(c) for c in own if c != text_col])
+    return out.select(*mine, *[F.col(f"row.`{c}`").alias(c) for c in own if c != text_col])
 
 
 def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
