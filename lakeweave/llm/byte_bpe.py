@@ -161,8 +161,9 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``ids`` (array<int>) of each row's whole text."""
+def per_slice(df: DataFrame, path: str, finish, schema, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encodes every row's whole text and hands each slice to ``finish(ids of
+    rows, token ids, offsets)``, which gives the columns of ``schema``."""
     src = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batch):
@@ -170,10 +171,16 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         data, off = tb.flat(batch.column(1))
         for i, b, o in tb.slices(data, off, pieces.SLICE):
             ids, begin = pieces.byte_ids(cache, b, o)
-            lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(o) - 1), lists], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays(finish(batch.column(0).slice(i, len(o) - 1), ids, begin), names=schema.names)
+
+    return on_text(src, run, schema)
+
 
-    return on_text(src, run, fields("doc_id long, ids array<int>"))
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id`` and ``ids`` (array<int>) of each row's whole text."""
+    return per_slice(df, path, lambda rows, ids, begin: [
+        rows, pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids))],
+        fields("doc_id long, ids array<int>"), id_col, text_col)
 
 
 def list_parts(col) -> tuple[np.ndarray, np.ndarray]:
@@ -217,13 +224,14 @@ def id_digests(ids: np.ndarray, off: np.ndarray, size: int) -> list[str]:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    decoded = decode(encode(read(spark, sf_dir, "documents"), path), path)
 
-    def run(batch):
-        ids, off = list_parts(batch.column(1))
-        sha = id_digests(ids, off, len(codec(path).token_begin) - 1)
-        back = [hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(off)), pa.array(sha), pa.array(back)],
-                                         names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    def digests(rows, ids, begin):
+        ids = ids.astype(np.int64)
+        data, at = codec(path).decode(ids, begin)
+        raw = memoryview(data.tobytes())
+        back = [hashlib.sha256(raw[s:e]).hexdigest() for s, e in zip(at[:-1].tolist(), at[1:].tolist())]
+        sha = id_digests(ids, begin, len(codec(path).token_begin) - 1)
+        return [rows, pa.array(np.diff(begin)), pa.array(sha, pa.string()), pa.array(back, pa.string())]
 
-    return on_text(decoded, run, fields("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))
+    return per_slice(read(spark, sf_dir, "documents"), path, digests,
+                     fields("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))

@@ -18,7 +18,7 @@ import numpy as np
 
 from . import textbytes as tb
 
-SLICE = 1 << 22
+SLICE = 1 << 20
 
 _CLASS = np.full(256, 3, np.uint8)          # 0: cuts nowhere, 1 letter, 2 digit, 3 punctuation
 _CLASS[128:] = 0
@@ -100,7 +100,7 @@ def word_pieces(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 class PieceCache:
     """Ids of pieces by fingerprint; emptied when it holds ``limit`` pieces."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], limit: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], limit: int = 800_000):
         self.encode, self.limit = encode, limit
         self.clear()
 

@@ -33,7 +33,7 @@ _pow = {"n": 0, "p": None, "inv": None}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``B^i`` and ``B^-i`` for i < n (grown on demand, shared by all calls)."""
     if _pow["n"] < n:
-        size = max(n, SLICE * 2)
+        size = max(n, SLICE + SLICE // 4)
         for name, base in (("p", _BASE), ("inv", _BASE_INV)):
             a = np.full(size, base, U)
             a[0] = 1
