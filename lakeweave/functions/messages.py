@@ -16,7 +16,7 @@ def encode_messages(df: DataFrame, topic: str, key_col: str | None,
     """K6: rows -> keyed JSON messages ``(key BINARY, value BINARY, topic)``.
 
     ``value`` is the UTF-8 JSON of ``fields`` (default: every column),
-    non-ASCII kept literally; ``key`` is the UTF-8 bytes of ``key_col`` or
+    non-ASCII kept literally and NULL fields written as ``null``; ``key`` is the UTF-8 bytes of ``key_col`` or
     NULL; ``keep`` columns are carried through unchanged.  The result can
     go straight to ``df.write.format("kafka")`` where that connector is
     installed.
@@ -25,7 +25,7 @@ def encode_messages(df: DataFrame, topic: str, key_col: str | None,
     key = F.col(key_col).cast("binary") if key_col else F.lit(None).cast("binary")
     return df.select(
         key.alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in cols])).cast("binary").alias("value"),
+        F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"}).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         *[F.col(c) for c in keep],
     )

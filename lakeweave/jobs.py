@@ -29,7 +29,8 @@ from .operators.bronze import to_bronze
 from .operators.quality import layer_counts
 from .operators.silver import silver_entity
 from .schemas import ENTITY, GOLD_TABLES, bronze_schema, silver_schema
-from .sinks.files import compact_layer, load_table
+from .sinks.files import compact_layer, compact_log, load_table
+from .session import configure
 from .sources.layers import read_envelope_stream, read_layer, read_layer_stream, read_topic
 from .streaming.runner import run_append, run_update
 
@@ -55,14 +56,13 @@ def bronze_job(spark: SparkSession, topic: str, envelope: DataFrame, out: str, c
 
 
 def silver_job(spark: SparkSession, topic: str, root: str, trigger: str = SILVER_TRIGGER,
-               delay: str = DELAY, max_files_per_trigger: int | None = None, salt_buckets: int = 0):
+               delay: str = DELAY, max_files_per_trigger: int | None = None):
     """S2 -> P5, F6 -> W1 + D1 -> P6 -> K2 for one entity.  Per-rule reject
     counts appear in ``query.lastProgress["observedMetrics"]["<topic>_rejects"]``."""
     src, _ = _paths(root, "bronze", topic)
     out, ckpt = _paths(root, "silver", topic)
     bronze = read_layer_stream(spark, src, bronze_schema(ENTITY[topic]), max_files_per_trigger)
-    silver = silver_entity(bronze, topic, delay=delay, observe=f"{topic}_rejects",
-                           salt_buckets=salt_buckets)
+    silver = silver_entity(bronze, topic, delay=delay, observe=f"{topic}_rejects")
     return run_append(silver, out, ckpt, trigger, query_name=f"silver_{topic}")
 
 
@@ -83,34 +83,44 @@ def load_job(spark: SparkSession, name: str, root: str, target: str, current: bo
     """Full refresh of a warehouse table from a gold log."""
     schema, keys, _table, cols = GOLD_TABLES[name]
     folder, _ = _paths(root, "gold", name)
-    return load_table(spark, folder, schema, keys, cols, target, current=current)
+    compacted, _ = _paths(root, "gold_compacted", name)
+    return load_table(spark, folder, schema, keys, cols, target, current=current,
+                      compacted=compacted if current else None)
 
 
 def compact_job(spark: SparkSession, layer: str, name: str, root: str,
                 target_file_bytes: int = 128 * 1024 * 1024) -> str:
     """Small-file compaction of ``<root>/<layer>/<name>`` into
-    ``<root>/<layer>_compacted/<name>``; returns the new folder."""
-    schema = {"bronze": lambda: bronze_schema(ENTITY[name]),
-              "silver": lambda: silver_schema(ENTITY[name])}[layer]()
+    ``<root>/<layer>_compacted/<name>``; returns the new folder.  A gold log
+    is folded to its current rows, and ``load`` reads those plus the batches
+    since; ``counts`` reads compacted bronze and silver with ``compacted``."""
     src, _ = _paths(root, layer, name)
     dst, _ = _paths(root, f"{layer}_compacted", name)
-    compact_layer(spark, src, dst, schema, target_file_bytes)
+    if layer == "gold":
+        compact_log(spark, src, dst, GOLD_TABLES[name][0], GOLD_TABLES[name][1])
+    else:
+        schema = bronze_schema(ENTITY[name]) if layer == "bronze" else silver_schema(ENTITY[name])
+        compact_layer(spark, src, dst, schema, target_file_bytes)
     return dst
 
 
-def counts_job(spark: SparkSession, root: str, topics=("orders", "payments", "inventory")) -> DataFrame:
-    """A4: bronze vs silver row counts per topic."""
+def counts_job(spark: SparkSession, root: str, topics=("orders", "payments", "inventory"),
+               compacted: bool = False) -> DataFrame:
+    """A4: bronze vs silver row counts per topic (of the compacted layers, as
+    they were when compacted, if asked)."""
+    end = "_compacted" if compacted else ""
     layers = {}
     for t in topics:
-        layers[t] = (read_layer(spark, _paths(root, "bronze", t)[0], bronze_schema(ENTITY[t])),
-                     read_layer(spark, _paths(root, "silver", t)[0], silver_schema(ENTITY[t])))
+        layers[t] = (read_layer(spark, _paths(root, f"bronze{end}", t)[0], bronze_schema(ENTITY[t])),
+                     read_layer(spark, _paths(root, f"silver{end}", t)[0], silver_schema(ENTITY[t])))
     return layer_counts(layers)
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="lakeweave.jobs")
     p.add_argument("job", choices=["bronze", "silver", "gold", "load", "counts", "compact"])
-    p.add_argument("--layer", default="bronze", choices=["bronze", "silver"], help="layer to compact")
+    p.add_argument("--layer", default="bronze", choices=["bronze", "silver", "gold"], help="layer to compact")
+    p.add_argument("--compacted", action="store_true", help="counts: read the compacted layers")
     p.add_argument("--root", default=None, help="lake root folder (bronze/silver/gold below it)")
     p.add_argument("--topic", default=None)
     p.add_argument("--name", default=None, help="gold table: revenue | product_units | customer_activity")
@@ -123,7 +133,6 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--target", default=None)
     p.add_argument("--raw", action="store_true", help="load the raw update log, not the current view")
-    p.add_argument("--salt-buckets", type=int, default=0, help="two-level stream dedup for hot keys")
     p.add_argument("--max-offsets-per-trigger", type=int, default=None,
                    help="bronze from Kafka: bound each micro-batch")
     p.add_argument("--max-files-per-trigger", type=int, default=None,
@@ -134,15 +143,18 @@ def main(argv: list[str] | None = None) -> None:
                    help="order status left out of order-based gold tables (repeatable, e.g. cancelled)")
     a = p.parse_args(argv)
 
-    spark = SparkSession.builder.getOrCreate()
+    if a.out and not a.checkpoint:
+        p.error("--out needs --checkpoint")
+    spark = configure(SparkSession.builder.getOrCreate())
     if a.job == "counts":
-        counts_job(spark, a.root).show(truncate=False)
+        counts_job(spark, a.root, compacted=a.compacted).show(truncate=False)
         return
     if a.job == "compact":
-        compact_job(spark, a.layer, a.topic, a.root)
+        compact_job(spark, a.layer, a.name if a.layer == "gold" else a.topic, a.root)
         return
     if a.job == "load":
-        load_job(spark, a.name, a.root, a.target, current=not a.raw)
+        if load_job(spark, a.name, a.root, a.target or GOLD_TABLES[a.name][2], current=not a.raw) is None:
+            print(f"load of {a.name} skipped: nothing in its gold folder")
         return
     if a.job == "bronze":
         env = (read_topic(spark, a.bootstrap, a.topic, max_offsets_per_trigger=a.max_offsets_per_trigger)
@@ -150,7 +162,7 @@ def main(argv: list[str] | None = None) -> None:
         out, ckpt = (a.out, a.checkpoint) if a.out else _paths(a.root, "bronze", a.topic)
         q = bronze_job(spark, a.topic, env, out, ckpt, a.trigger or BRONZE_TRIGGER, corrupt_col=a.corrupt_col)
     elif a.job == "silver":
-        q = silver_job(spark, a.topic, a.root, a.trigger or SILVER_TRIGGER, salt_buckets=a.salt_buckets,
+        q = silver_job(spark, a.topic, a.root, a.trigger or SILVER_TRIGGER,
                        max_files_per_trigger=a.max_files_per_trigger)
     else:
         q = gold_job(spark, a.name, a.duration, a.root, a.trigger or GOLD_TRIGGER,

@@ -16,30 +16,23 @@ from pyspark.sql import functions as F
 
 
 def dedup_stream(df: DataFrame, key: str | list[str], ts: str = "created_at_ts",
-                 delay: str = "10 minutes", salt_buckets: int = 0) -> DataFrame:
+                 delay: str = "10 minutes") -> DataFrame:
     """D1 (streaming only): ``withWatermark(ts, delay)`` then
     ``dropDuplicatesWithinWatermark(key)``.
 
     Guarantee is "at least ``delay``": state for a key is dropped only once
     the watermark passes first-seen + delay, at the end of a micro-batch.
 
-    Streaming de-duplication has no map-side combine: every copy of a key
-    in a micro-batch is hashed to one task.  With ``salt_buckets = S > 1``
-    a first level de-duplicates on (key, salt), salt = hash of the whole
-    row, spreading a hot key's copies over S tasks; a second level on the
-    key then sees at most S survivors per key and batch.  Output is the
-    same (one first-seen row per key; which copy of one micro-batch wins is
-    undefined either way) at the price of a second shuffle and state store.
+    Streaming de-duplication has no map-side combine: the copies of a key in
+    one micro-batch meet in one task.  Bound them with the source's
+    ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``.  (A salted first
+    level would not do: it remembers rows that the second level rejected,
+    so a key could be held back after its own state has expired.)
     """
     if not df.isStreaming:
         raise ValueError("dedup_stream needs a streaming DataFrame; use dedup_first on batch data")
     keys = [key] if isinstance(key, str) else list(key)
-    marked = df.withWatermark(ts, delay)
-    if salt_buckets and salt_buckets > 1:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-        marked = marked.withColumn("_dedup_salt", salt) \
-            .dropDuplicatesWithinWatermark(keys + ["_dedup_salt"]).drop("_dedup_salt")
-    return marked.dropDuplicatesWithinWatermark(keys)
+    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def _keep_one(df: DataFrame, keys: list[str], order_by: list[str | Column], pick) -> DataFrame:

@@ -85,7 +85,8 @@ def scan_slices(sliced: DataFrame, keys: list[str], order_by: list[str],
     # the second scan of clamped_running_sum) and only the carry table moves.
     joined = local.join(carry, on=layout, how="left").select(*local.columns, "_carry")
     if op == "sum":
-        total = F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))
+        # a NULL change is no change, also where a slice holds nothing else
+        total = F.coalesce(F.col("_local"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0))
     elif op == "min":
         total = F.least(F.col("_local"), F.col("_carry"))   # least() skips NULL
     else:

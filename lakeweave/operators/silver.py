@@ -54,16 +54,14 @@ def observe_rejects(bronze_typed: DataFrame, rules: list[Rule], name: str) -> Da
 
 def silver_entity(bronze: DataFrame, entity: str, stamp: bool = True,
                   delay: str = "10 minutes", reject_nan: bool = False,
-                  observe: str | None = None, salt_buckets: int = 0,
-                  keep: list[str] | None = None) -> DataFrame:
+                  observe: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Whole silver job for one entity, batch or stream.
 
     Stream: rules -> watermark + ``dropDuplicatesWithinWatermark`` (D1).
     Batch: rules -> keep first arrival per key (same result as D1 when no
     duplicate outlives the delay).  With ``observe`` the per-rule reject
     counts of every (micro-)batch are published as observed metrics under
-    that name.  ``salt_buckets`` spreads hot keys in the stream dedup (see
-    ``dedup_stream``).
+    that name.
 
     ``keep`` names the columns a downstream consumer needs: after the rules
     the rows are narrowed to key + arrival order + ``keep`` before the
@@ -82,7 +80,7 @@ def silver_entity(bronze: DataFrame, entity: str, stamp: bool = True,
         wanted = [key] + ARRIVAL_ORDER + ["created_at_ts"] + list(keep)
         clean = clean.select(*dict.fromkeys(wanted))
     if clean.isStreaming:
-        out = dedup_stream(clean, key, delay=delay, salt_buckets=salt_buckets)
+        out = dedup_stream(clean, key, delay=delay)
     else:
         out = dedup_first(clean, key, ARRIVAL_ORDER)
     if stamp:

@@ -18,8 +18,8 @@ from ..operators import derive, gold
 from ..operators.bronze import corrupt_split, to_bronze
 from ..operators.dedup import dedup_latest
 from ..operators.quality import layer_counts
-from ..operators.silver import reject_counts, silver_entity, to_silver
-from ..schemas import ENTITY, bronze_schema
+from ..operators.silver import ARRIVAL_ORDER, reject_counts, silver_entity, to_silver
+from ..schemas import ENTITY, ENTITY_KEY
 from ..session import scratch
 from ..sinks.files import write_layer
 from ..sources.layers import read_layer
@@ -29,31 +29,44 @@ CORRUPT = "_corrupt_record"
 
 
 # --- layer builders over the test tables ----------------------------------
+# Columns that silver rules read (besides created_at).
+RULE_COLUMNS = {
+    "orders": ["order_id", "customer_id", "total_amount"],
+    "payments": ["payment_id", "order_id", "amount", "payment_status"],
+    "inventory": ["inventory_id", "product_id", "quantity_on_hand"],
+}
+
+
 def bronze(spark: SparkSession, sf_dir: str, topic: str, corrupt_col: str | None = None,
-           materialize: bool = True) -> DataFrame:
+           materialize: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Bronze layer of one topic.
 
     With ``materialize`` (for consumers that filter, i.e. silver) it is
     written as Parquet to the shared folder, as the bronze job does, and
     read back with its declared schema: the silver predicates then reach
     the Parquet scan instead of being pushed into the JSON parse, where
-    Catalyst would evaluate ``from_json`` once per predicate.  Consumers
-    that only project or aggregate read the parse directly (``from_json``
-    appears once in their plan) and skip the write.
+    Catalyst would evaluate ``from_json`` once per predicate.  ``keep``
+    narrows that copy (and the JSON parse) to arrival order, the columns of
+    the silver rules and these.  Consumers that only project or aggregate
+    read the parse directly (``from_json`` appears once in their plan) and
+    skip the write.
     """
     parsed = to_bronze(messages(spark, sf_dir, topic), ENTITY[topic], corrupt_col=corrupt_col, stamp=False)
     if not materialize:
         return parsed
+    if keep is not None:
+        wanted = {ENTITY_KEY[topic], *ARRIVAL_ORDER, "created_at", *RULE_COLUMNS[topic], *keep}
+        parsed = parsed.select(*[c for c in parsed.columns if c in wanted])
     path = scratch(spark, f"bronze-{topic}")
     write_layer(parsed, path)
-    return read_layer(spark, path, bronze_schema(ENTITY[topic], stamp=False, corrupt_col=corrupt_col))
+    return read_layer(spark, path, parsed.schema)
 
 
 def silver(spark: SparkSession, sf_dir: str, topic: str, bronze_df: DataFrame | None = None,
            keep: list[str] | None = None) -> DataFrame:
-    """Silver rows of one topic; ``keep`` narrows them to what the consumer
-    reads (the bronze scan is pruned accordingly)."""
-    src = bronze_df if bronze_df is not None else bronze(spark, sf_dir, topic)
+    """Silver rows of one topic; ``keep`` narrows them, and the bronze copy,
+    to what the consumer reads."""
+    src = bronze_df if bronze_df is not None else bronze(spark, sf_dir, topic, keep=keep)
     return silver_entity(src, topic, stamp=False, keep=keep)
 
 
@@ -147,8 +160,8 @@ def _gold(name: str, duration: str):
 def q_layer_counts(spark, sf):
     layers = {}
     for t in ("orders", "payments", "inventory"):
-        b = bronze(spark, sf, t)
-        layers[t] = (b, silver(spark, sf, t, bronze_df=b))
+        b = bronze(spark, sf, t, keep=[])
+        layers[t] = (b, silver(spark, sf, t, bronze_df=b, keep=[]))
     return layer_counts(layers)
 
 

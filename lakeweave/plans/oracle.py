@@ -4,9 +4,8 @@ Each entity is rebuilt straight from the test tables with the same
 modulo dirt rules as ``sources/testdata.py`` (no JSON round trip), then
 the operator semantics are restated in plain SQL: filters, first-arrival
 de-duplication with ``row_number``, ``time_bucket`` windows from the
-epoch, window-function running sums.  Orders never exceed
-``MAX_ITEMS`` lines in the test tables, so order ids carry no chunk
-suffix here.
+epoch, window-function running sums.  Orders are cut into parts of
+``PART_LINES`` lines by the same rule as in ``sources/testdata.py``.
 """
 
 from __future__ import annotations
@@ -87,22 +86,26 @@ ORD_CTE = f"""ord_lines AS (
   SELECT l.l_orderkey,
     'P' || {_lp('l.l_partkey', 6)} AS product_id,
     p.p_name AS product_name,
-    CAST(l.l_quantity AS INTEGER) AS quantity,
+    CASE WHEN {_every('l.l_partkey', td.NULL_QUANTITY_EVERY)} THEN NULL ELSE CAST(l.l_quantity AS INTEGER) END AS quantity,
     l.l_extendedprice / l.l_quantity AS unit_price,
-    l.l_extendedprice
+    l.l_extendedprice,
+    (row_number() OVER (PARTITION BY l.l_orderkey ORDER BY coalesce(l.l_partkey % {td.LINE_RANGES}, 0), l.l_partkey NULLS FIRST,
+                        l.l_quantity, l.l_extendedprice) - 1) // {td.PART_LINES} AS part
   FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
 ), ord_tot AS (
-  SELECT l_orderkey, count(*) AS n_items, round(sum(l_extendedprice), 2) AS total
-  FROM ord_lines GROUP BY l_orderkey
+  SELECT l_orderkey, part, count(*) AS n_items, round(sum(l_extendedprice), 2) AS total
+  FROM ord_lines GROUP BY l_orderkey, part
 ), ord_src AS (
-  SELECT o.*, t.n_items, t.total, 0 AS copy FROM orders o LEFT JOIN ord_tot t ON o.o_orderkey = t.l_orderkey
+  SELECT o.*, coalesce(t.part, 0) AS part, t.n_items, t.total, 0 AS copy
+  FROM orders o LEFT JOIN ord_tot t ON o.o_orderkey = t.l_orderkey
   UNION ALL
-  SELECT o.*, t.n_items, t.total, 1 AS copy FROM orders o LEFT JOIN ord_tot t ON o.o_orderkey = t.l_orderkey
+  SELECT o.*, coalesce(t.part, 0) AS part, t.n_items, t.total, 1 AS copy
+  FROM orders o LEFT JOIN ord_tot t ON o.o_orderkey = t.l_orderkey
   WHERE {_every('o.o_orderkey', DUP)}
 ), ord_rec AS (
   SELECT
-    o_orderkey AS _k,
-    'ORD' || {_lp('o_orderkey', 12)} AS f_order_id,
+    o_orderkey AS _k, part AS _part,
+    'ORD' || {_lp('o_orderkey', 12)} || '-' || CAST(part AS VARCHAR) AS f_order_id,
     CASE WHEN {_every('o_orderkey', NUL)} THEN NULL ELSE 'CUST' || {_lp('o_custkey', 5)} END AS f_customer_id,
     CASE WHEN o_orderpriority = '5-LOW' THEN 'cancelled' WHEN o_orderstatus = 'F' THEN 'shipped'
          WHEN o_orderstatus = 'O' THEN 'created' ELSE 'confirmed' END AS f_order_status,
@@ -114,12 +117,12 @@ ORD_CTE = f"""ord_lines AS (
     'order_created' AS f_event_type,
     CAST(coalesce(n_items, 0) AS INTEGER) AS f_item_count,
     CAST(o_custkey % {td.TOPIC_PARTITIONS} AS INTEGER) AS "partition",
-    o_orderkey * 2 + copy AS "offset",
+    (o_orderkey * 2 + copy) * {td.MAX_PARTS} + part AS "offset",
     CAST(o_orderdate + to_seconds(o_orderkey % 86400) AS TIMESTAMP) AS kafka_timestamp,
     {_every('o_orderkey', BRK)} AS _broken
   FROM ord_src
 ), bronze_orders AS (
-  {_bronze('ord_rec', 'f_customer_id', ORD_FIELDS + ['item_count'], 'orders', ', _k, _broken')}
+  {_bronze('ord_rec', 'f_customer_id', ORD_FIELDS + ['item_count'], 'orders', ', _k, _part, _broken')}
 )"""
 
 INV_CTE = f"""inv_rec AS (
@@ -145,7 +148,7 @@ INV_CTE = f"""inv_rec AS (
 
 CUS_CTE = f"""cus_rec AS (
   SELECT
-    'CUST' || {_lp('user_id', 5)} AS f_customer_id,
+    CASE WHEN {_every('event_id', NUL)} THEN NULL ELSE 'CUST' || {_lp('user_id', 5)} END AS f_customer_id,
     'Customer ' || CAST(user_id AS VARCHAR) || ' #' || CAST(event_id AS VARCHAR) AS f_full_name,
     'user' || CAST(user_id AS VARCHAR) || '.' || CAST(event_id AS VARCHAR) || '@example.com' AS f_email,
     '09' || {_lp('event_id % 100000000', 8)} AS f_phone,
@@ -153,12 +156,12 @@ CUS_CTE = f"""cus_rec AS (
     {_list(td.CITIES)}[event_id % {len(td.CITIES)} + 1] AS f_city,
     {_list(td.SEGMENTS)}[event_id % {len(td.SEGMENTS)} + 1] AS f_segment,
     {_iso('ts')} AS f_created_at,
-    {_iso('ts')} AS f_updated_at,
+    CASE WHEN {_every('event_id', BAD)} THEN 'garbage' ELSE {_iso('ts')} END AS f_updated_at,
     CASE WHEN event_type = 'signup' THEN 'customer_created' ELSE 'customer_updated' END AS f_event_type,
     CAST(user_id % {td.TOPIC_PARTITIONS} AS INTEGER) AS "partition",
     event_id AS "offset",
     CAST(ts AS TIMESTAMP) AS kafka_timestamp,
-    false AS _broken
+    {_every('event_id', BRK)} AS _broken
   FROM events
 ), bronze_customers AS (
   {_bronze('cus_rec', 'f_customer_id', CUS_FIELDS, 'customers')}
@@ -187,13 +190,13 @@ INV_WHERE = ("inventory_id IS NOT NULL AND product_id IS NOT NULL AND quantity_o
              "AND created_at_ts IS NOT NULL")
 
 SILVER_PAY = f"silver_payments AS ({_first_arrival('bronze_payments', 'payment_id', PAY_WHERE, PAY_COLS)})"
-SILVER_ORD = f"silver_orders AS ({_first_arrival('bronze_orders', 'order_id', ORD_WHERE, ORD_COLS, ', _k')})"
+SILVER_ORD = f"silver_orders AS ({_first_arrival('bronze_orders', 'order_id', ORD_WHERE, ORD_COLS, ', _k, _part')})"
 SILVER_INV = f"silver_inventory AS ({_first_arrival('bronze_inventory', 'inventory_id', INV_WHERE, INV_COLS)})"
 ORD_ITEMS = """silver_items AS (
   SELECT s.*, l.product_id, l.product_name, l.quantity, l.unit_price,
     row_number() OVER (PARTITION BY s.order_id
                        ORDER BY l.product_id, l.product_name, l.quantity, l.unit_price) - 1 AS item_pos
-  FROM silver_orders s JOIN ord_lines l ON s._k = l.l_orderkey
+  FROM silver_orders s JOIN ord_lines l ON s._k = l.l_orderkey AND s._part = l.part
 )"""
 
 
@@ -288,7 +291,7 @@ def _movements_cte() -> str:
 
 
 def _classify() -> str:
-    order = f"{_parse('updated_at')}, \"offset\""
+    order = f"{_parse('updated_at')} NULLS LAST, \"offset\""
     w = f"OVER (PARTITION BY customer_id ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     return _with(CUS_CTE) + f"""SELECT customer_id,
   CASE WHEN _rn = 1 THEN full_name ELSE _fn END AS full_name,
@@ -303,17 +306,21 @@ FROM (
   SELECT *, row_number() {w} AS _rn,
     first_value(full_name) {w} AS _fn, first_value(email) {w} AS _fe,
     first_value(phone) {w} AS _fp, first_value(created_at) {w} AS _fc
-  FROM bronze_customers
+  FROM bronze_customers WHERE customer_id IS NOT NULL
 ) c"""
 
 
+def _bronze_items() -> str:
+    return _with(ORD_CTE) + """SELECT b.* EXCLUDE (_k, _part, _broken, item_count),
+  l.product_id, l.product_name, l.quantity, l.unit_price
+FROM bronze_orders b LEFT JOIN ord_lines l ON b._k = l.l_orderkey AND b._part = l.part AND NOT b._broken"""
+
+
 def oracle_sql() -> dict[str, str]:
     silver_ord_cols = _sel(ORD_COLS) + ", created_at_ts"
     return {
         "bronze_payments": _with(PAY_CTE) + "SELECT * FROM bronze_payments",
-        "bronze_orders": _with(ORD_CTE) + f"""SELECT b.* EXCLUDE (_k, _broken, item_count),
-  l.product_id, l.product_name, l.quantity, l.unit_price
-FROM bronze_orders b LEFT JOIN ord_lines l ON b._k = l.l_orderkey AND NOT b._broken""",
+        "bronze_orders": _bronze_items(),
         "bronze_inventory": _with(INV_CTE) + "SELECT * FROM bronze_inventory",
         "bronze_customers": _with(CUS_CTE) + "SELECT * FROM bronze_customers",
         "bronze_corrupt_split": _with(PAY_CTE, ORD_CTE, INV_CTE, CUS_CTE) + "\nUNION ALL\n".join(
@@ -344,13 +351,13 @@ SELECT 'inventory', (SELECT CAST(count(*) AS BIGINT) FROM bronze_inventory),
         "order_total_check": _with(ORD_CTE, SILVER_ORD) + """SELECT s.order_id, s.total_amount,
   round(coalesce(sum(l.quantity * l.unit_price), 0.0), 2) AS items_total,
   round(abs(round(coalesce(sum(l.quantity * l.unit_price), 0.0), 2) - s.total_amount), 2) <= 0.01 AS matches
-FROM silver_orders s LEFT JOIN ord_lines l ON s._k = l.l_orderkey
+FROM silver_orders s LEFT JOIN ord_lines l ON s._k = l.l_orderkey AND s._part = l.part
 GROUP BY s.order_id, s.total_amount""",
         "stock_movements": _with(ORD_CTE, SILVER_ORD, ORD_ITEMS, _movements_cte()) + "SELECT * FROM movements",
         "running_stock": _with(ORD_CTE, SILVER_ORD, ORD_ITEMS, _movements_cte()) + f"""SELECT *,
-  CAST(greatest({INITIAL_STOCK} + sum(quantity_change) OVER (
+  CAST(greatest({INITIAL_STOCK} + coalesce(sum(quantity_change) OVER (
     PARTITION BY product_id, warehouse_id ORDER BY created_at_ts, order_id, item_pos
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS INTEGER) AS quantity_on_hand
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0), 0) AS INTEGER) AS quantity_on_hand
 FROM movements""",
         "customer_classify": _classify(),
         "payable_orders": _with(ORD_CTE, SILVER_ORD) + """SELECT order_id, customer_id, total_amount AS amount
@@ -370,12 +377,28 @@ def _stream_sql() -> dict[str, str]:
     rev = _gold_revenue("5 minutes")
     return {
         "bronze_payments_stream": _with(PAY_CTE) + "SELECT * FROM bronze_payments",
+        "bronze_orders_stream": _bronze_items(),
+        "bronze_inventory_stream": _with(INV_CTE) + "SELECT * FROM bronze_inventory",
+        "bronze_customers_stream": _with(CUS_CTE) + "SELECT * FROM bronze_customers",
         "silver_dedup_stream": _with(PAY_CTE, SILVER_PAY) + 'SELECT * EXCLUDE ("offset") FROM silver_payments',
+        "silver_orders_stream": _with(ORD_CTE, SILVER_ORD) + f"""SELECT * EXCLUDE ("offset")
+FROM (SELECT {_sel(ORD_COLS)}, created_at_ts FROM silver_orders) s""",
+        # natural duplicates of an inventory id differ in payload, and either may come first in a micro-batch
+        "silver_inventory_stream": _with(INV_CTE, SILVER_INV) + "SELECT inventory_id FROM silver_inventory",
+        "stamps_payments": _with(PAY_CTE, SILVER_PAY) + """SELECT count(*) AS silver_rows, count(*) AS ingested,
+  count(*) AS cleaned, count(*) AS in_order FROM silver_payments""",
+        "gold_revenue_stream_late": f"""WITH b AS (SELECT min(kafka_timestamp) AS lo, max(kafka_timestamp) AS hi FROM ({_with(PAY_CTE)} SELECT kafka_timestamp FROM bronze_payments) x),
+s AS ({_with(PAY_CTE, SILVER_PAY)} SELECT amount, created_at_ts FROM silver_payments),
+on_time AS (SELECT s.* FROM s, b WHERE floor((epoch(created_at_ts) - epoch(lo)) / greatest((epoch(hi) - epoch(lo)) / 3, 1e-6)) >= 1)
+SELECT window_start, window_end, round(sum(amount), 2) AS total_revenue, CAST(count(*) AS BIGINT) AS transaction_count
+FROM (SELECT amount, {_bucket('5 minutes')[0]} AS window_start, {_bucket('5 minutes')[1]} AS window_end FROM on_time) w
+WHERE window_end <= (SELECT max(created_at_ts) FROM on_time) - INTERVAL '10 minutes'
+GROUP BY ALL""",
         "gold_revenue_stream_current": rev,
         "gold_revenue_stream_final": f"""SELECT * FROM ({rev}) g
 WHERE window_end <= (SELECT max({_parse('created_at')}) FROM ({_with(PAY_CTE, SILVER_PAY)} SELECT created_at FROM silver_payments) m) - INTERVAL '10 minutes'""",
-        "load_revenue": f"""SELECT {_text('window_start')}, {_text('window_end')}, total_revenue, transaction_count
-FROM ({rev}) g""",
+        **dict.fromkeys(("load_revenue", "load_revenue_raw", "load_revenue_table"), f"""SELECT {_text('window_start')}, {_text('window_end')}, total_revenue, transaction_count
+FROM ({rev}) g"""),
         "load_products": f"""SELECT {_text('window_start')}, {_text('window_end')}, product_id, product_name,
   total_quantity_sold FROM ({_gold_units('1 hour')}) g""",
         "load_activity": f"""SELECT {_text('window_start')}, {_text('window_end')}, customer_id, order_count,

@@ -1,11 +1,14 @@
 """Registered streaming queries: bounded Structured Streaming runs over the
 test tables, compared with their batch equivalents.
 
-Input reaches a file stream in event-time slices written one after the
-other (file streams take files by modification time), and each slice is
-consumed by a restart of the same query from its checkpoint with
-``availableNow``: so every run also exercises checkpoint resume (W7).
-All folders live under the shared ``spark.checkpoint.dir``.
+Input reaches a file stream in event-time slices handed over one after the
+other, and each slice is consumed by a restart of the same query from its
+checkpoint with ``availableNow``: so every run also exercises checkpoint
+resume (W7).  Slices are written once, partitioned, and handed over by
+renaming their folder.  All folders live under the shared
+``spark.checkpoint.dir``; sources are dropped when a run ends, its output
+and checkpoint stay until the caller clears them (``session.clear_scratch``;
+Spark still uploads state snapshots for a while).
 """
 
 from __future__ import annotations
@@ -17,9 +20,9 @@ from ..operators import gold
 from ..operators.bronze import to_bronze
 from ..operators.current import current_state
 from ..operators.silver import silver_entity
-from ..schemas import ENTITY, GOLD_TABLES, bronze_schema, silver_schema, with_batch_id
-from ..session import scratch
-from ..sinks.files import load_table, write_layer
+from ..schemas import ENTITY, ENTITY_KEY, GOLD_TABLES, bronze_schema, silver_schema, with_batch_id
+from ..session import drop_scratch, ensure_dir, move, path_exists, scratch
+from ..sinks.files import create_database, load_table, write_layer
 from ..sources.layers import read_envelope_stream, read_layer, read_layer_stream
 from ..sources.testdata import messages
 from ..streaming.runner import run_append, run_update
@@ -28,31 +31,44 @@ SLICES = 3
 DELAY = "10 minutes"
 
 
-def _run(query) -> None:
+def _run(query):
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    return query
 
 
-def write_time_slices(df: DataFrame, ts: str, root: str, slices: int = SLICES) -> list[DataFrame]:
-    """Materialise ``df`` once, then return ``slices`` event-time ranges of
-    equal width, each a lazy filtered read of that copy.  The bounds come
-    from a one-row min/max aggregate."""
-    spark = df.sparkSession
-    write_layer(df, f"{root}/all")
-    full = read_layer(spark, f"{root}/all", df.schema)
-    bounds = full.agg(F.min(ts).cast("double").alias("lo"), F.max(ts).cast("double").alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    width = max((hi - lo) / slices, 1e-6) if lo is not None else 1.0
-    sid = F.least(F.floor((F.col(ts).cast("double") - F.lit(lo or 0.0)) / F.lit(width)),
-                  F.lit(slices - 1))
-    return [full.filter(sid == i) for i in range(slices)]
+class Slices:
+    """``df`` written once in ``slices`` equal event-time ranges between
+    ``lo`` and ``hi`` (seconds; rows outside go to the first or last)."""
 
+    def __init__(self, df: DataFrame, ts: str, root: str, lo: float | None, hi: float | None, slices: int = SLICES):
+        self.spark, self.root, self.schema, self.n = df.sparkSession, root, df.schema, slices
+        width = max(((hi or 0.0) - (lo or 0.0)) / slices, 1e-6)
+        at = F.floor((F.col(ts).cast("double") - F.lit(lo or 0.0)) / F.lit(width))
+        at = F.least(F.greatest(F.coalesce(at, F.lit(0)), F.lit(0)), F.lit(slices - 1)).cast("int")
+        df.withColumn("_slice", at).write.partitionBy("_slice").parquet(f"{root}/parts")
+        self.src = f"{root}/src"
+        ensure_dir(self.spark, self.src)
 
-def _silver_batch(spark: SparkSession, sf: str, topic: str, consumer: str) -> DataFrame:
-    """Silver rows narrowed to what ``consumer`` reads (see catalog.NEEDS)."""
-    from .catalog import NEEDS, silver
-    return silver(spark, sf, topic, keep=NEEDS[consumer])
+    def hand_over(self, i: int) -> None:
+        part = f"{self.root}/parts/_slice={i}"
+        if path_exists(self.spark, part):                # a range may hold no rows
+            move(self.spark, part, f"{self.src}/part-{i}")
+
+    def stream(self) -> DataFrame:
+        ensure_dir(self.spark, self.src)
+        return (self.spark.readStream.schema(self.schema).option("recursiveFileLookup", "true")
+                .parquet(self.src))
+
+
+def _silver_slices(spark: SparkSession, sf: str, topic: str, consumer: str, root: str, slices: int = SLICES) -> Slices:
+    """Silver rows narrowed to what ``consumer`` reads (see catalog.NEEDS), in slices; the
+    bounds come from one column of the bronze copy."""
+    from .catalog import NEEDS, bronze, silver
+    b = bronze(spark, sf, topic, keep=NEEDS[consumer])
+    r = b.agg(F.min("kafka_timestamp").cast("double").alias("lo"), F.max("kafka_timestamp").cast("double").alias("hi")).first()
+    return Slices(silver(spark, sf, topic, bronze_df=b, keep=NEEDS[consumer]), "created_at_ts", root, r["lo"], r["hi"], slices)
 
 
 def stream_gold_log(spark: SparkSession, sf: str, name: str, duration: str,
@@ -62,14 +78,12 @@ def stream_gold_log(spark: SparkSession, sf: str, name: str, duration: str,
     schema (``batch_id`` from the folder names)."""
     topic, build = gold.GOLD_BUILDERS[name]
     root = scratch(spark, f"gold-{name}")
-    batch = _silver_batch(spark, sf, topic, name)
-    s_schema = batch.schema            # declared by the plan, never inferred from files
-    parts = write_time_slices(batch, "created_at_ts", f"{root}/slices", slices)
-    src, out, ckpt = f"{root}/silver", f"{root}/gold", f"{root}/_checkpoints/gold"
-    for part in parts:
-        part.write.mode("append").parquet(src)
-        stream = read_layer_stream(spark, src, s_schema)
-        _run(run_update(build(stream, duration, delay=DELAY), out, ckpt, trigger="availableNow"))
+    feed = _silver_slices(spark, sf, topic, name, f"{root}/slices", slices)
+    out, ckpt = f"{root}/gold", f"{root}/_checkpoints/gold"
+    for i in range(slices):
+        feed.hand_over(i)
+        _run(run_update(build(feed.stream(), duration, delay=DELAY), out, ckpt, trigger="availableNow"))
+    drop_scratch(spark, f"{root}/slices")
     schema = GOLD_TABLES[name][0]
     return out, read_layer(spark, out, with_batch_id(schema))
 
@@ -84,64 +98,135 @@ def q_gold_revenue_stream_current(spark, sf):
 def q_gold_revenue_stream_final(spark, sf):
     """W5 append mode: only windows the watermark has closed are emitted."""
     root = scratch(spark, "gold-final")
-    batch = _silver_batch(spark, sf, "payments", "revenue")
-    s_schema = batch.schema
-    parts = write_time_slices(batch, "created_at_ts", f"{root}/slices")
-    src, out, ckpt = f"{root}/silver", f"{root}/gold", f"{root}/_checkpoints/gold"
-    for part in parts:
-        part.write.mode("append").parquet(src)
-        agg = gold.revenue(read_layer_stream(spark, src, s_schema), "5 minutes", delay=DELAY)
-        _run(run_append(agg, out, ckpt, trigger="availableNow"))
+    feed = _silver_slices(spark, sf, "payments", "revenue", f"{root}/slices")
+    out, ckpt = f"{root}/gold", f"{root}/_checkpoints/gold"
+    for i in range(feed.n):
+        feed.hand_over(i)
+        _run(run_append(gold.revenue(feed.stream(), "5 minutes", delay=DELAY), out, ckpt, trigger="availableNow"))
+    drop_scratch(spark, f"{root}/slices")
+    res = read_layer(spark, out, GOLD_TABLES["revenue"][0])
+    return res.withColumn("total_revenue", F.round("total_revenue", 2))
+
+
+def q_gold_revenue_stream_late(spark, sf):
+    """5-minute revenue in append mode when the first third of the
+    events arrives last, after the watermark has passed all of it: those
+    rows are dropped and never change a window."""
+    root = scratch(spark, "gold-late")
+    feed = _silver_slices(spark, sf, "payments", "revenue", f"{root}/slices")
+    out, ckpt = f"{root}/gold", f"{root}/_checkpoints/gold"
+    for i in [*range(1, feed.n), 0]:
+        feed.hand_over(i)
+        _run(run_append(gold.revenue(feed.stream(), "5 minutes", delay=DELAY), out, ckpt, trigger="availableNow"))
+    drop_scratch(spark, f"{root}/slices")
     res = read_layer(spark, out, GOLD_TABLES["revenue"][0])
     return res.withColumn("total_revenue", F.round("total_revenue", 2))
 
 
-def q_bronze_payments_stream(spark, sf):
-    """S1 + K1 + P4: envelope stream -> bronze append sink, stamps dropped."""
-    root = scratch(spark, "bronze-stream")
-    src, out, ckpt = f"{root}/envelope", f"{root}/bronze", f"{root}/_checkpoints/bronze"
-    write_layer(messages(spark, sf, "payments"), src)
-    bronze = to_bronze(read_envelope_stream(spark, src), ENTITY["payments"], stamp=True)
-    _run(run_append(bronze, out, ckpt, trigger="availableNow"))
-    return read_layer(spark, out, bronze_schema(ENTITY["payments"], stamp=True)).drop("ingested_at")
-
-
-def q_silver_dedup_stream(spark, sf):
-    """D1 + K2: bronze payments fed twice (a replay) through the silver
-    stream; each payment appears once.  ``offset`` is left out: of two
-    copies in the same micro-batch either may be kept."""
-    root = scratch(spark, "silver-stream")
-    b_schema = bronze_schema(ENTITY["payments"], stamp=True)
-    src, out, ckpt = f"{root}/bronze", f"{root}/silver", f"{root}/_checkpoints/silver"
-    bronze = to_bronze(messages(spark, sf, "payments"), ENTITY["payments"], stamp=True)
-    write_layer(bronze, f"{root}/bronze_once")   # one copy, fed twice below
-    once = read_layer(spark, f"{root}/bronze_once", b_schema)
-    for _ in range(2):
-        once.write.mode("append").parquet(src)
-        silver = silver_entity(read_layer_stream(spark, src, b_schema), "payments", delay=DELAY)
-        _run(run_append(silver, out, ckpt, trigger="availableNow"))
-    res = read_layer(spark, out, silver_schema(ENTITY["payments"], stamp=True))
-    return res.drop("ingested_at", "cleaned_at", "offset")
-
-
-def _load(name: str, duration: str, money: tuple[str, ...]):
+def _bronze_stream(topic: str, shape=lambda df: df):
+    def q(spark, sf):
+        root = scratch(spark, f"bronze-stream-{topic}")
+        src, out, ckpt = f"{root}/envelope", f"{root}/bronze", f"{root}/_checkpoints/bronze"
+        write_layer(messages(spark, sf, topic), src)
+        bronze = to_bronze(read_envelope_stream(spark, src), ENTITY[topic], stamp=True)
+        _run(run_append(bronze, out, ckpt, trigger="availableNow"))
+        drop_scratch(spark, src)
+        return shape(read_layer(spark, out, bronze_schema(ENTITY[topic], stamp=True)).drop("ingested_at"))
+    q.__name__ = f"q_bronze_{topic}_stream"
+    q.__doc__ = "S1 + K1 + P4: envelope stream -> bronze append sink, stamps dropped."
+    return q
+
+
+def silver_stream(spark: SparkSession, sf: str, topic: str, slices: int = 4) -> tuple[DataFrame, list]:
+    """D1 + K2: bronze rows through the silver stream, each slice of arrival
+    order followed in the next batch by its own replay.  The watermark delay
+    is longer than two slices, so replayed rows are not late: only their
+    keys' state can drop them.  Returns silver and the queries' progress."""
+    root = scratch(spark, f"silver-stream-{topic}")
+    out, ckpt = f"{root}/silver", f"{root}/_checkpoints/silver"
+    bronze = to_bronze(messages(spark, sf, topic), ENTITY[topic], stamp=True)
+    write_layer(bronze, f"{root}/once")
+    once = read_layer(spark, f"{root}/once", bronze_schema(ENTITY[topic], stamp=True))
+    r = once.agg(F.min("kafka_timestamp").cast("double").alias("lo"), F.max("kafka_timestamp").cast("double").alias("hi")).first()
+    lo, hi = r["lo"] or 0.0, r["hi"] or 0.0
+    twice = once.withColumn("_replay", F.explode(F.array(F.lit(0), F.lit(1))))
+    width = max((hi - lo) / slices, 1e-6)
+    at = F.least(F.floor((F.col("kafka_timestamp").cast("double") - lo) / width), F.lit(slices - 1))
+    # slice i, then its replay together with nothing else
+    order = (F.coalesce(at, F.lit(0)) * 2 + F.col("_replay")).cast("double")
+    feed = Slices(twice.withColumn("_order", order).drop("_replay"), "_order", f"{root}/slices", 0.0, 2.0 * slices, 2 * slices)
+    delay = f"{int(3 * width) + 600} seconds"
+    progress = []
+    for i in range(feed.n):
+        feed.hand_over(i)
+        silver = silver_entity(feed.stream().drop("_order"), topic, delay=delay)
+        q = _run(run_append(silver, out, ckpt, trigger="availableNow"))
+        progress += [dict(p["stateOperators"][0], slice=i) for p in q.recentProgress if p["stateOperators"]]
+    drop_scratch(spark, f"{root}/slices", f"{root}/once")
+    return read_layer(spark, out, silver_schema(ENTITY[topic], stamp=True)), progress
+
+
+def _silver_stream(topic: str, shape=lambda df: df):
     def q(spark, sf):
-        folder, _ = stream_gold_log(spark, sf, name, duration)
-        schema, keys, _table, cols = GOLD_TABLES[name]
-        target = scratch(spark, f"warehouse-{name}")
-        loaded = load_table(spark, folder, schema, keys, cols, target)
+        silver, _ = silver_stream(spark, sf, topic)
+        # of two copies in one micro-batch either may be kept: no offset
+        return shape(silver.drop("ingested_at", "cleaned_at", "offset"))
+    q.__name__ = f"q_silver_{topic}_stream"
+    q.__doc__ = "D1 + K2: every bronze row fed twice, each key comes out once."
+    return q
+
+
+def _stamps(topic: str):
+    def q(spark, sf):
+        silver, _ = silver_stream(spark, sf, topic, slices=1)
+        return silver.agg(F.count(F.lit(1)).alias("silver_rows"), F.count("ingested_at").alias("ingested"),
+                          F.count("cleaned_at").alias("cleaned"),
+                          F.count_if(F.col("cleaned_at") >= F.col("ingested_at")).alias("in_order"))
+    q.__name__ = f"q_stamps_{topic}"
+    q.__doc__ = "P4 + P6: every silver row is stamped by both layers, in order."
+    return q
+
+
+def _load(name: str, duration: str, money: tuple[str, ...], current: bool = True, slices: int = SLICES, table: bool = False):
+    def q(spark, sf):
+        folder, _ = stream_gold_log(spark, sf, name, duration, slices)
+        schema, keys, target, cols = GOLD_TABLES[name]
+        if table:
+            create_database(spark, "lakeweave_wh")
+            target = f"lakeweave_wh.{target}_{scratch(spark, 'wh').rsplit('-', 1)[1]}"
+        else:
+            target = f"{scratch(spark, f'warehouse-{name}')}/{target}"
+        loaded = load_table(spark, folder, schema, keys, cols, target, current=current)
         return loaded.select(*[F.round(c, 2).alias(c) if c in money else F.col(c) for c in loaded.columns])
     q.__name__ = f"q_load_{name}"
     return q
 
 
+def _items(b: DataFrame) -> DataFrame:
+    rest = [c for c in b.columns if c != "items"]
+    return b.select(*rest, F.explode_outer("items").alias("item")).select(*rest, "item.*")
+
+
+def _item_count(s: DataFrame) -> DataFrame:
+    return s.select(*[c if c != "items" else F.size("items").alias("item_count") for c in s.columns])
+
+
 def stream_queries() -> dict:
     return {
-        "bronze_payments_stream": q_bronze_payments_stream,
-        "silver_dedup_stream": q_silver_dedup_stream,
+        "bronze_payments_stream": _bronze_stream("payments"),
+        "bronze_orders_stream": _bronze_stream("orders", _items),
+        "bronze_inventory_stream": _bronze_stream("inventory"),
+        "bronze_customers_stream": _bronze_stream("customers"),
+        "silver_dedup_stream": _silver_stream("payments"),
+        "silver_orders_stream": _silver_stream("orders", _item_count),
+        "silver_inventory_stream": _silver_stream("inventory", lambda s: s.select(ENTITY_KEY["inventory"])),
+        "stamps_payments": _stamps("payments"),
         "gold_revenue_stream_current": q_gold_revenue_stream_current,
         "gold_revenue_stream_final": q_gold_revenue_stream_final,
+        "gold_revenue_stream_late": q_gold_revenue_stream_late,
         "load_revenue": _load("revenue", "5 minutes", ("total_revenue",)),
+        "load_revenue_raw": _load("revenue", "5 minutes", ("total_revenue",), current=False, slices=1),
+        "load_revenue_table": _load("revenue", "5 minutes", ("total_revenue",), table=True),
         "load_products": _load("product_units", "1 hour", ()),
         "load_activity": _load("customer_activity", "1 hour", ("total_spent",)),
     }

@@ -170,7 +170,8 @@ def with_batch_id(schema: StructType) -> StructType:
 
 
 # Gold folder -> (schema, group keys, target table, target column order).
-# Target table names and column order of the warehouse load.
+# Column orders are fixed values of the warehouse load; the table names are
+# this library's own defaults.
 GOLD_TABLES = {
     "revenue": (
         GOLD_REVENUE,

@@ -46,6 +46,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+# The settings among them that a running session takes; jobs set them first.
+RUNTIME_CONF = {k: v for k, v in DEFAULT_CONF.items() if k.startswith("spark.sql.")}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Sets ``RUNTIME_CONF`` on a session that came from elsewhere
+    (``spark-submit``), before its first query."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
@@ -53,9 +65,10 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
     Read from the session (it is a core setting, fixed at start-up).  Only
-    when it is unset (tests, local runs) a folder is created once per
-    application and registered with ``SparkContext.setCheckpointDir`` so
-    ``DataFrame.checkpoint`` works.
+    when it is unset and the master is local (tests, local runs) a folder is
+    created once per application and registered with
+    ``SparkContext.setCheckpointDir`` so ``DataFrame.checkpoint`` works; on
+    a cluster a machine-local folder would lose data, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -70,6 +83,8 @@ def shared_root(spark: SparkSession) -> str:
             app = "connect"
         base = _LOCAL_ROOTS.get(app)
         if base is None:
+            if not spark.conf.get("spark.master", "local").startswith("local[") and spark.conf.get("spark.master", "local") != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="lakeweave-ckpt-")
             try:
                 spark.sparkContext.setCheckpointDir(base)
@@ -78,9 +93,30 @@ def shared_root(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_scratch: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared folder for one run."""
-    return f"{shared_root(spark)}/lakeweave/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique sub-folder of the shared folder for one run.  Drop it
+    with ``drop_scratch``, or all of them with ``clear_scratch``, when
+    nothing reads it any more."""
+    path = f"{shared_root(spark)}/lakeweave/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders below ones that ``scratch`` gave out in this process."""
+    for path in paths:
+        if not any(path == p or path.startswith(p + "/") for p in _scratch):
+            raise ValueError(f"{path!r} is no scratch folder")
+        remove(spark, path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes every scratch folder of this process."""
+    drop_scratch(spark, *_scratch)
+    _scratch.clear()
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -125,6 +161,24 @@ def ensure_dir(spark: SparkSession, path: str) -> None:
         fs.mkdirs(p)
 
 
+def move(spark: SparkSession, src: str, dst: str) -> None:
+    """Renames a folder within one file system (metadata only)."""
+    fsp = _fs_path(spark, src)
+    if fsp is None:
+        os.rename(_local(src) or src, _local(dst) or dst)
+        return
+    fs, p = fsp
+    if not fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)):
+        raise OSError(f"could not rename {src!r} to {dst!r}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder this library has written."""
+    fsp = _fs_path(spark, path)
+    if fsp is not None:
+        fsp[0].delete(fsp[1], True)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (file-system metadata only)."""
     fsp = _fs_path(spark, path)

@@ -3,14 +3,20 @@ P9, P10, K4, K7)."""
 
 from __future__ import annotations
 
+import logging
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.timefmt import timestamps_as_text
 from ..operators.current import current_state
 from ..schemas import with_batch_id
-from ..session import folder_bytes
+from ..session import folder_bytes, move, path_exists, remove
 from ..sources.layers import read_layer
-from pyspark.sql.types import StructType
+
+LOG = logging.getLogger(__name__)
 
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite",
@@ -48,10 +54,48 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+def swap_folder(df: DataFrame, target: str) -> None:
+    """Writes ``df`` beside ``target`` and then takes its place."""
+    spark, target = df.sparkSession, target.rstrip("/")
+    new, old = f"{target}__new-{uuid.uuid4().hex[:8]}", f"{target}__old-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(new)
+    had = path_exists(spark, target)
+    if had:
+        move(spark, target, old)
+    move(spark, new, target)
+    if had:
+        remove(spark, old)
+
+
+def read_log(spark: SparkSession, folder: str, schema: StructType, compacted: str | None = None) -> DataFrame:
+    """An update log; with a ``compacted`` folder, that and the later batches."""
+    log = read_layer(spark, folder, schema)
+    if not compacted or not path_exists(spark, compacted):
+        return log
+    done = read_layer(spark, compacted, StructType([*schema.fields, StructField("upto", LongType())]))
+    upto = done.agg(F.max("upto")).first()[0]
+    return log.filter(F.col("batch_id") > (-1 if upto is None else upto)).unionByName(done.select(*schema.fieldNames()))
+
+
+def compact_log(spark: SparkSession, folder: str, compacted: str, schema: StructType, keys: list[str]) -> int:
+    """Folds an update log to one row a key, each with the number of its
+    batch and the last batch covered (``upto``); returns that.  The log is
+    left as it is; readers skip its folders up to there (partition pruning)."""
+    log = read_log(spark, folder, with_batch_id(schema), compacted)
+    upto = log.agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return -1
+    values = [c for c in log.columns if c not in keys]
+    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v")).select(
+        *keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+    swap_folder(latest.select(*log.columns).withColumn("upto", F.lit(upto).cast("long")), compacted)
+    return upto
+
+
 def load_table(spark: SparkSession, folder: str, schema: StructType, keys: list[str],
                columns: list[str], target: str, current: bool = True,
                text_timestamps: bool = True, logged: bool = True,
-               jdbc: dict | None = None) -> DataFrame | None:
+               jdbc: dict | None = None, compacted: str | None = None) -> DataFrame | None:
     """K4: full refresh of ``target`` from every Parquet file of ``folder``.
 
     * S5/U1: one scan of the whole folder with the declared schema (files
@@ -60,9 +104,13 @@ def load_table(spark: SparkSession, folder: str, schema: StructType, keys: list[
       row per ``keys`` by ``batch_id``; ``current=False`` copies the raw
       log, as the original hourly loader did;
     * P9: fixed target column order; P10: timestamps as text;
-    * K4: ``mode("overwrite")`` replaces the target in one job.  When the
-      folder holds no rows the target is left untouched and ``None`` is
-      returned (the original returned before truncating).
+    * K4: a Parquet target is written to a new folder beside it and then
+      exchanged, so a failed load leaves the old target whole; a table is
+      replaced by ``mode("overwrite")``.  When the folder is missing or
+      holds no rows the target is left untouched, the skip is logged and
+      ``None`` returned (the original returned before truncating);
+    * rows of ``compacted`` (see ``compact_log``) stand for the batches up
+      to its own.
 
     ``target`` containing ``/`` is a Parquet path, otherwise a table name.
     With ``jdbc`` (``url``, credentials, driver ...) ``target`` is the remote
@@ -70,8 +118,12 @@ def load_table(spark: SparkSession, folder: str, schema: StructType, keys: list[
     Returns the loaded target as a DataFrame.
     """
     src_schema = with_batch_id(schema) if logged else schema
-    log = read_layer(spark, folder, src_schema)
+    if not path_exists(spark, folder):
+        LOG.warning("load of %s skipped: no folder %s", target, folder)
+        return None
+    log = read_log(spark, folder, src_schema, compacted) if logged else read_layer(spark, folder, src_schema)
     if log.isEmpty():
+        LOG.warning("load of %s skipped: no rows in %s", target, folder)
         return None
     rows = current_state(log, keys) if (current and logged) else log
     out = rows.select(*columns)
@@ -82,7 +134,7 @@ def load_table(spark: SparkSession, folder: str, schema: StructType, keys: list[
          .option("truncate", "true").mode("overwrite").save())
         return spark.read.format("jdbc").options(**jdbc).option("dbtable", target).load()
     if "/" in target:
-        out.write.mode("overwrite").parquet(target)
-        return spark.read.parquet(target)
+        swap_folder(out, target)
+        return spark.read.schema(out.schema).parquet(target)
     out.write.mode("overwrite").saveAsTable(target)
     return spark.table(target)

@@ -1,8 +1,8 @@
 """Read a layer folder with a declared schema.
 
-No layer is ever read with an inferred schema: an empty or missing folder
-reads as zero rows (batch) and a stream can start before its input
-exists.
+No layer is ever read with an inferred schema: an empty folder reads as
+zero rows.  A batch read of a missing folder fails (a mistyped path must
+not look like no data); a stream can start before its input exists.
 """
 
 from __future__ import annotations
@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..schemas import ENVELOPE
-from ..session import ensure_dir
+from ..session import ensure_dir, path_exists
 
 
 def read_layer(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Batch scan of every Parquet file under ``path``.  Filters and
     column selections on the result reach the scan (pushdown, pruning).
-    A folder that does not exist yet is created and reads as zero rows."""
-    ensure_dir(spark, path)
+    An existing empty folder is zero rows, a missing one an error."""
+    if not path_exists(spark, path):
+        raise FileNotFoundError(path)
     return spark.read.schema(schema).option("recursiveFileLookup", "false").parquet(path)
 
 

@@ -12,7 +12,7 @@ grows with them, nothing passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.messages import encode_messages
@@ -25,41 +25,29 @@ DUPLICATE_EVERY = 53      # message replayed once more (next offset)
 BROKEN_EVERY = 101        # value is not JSON: all fields NULL
 NULL_REF_EVERY = 83       # payments.order_id / orders.customer_id / inventory.product_id NULL
 NEGATE_EVERY = 97         # amount / total_amount negated
-BAD_TIME_EVERY = 89       # created_at = 'garbage'
+BAD_TIME_EVERY = 89       # created_at = 'garbage' (customers: updated_at)
+NULL_QUANTITY_EVERY = 71  # items of every such part have no quantity
 BROKEN_VALUE = "{bad"
-# Largest item array per order message; an order with more lines is split
-# into messages ORD<key>-<chunk>.  Bounds the nested array (and the task
-# building it) even when one order holds a large share of all lines.
-MAX_ITEMS = 1024
-# Largest set of such split orders that is broadcast (16 bytes a row).
-HOT_BROADCAST_ROWS = 1_000_000
+# An order is sent in messages of at most so many lines, numbered from 0 in
+# the order (part key modulo LINE_RANGES, part key, quantity, price): this
+# bounds the nested array whatever share of all lines one order holds.
+PART_LINES = 1000
+LINE_RANGES = 64
+# Messages of one order follow each other in their topic partition.
+MAX_PARTS = 1 << 20
 TOPIC_PARTITIONS = 4
 
 # Enumerations used when shaping messages (warehouse codes
 # are shared with the stock operators, see operators/derive.py).
 PAYMENT_METHODS = ["credit_card", "momo", "bank_transfer", "cod"]
 SEGMENTS = ["regular", "vip", "new"]
-CITIES = ["Hà Nội", "Hồ Chí Minh", "Đà Nẵng", "Ninh Bình", "Hải Phòng"]
+CITIES = ["Riverton", "Oakfield", "Lakeside", "Westbrook"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    cores (a few large row groups) before CPU-heavy per-row work such as
-    JSON encoding.  A scan of many files already has enough partitions and
-    is left alone, so no shuffle is added at scale."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            return df.repartition(cores)
-    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave the scan as is
-        pass
-    return df
-
-
 def _pick(values: list[str], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]),
                         (F.pmod(index, F.lit(len(values))) + 1).cast("int"))
@@ -79,10 +67,10 @@ def _copies(num: Column) -> Column:
                      .otherwise(F.array(F.lit(0))))
 
 
-def _envelope(records: DataFrame, topic: str, broken: Column | None) -> DataFrame:
+def _envelope(records: DataFrame, topic: str, broken: Column) -> DataFrame:
     """Entity columns + ``_partition, _offset, _ts, _broken`` -> envelope."""
     fields = [f.name for f in ENTITY[topic].fields]
-    staged = records.withColumn("_broken", broken if broken is not None else F.lit(False))
+    staged = records.withColumn("_broken", broken)
     enc = encode_messages(staged, topic, MESSAGE_KEY[topic], fields=fields,
                           keep=["_partition", "_offset", "_ts", "_broken"])
     return enc.select(
@@ -97,7 +85,7 @@ def _envelope(records: DataFrame, topic: str, broken: Column | None) -> DataFram
 
 def payment_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> payments topic (one payment per event)."""
-    ev = spread(table(spark, sf_dir, "events")).select(
+    ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", _copies(F.col("event_id")).alias("copy"))
     e = F.col("event_id")
     rec = ev.select(
@@ -125,58 +113,63 @@ def _order_time(key: Column, day: Column) -> Column:
     return F.timestamp_add("SECOND", F.pmod(key, F.lit(86400)), day)
 
 
-def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders ⋈ lineitem ⋈ part`` -> orders topic, items nested per order.
-
-    Plan, with lineitem-sized data shuffled only twice (join to ``part``,
-    then the collect):
-
-    1. orders holding more than ``MAX_ITEMS`` lines -- the only ones split
-       into chunks -- come from a one-column partial count over lineitem; the
-       set is broadcast when its row count proves it small
-       (``HOT_BROADCAST_ROWS``), otherwise joined normally;
-    2. lines (left-joined to ``part``) get their chunk, are shuffled on
-       (order, chunk) -- a hot order spreads over tasks -- and collected;
-    3. order fields join onto the collected rows (order-sized, not
-       line-sized); orders without lines keep an empty item array.
+def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each order cut into parts of ``PART_LINES``:
+    ``l_orderkey, part, items, total``.
+
+    Equal lines (same part, quantity and price) are counted, with map-side
+    combining, and never ranked one by one; different lines of an order are
+    ranked in ``LINE_RANGES`` ranges of their part key and the ranges'
+    counts added.  So an order that holds a third of all lines is spread
+    over tasks, and an array never exceeds PART_LINES items.  ``lineitem``
+    is scanned once.
     """
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-
-    hot = (li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-           .filter(F.col("n_lines") > MAX_ITEMS)
-           .select(F.col("l_orderkey").alias("_hot_key"),
-                   F.ceil(F.col("n_lines") / F.lit(MAX_ITEMS)).alias("n_parts")))
-    if hot.count() <= HOT_BROADCAST_ROWS:        # proven bound -> broadcast, no line shuffle
-        hot = F.broadcast(hot)
-
+    own = ["l_orderkey", "_range"]
+    line = ["l_partkey", "l_quantity", "l_extendedprice"]
+    # both uses of ``lines`` read one exchange: same filters, no NULL range
+    lines = (li.filter(F.col("l_orderkey").isNotNull())
+             .withColumn("_range", F.coalesce(F.pmod("l_partkey", F.lit(LINE_RANGES)), F.lit(0)))
+             .groupBy(*own, *line).agg(F.count(F.lit(1)).alias("_n")))
+    running = Window.partitionBy(*own).orderBy(*line).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = lines.withColumn("_at", F.coalesce(F.sum("_n").over(running), F.lit(0)))
+    # lines in the earlier ranges of the order: at most LINE_RANGES rows an order
+    earlier = Window.partitionBy("l_orderkey").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (ranked.groupBy(*own).agg(F.sum("_n").alias("_all"))
+              .select(*own, F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_before")))
+    placed = ranked.join(before, own).withColumn("_at", F.col("_at") + F.col("_before"))
+    # a counted line may reach over several parts
+    first, last = F.expr(f"_at div {PART_LINES}"), F.expr(f"(_at + _n - 1) div {PART_LINES}")
+    cut = placed.select("l_orderkey", *line, "_at", "_n", F.explode(F.sequence(first, last)).alias("part"))
+    here = (F.least(F.col("_at") + F.col("_n"), (F.col("part") + 1) * PART_LINES)
+            - F.greatest(F.col("_at"), F.col("part") * PART_LINES)).cast("int")
     # Every line becomes an item; a part missing from ``part`` leaves the
     # item's product_name NULL rather than dropping the line.
-    lines = li.join(part, li["l_partkey"] == part["p_partkey"], "left").drop("p_partkey")
-    lines = lines.join(hot, lines["l_orderkey"] == hot["_hot_key"], "left").drop("_hot_key")
-    chunk = F.when(F.col("n_parts") > 1,
-                   F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                                     "l_extendedprice"), F.col("n_parts"))).otherwise(F.lit(0))
+    named = cut.withColumn("_here", here).join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     item = F.struct(
         _id("P", F.col("l_partkey"), 6).alias("product_id"),
         F.col("p_name").alias("product_name"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        F.when(~_every(F.col("l_partkey"), NULL_QUANTITY_EVERY), F.col("l_quantity").cast("int")).alias("quantity"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
     )
-    nested = (lines.withColumn("chunk", chunk)
-              .withColumn("n_parts", F.coalesce(F.col("n_parts"), F.lit(1)))
-              .repartition("l_orderkey", "chunk")   # hot orders spread by chunk
-              .groupBy("l_orderkey", "chunk", "n_parts")
-              .agg(F.array_sort(F.collect_list(item)).alias("items"),
-                   F.round(F.sum("l_extendedprice"), 2).alias("total")))
+    return named.groupBy("l_orderkey", "part").agg(
+        F.array_sort(F.flatten(F.collect_list(F.array_repeat(item, F.col("_here"))))).alias("items"),
+        F.round(F.sum(F.col("l_extendedprice") * F.col("_here")), 2).alias("total"))
+
+
+def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders ⋈ lineitem ⋈ part`` -> orders topic, items nested; every
+    order is cut by the same rule (``order_parts``) and its messages are
+    ``ORD<key>-<part>``.  An order without lines is one message with an
+    empty item array."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    nested = order_parts(spark, sf_dir)
     no_items = F.array().cast(ENTITY["orders"]["items"].dataType)
     per_order = orders.join(nested, orders["o_orderkey"] == nested["l_orderkey"], "left").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
-        F.coalesce(F.col("n_parts"), F.lit(1)).alias("n_parts"),
-        F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
+        F.coalesce(F.col("part"), F.lit(0)).alias("part"),
         F.coalesce(F.col("items"), no_items).alias("items"),
         F.coalesce(F.col("total"), F.round(F.col("o_totalprice"), 2)).alias("total"),
     )
@@ -185,9 +178,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = per_order.select("*", _copies(k).alias("copy"))
     stamp = iso_utc(_order_time(k, F.col("o_orderdate")))
     rec = msgs.select(
-        F.concat(_id("ORD", k, 12),
-                 F.when(F.col("n_parts") > 1, F.concat(F.lit("-"), F.col("chunk").cast("string")))
-                  .otherwise(F.lit(""))).alias("order_id"),
+        F.concat(_id("ORD", k, 12), F.lit("-"), F.col("part").cast("string")).alias("order_id"),
         F.when(_every(k, NULL_REF_EVERY), F.lit(None).cast("string"))
          .otherwise(_id("CUST", F.col("o_custkey"), 5)).alias("customer_id"),
         F.when(F.col("o_orderpriority") == "5-LOW", "cancelled")
@@ -200,7 +191,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every(k, BAD_TIME_EVERY), F.lit("garbage")).otherwise(stamp).alias("created_at"),
         F.lit("order_created").alias("event_type"),
         F.pmod(F.col("o_custkey"), F.lit(TOPIC_PARTITIONS)).alias("_partition"),
-        (k * 2 + F.col("copy")).alias("_offset"),
+        ((k * 2 + F.col("copy")) * MAX_PARTS + F.col("part")).alias("_offset"),
         event_time(stamp).alias("_ts"),
         _every(k, BROKEN_EVERY).alias("_brk"),
     )
@@ -214,7 +205,7 @@ def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_quantity", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    lines = spread(li).join(part, li["l_partkey"] == part["p_partkey"], "left")   # keep every line
+    lines = li.join(part, li["l_partkey"] == part["p_partkey"], "left")   # keep every line
     k = F.col("l_orderkey")
     qty = F.col("l_quantity").cast("int")
     stamp = iso_utc(_order_time(k, F.col("l_shipdate")))
@@ -240,12 +231,13 @@ def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> customers topic, one profile event per event (signup:
     created, anything else: updated).  Every event carries its own
-    name/email/phone; R4 restores the first ones."""
-    ev = spread(table(spark, sf_dir, "events"))
+    name/email/phone; R4 restores the first ones.  Dirt: broken JSON, NULL
+    customer ids, unparsable update times."""
+    ev = table(spark, sf_dir, "events")
     e, u = F.col("event_id"), F.col("user_id")
     stamp = iso_utc(F.col("ts"))
     rec = ev.select(
-        _id("CUST", u, 5).alias("customer_id"),
+        F.when(_every(e, NULL_REF_EVERY), F.lit(None).cast("string")).otherwise(_id("CUST", u, 5)).alias("customer_id"),
         F.concat(F.lit("Customer "), u.cast("string"), F.lit(" #"), e.cast("string")).alias("full_name"),
         F.concat(F.lit("user"), u.cast("string"), F.lit("."), e.cast("string"), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("09"), F.lpad(F.pmod(e, F.lit(100000000)).cast("string"), 8, "0")).alias("phone"),
@@ -253,14 +245,15 @@ def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(CITIES, e).alias("city"),
         _pick(SEGMENTS, e).alias("segment"),
         stamp.alias("created_at"),
-        stamp.alias("updated_at"),
+        F.when(_every(e, BAD_TIME_EVERY), F.lit("garbage")).otherwise(stamp).alias("updated_at"),
         F.when(F.col("event_type") == "signup", "customer_created")
          .otherwise("customer_updated").alias("event_type"),
         F.pmod(u, F.lit(TOPIC_PARTITIONS)).alias("_partition"),
         e.alias("_offset"),
         event_time(stamp).alias("_ts"),
+        _every(e, BROKEN_EVERY).alias("_brk"),
     )
-    return _envelope(rec, "customers", None)
+    return _envelope(rec, "customers", F.col("_brk"))
 
 
 MESSAGES = {

@@ -74,3 +74,26 @@ def test_classify_customers_unparsable_time_is_not_first(spark):
     rows = {r.updated_at: r for r in derive.classify_customers(b).collect()}
     assert rows["2024-01-01T00:00:00+00:00"].event_type == "customer_created"
     assert rows["garbage"].event_type == "customer_updated" and rows["garbage"].full_name == "good"
+
+
+def test_classify_hot_customer_without_adaptive_plans(spark):
+    """One customer holds a third of the events; its events are dealt by salt."""
+    from pyspark.sql import functions as F
+    ev = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 89 == 1, F.lit(None)).otherwise(
+            F.concat(F.lit("c"), (F.col("id") % 7).cast("string"))).alias("customer_id"),
+        *[F.concat(F.lit(c), F.col("id").cast("string")).alias(c) for c in ("full_name", "email", "phone", "address", "city", "segment")],
+        F.lit("2024-01-01T00:00:00+00:00").alias("created_at"), F.lit("2024-01-01T00:00:00+00:00").alias("updated_at"),
+        F.col("id").alias("offset"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = derive.classify_customers(ev).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(rows) == ev.filter("customer_id is not null").count()
+    hot = [r for r in rows if r.customer_id == "hot"]
+    assert len(hot) == 300 and {r.full_name for r in hot} == {"full_name0"}
+    assert sum(r.event_type == "customer_created" for r in rows) == 8 and None not in {r.customer_id for r in rows}

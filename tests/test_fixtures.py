@@ -2,6 +2,8 @@
 partitioned sinks."""
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from lakeweave.operators.bronze import to_bronze
@@ -26,31 +28,32 @@ def _tables(spark, root):
         .write.parquet(f"{root}/part.parquet")
 
 
-def test_hot_order_is_split_into_bounded_messages(spark, tmp, monkeypatch):
+def test_orders_are_cut_by_one_rule(spark, tmp, monkeypatch):
     _tables(spark, tmp)
-    monkeypatch.setattr(testdata, "MAX_ITEMS", 4)
-    b = to_bronze(testdata.order_messages(spark, tmp), ENTITY["orders"], stamp=False)
-    rows = b.collect()
-    hot = [r for r in rows if r.order_id.startswith("ORD000000000001")]
-    assert len(hot) == 3                                              # ceil(9 / 4) chunks
-    assert {r.order_id for r in hot} == {f"ORD000000000001-{c}" for c in range(3)}
-    items = [it for r in hot for it in r["items"]]
-    assert sorted(it.product_id for it in items) == sorted(f"P{10 + i:06d}" for i in range(9))
-    assert abs(sum(r.total_amount for r in hot) - sum(10.0 * (i + 1) for i in range(9))) < 1e-6
-    assert max(len(r["items"]) for r in hot) <= 9                     # hash split, no line lost
-    empty = [r for r in rows if r.order_id == "ORD000000000002"]
+    monkeypatch.setattr(testdata, "PART_LINES", 4)
+    rows = to_bronze(testdata.order_messages(spark, tmp), ENTITY["orders"], stamp=False).collect()
+    hot = sorted((r for r in rows if r.order_id.startswith("ORD000000000001")), key=lambda r: r.order_id)
+    assert [r.order_id for r in hot] == [f"ORD000000000001-{c}" for c in range(3)]
+    assert [len(r["items"]) for r in hot] == [4, 4, 1]
+    # cut in the order of the part key (all below the number of ranges)
+    assert [it.product_id for r in hot for it in r["items"]] == [f"P{10 + i:06d}" for i in range(9)]
+    assert [r.total_amount for r in hot] == [100.0, 260.0, 90.0]
+    assert len({r.offset for r in hot}) == 3
+    assert hot[0].customer_id == "CUST00007" and hot[0].order_status == "shipped"
+    assert hot[0].created_at == "1995-01-01T00:00:01.000000+00:00"
+    empty = [r for r in rows if r.order_id == "ORD000000000002-0"]
     assert len(empty) == 1 and empty[0]["items"] == [] and empty[0].total_amount == 55.5
     assert empty[0].order_status == "cancelled"
 
 
-def test_unsplit_orders_keep_plain_ids(spark, tmp):
+def test_equal_lines_reach_over_parts(spark, tmp, monkeypatch):
     _tables(spark, tmp)
-    rows = to_bronze(testdata.order_messages(spark, tmp), ENTITY["orders"], stamp=False).collect()
-    ids = sorted(r.order_id for r in rows)
-    assert ids == ["ORD000000000001", "ORD000000000002"]
-    one = [r for r in rows if r.order_id == "ORD000000000001"][0]
-    assert len(one["items"]) == 9 and one.customer_id == "CUST00007" and one.order_status == "shipped"
-    assert one.created_at == "1995-01-01T00:00:01.000000+00:00"
+    ship = dt.datetime(1995, 2, 1)
+    spark.createDataFrame([(1, 10, i, 3, 1.0, 10.0, ship) for i in range(10)], LINE_SCHEMA) \
+        .write.mode("append").parquet(f"{tmp}/lineitem.parquet")          # ten more like the order's first line
+    monkeypatch.setattr(testdata, "PART_LINES", 4)
+    parts = {r.part: (len(r["items"]), r.total) for r in testdata.order_parts(spark, tmp).collect()}
+    assert parts == {0: (4, 40.0), 1: (4, 40.0), 2: (4, 10.0 * 3 + 20.0), 3: (4, 30.0 + 40 + 50 + 60), 4: (3, 70.0 + 80 + 90)}
 
 
 def test_partitioned_append_sink(spark, tmp):
@@ -74,22 +77,57 @@ def test_line_without_part_is_kept(spark, tmp):
     spark.createDataFrame([(3, 999, 1, 1, 1.0, 5.0, dt.datetime(1995, 2, 2))],    # part 999 does not exist
                           LINE_SCHEMA).write.mode("append").parquet(f"{tmp}/lineitem.parquet")
     rows = to_bronze(testdata.order_messages(spark, tmp), ENTITY["orders"], stamp=False).collect()
-    orphan = [r for r in rows if r.order_id == "ORD000000000003"]
+    orphan = [r for r in rows if r.order_id == "ORD000000000003-0"]
     assert len(orphan) == 1 and orphan[0].total_amount == 5.0
     assert [(i.product_id, i.product_name, i.quantity) for i in orphan[0]["items"]] == [("P000999", None, 1)]
     inv = to_bronze(testdata.inventory_messages(spark, tmp), ENTITY["inventory"], stamp=False).collect()
     assert len(inv) == 10 and [r.product_name for r in inv if r.product_id == "P000999"] == [None]
 
 
-def test_orders_plan_shuffles_lines_once_on_order_and_chunk(spark, tmp):
-    import contextlib
-    import io
+def test_lineitem_is_scanned_once(spark, tmp):
     _tables(spark, tmp)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        testdata.order_messages(spark, tmp).explain(mode="formatted")
-    plan = buf.getvalue()
-    assert "hashpartitioning(l_orderkey" in plan and "chunk" in plan and "REPARTITION_BY_COL" in plan
-    # split-order set: counted, then broadcast (no line-sized shuffle to attach it)
-    assert plan.count("BroadcastExchange") >= 1
-    assert "collect_list" in plan
+    df = testdata.order_messages(spark, tmp)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet [l_orderkey") == 1 and "ReusedExchange" in plan
+    assert "partial_count" in plan                       # equal lines are counted before any shuffle
+
+
+HOT = ["bronze_orders", "silver_orders", "gold_product_units_1m", "gold_customer_activity_1h", "order_total_check",
+       "stock_movements", "running_stock", "payable_orders"]
+
+
+@pytest.fixture(scope="module")
+def hot_tables(spark, tmp_path_factory):
+    """sf0.001 with a third of lineitem in one order, half of it equal lines."""
+    root = str(tmp_path_factory.mktemp("hot"))
+    src = "/root/testdata/sf0.001"
+    for t in ("part", "orders", "customer", "events"):
+        spark.read.parquet(f"{src}/{t}.parquet").write.parquet(f"{root}/{t}.parquet")
+    li = spark.read.parquet(f"{src}/lineitem.parquet")
+    key = spark.read.parquet(f"{src}/orders.parquet").filter(
+        "o_orderkey % 83 <> 0 and o_orderkey % 97 <> 0 and o_orderkey % 101 <> 0 and o_orderkey % 89 <> 0").agg(F.min("o_orderkey")).first()[0]
+    pick = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"), F.lit(6))
+    own = {"l_orderkey": F.lit(key).cast(li.schema["l_orderkey"].dataType)}
+    same = {**own, "l_partkey": F.lit(7).cast(li.schema["l_partkey"].dataType), "l_quantity": F.lit(3).cast(li.schema["l_quantity"].dataType),
+            "l_extendedprice": F.lit(30.5).cast(li.schema["l_extendedprice"].dataType)}
+    hot = li.withColumn("_p", pick)
+    for name in same:
+        old = F.col(name)
+        hot = hot.withColumn(name, F.when(F.col("_p") == 0, same[name]).when((F.col("_p") == 1) & F.lit(name in own), own.get(name, old)).otherwise(old))
+    hot.drop("_p").write.parquet(f"{root}/lineitem.parquet")
+    return root
+
+
+@pytest.mark.parametrize("name", HOT)
+def test_hot_order_matches_the_oracle(spark, hot_tables, name):
+    import duckdb
+    from lakeweave.plans.catalog import all_queries
+    from lakeweave.plans.oracle import oracle_sql
+    from test_entry import _bag
+    con = duckdb.connect()
+    for t in ("part", "orders", "lineitem", "customer", "events"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{hot_tables}/{t}.parquet/*.parquet')")
+    df = all_queries()[name](spark, hot_tables)
+    res = con.sql(oracle_sql()[name])
+    assert _bag(df.columns, [tuple(r) for r in df.collect()]) == _bag(res.columns, res.fetchall())

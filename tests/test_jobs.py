@@ -84,7 +84,7 @@ def test_jobs_command_line(spark, tmp):
     jobs.main(["bronze", "--topic", "payments", "--source", "parquet", "--envelope", f"{tmp}/env",
                "--root", root, "--trigger", "availableNow", "--corrupt-col", "_corrupt_record"])
     assert "_corrupt_record" in spark.read.parquet(f"{root}/bronze/payments").columns
-    jobs.main(["silver", "--topic", "payments", "--root", root, "--trigger", "availableNow", "--salt-buckets", "4"])
+    jobs.main(["silver", "--topic", "payments", "--root", root, "--trigger", "availableNow"])
     jobs.main(["gold", "--name", "revenue", "--duration", "1 hour", "--root", root, "--trigger", "availableNow",
                "--max-files-per-trigger", "1"])
     jobs.main(["load", "--name", "revenue", "--root", root, "--target", f"{tmp}/wh"])
@@ -92,3 +92,25 @@ def test_jobs_command_line(spark, tmp):
     assert (r.window_start, r.total_revenue, r.transaction_count) == ("2024-01-01 00:00:00.000000", 3.0, 3)
     jobs.main(["compact", "--layer", "bronze", "--topic", "payments", "--root", root])
     assert spark.read.parquet(f"{root}/bronze_compacted/payments").count() == 3
+    jobs.main(["compact", "--layer", "silver", "--topic", "payments", "--root", root])
+    before = sorted(map(tuple, spark.read.parquet(f"{tmp}/wh").collect()))
+    jobs.main(["compact", "--layer", "gold", "--name", "revenue", "--root", root])
+    jobs.main(["load", "--name", "revenue", "--root", root, "--target", f"{tmp}/wh"])
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp}/wh").collect())) == before
+    got = jobs.counts_job(spark, root, ["payments"], compacted=True).first()
+    assert (got.bronze_rows, got.silver_rows) == (3, 3)
+
+
+def test_jobs_set_session_settings_and_refuse_half_arguments(spark, tmp):
+    import pytest
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    with pytest.raises(FileNotFoundError):
+        jobs.main(["counts", "--root", f"{tmp}/mistyped"])
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    with pytest.raises(SystemExit):
+        jobs.main(["bronze", "--topic", "payments", "--source", "parquet", "--envelope", f"{tmp}/e", "--out", f"{tmp}/o"])
+
+
+def test_load_of_a_missing_folder_is_reported(spark, tmp, capsys):
+    jobs.main(["load", "--name", "revenue", "--root", f"{tmp}/mistyped", "--target", f"{tmp}/wh"])
+    assert "skipped" in capsys.readouterr().out

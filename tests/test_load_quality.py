@@ -110,3 +110,70 @@ def test_shared_root_when_checkpoint_dir_unset():
     root = session.shared_root(fake)
     assert root and fake.sparkContext.registered == root
     assert session.shared_root(fake) == root          # registered once, reused
+
+
+def test_text_times_in_a_daylight_saving_gap(spark):
+    from lakeweave.functions.timefmt import iso_utc, timestamps_as_text
+    from pyspark.sql import functions as F
+    df = spark.sql("SELECT TIMESTAMP'2024-03-10 02:30:00+00:00' AS t, TIMESTAMP_NTZ'2024-03-10 02:30:00' AS n")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = timestamps_as_text(df).first()
+        assert (r.t, r.n) == ("2024-03-10 02:30:00.000000",) * 2
+        assert df.select(iso_utc(F.col("n")).alias("x")).first().x == "2024-03-10T02:30:00.000000+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_missing_folder_is_an_error_and_an_empty_one_is_not(spark, tmp):
+    import os
+    import pytest
+    from lakeweave.sources.layers import read_layer
+    with pytest.raises(FileNotFoundError):
+        read_layer(spark, f"{tmp}/mistyped", GOLD_REVENUE)
+    os.makedirs(f"{tmp}/empty")
+    assert read_layer(spark, f"{tmp}/empty", GOLD_REVENUE).count() == 0
+    assert load_table(spark, f"{tmp}/mistyped", GOLD_REVENUE, KEYS, COLS, f"{tmp}/target") is None
+
+
+def test_failed_load_leaves_the_target(spark, tmp):
+    import pytest
+    _log(spark, f"{tmp}/gold")
+    load_table(spark, f"{tmp}/gold", GOLD_REVENUE, KEYS, COLS, f"{tmp}/target")
+    with pytest.raises(Exception):
+        load_table(spark, f"{tmp}/gold", GOLD_REVENUE, KEYS, ["no_such_column"], f"{tmp}/target")
+    assert spark.read.parquet(f"{tmp}/target").count() == 2
+
+
+def test_scratch_is_dropped_and_nothing_else(spark, tmp):
+    import os
+    import pytest
+    from lakeweave.session import drop_scratch, scratch
+    path = scratch(spark, "t")
+    spark.range(3).write.parquet(path)
+    drop_scratch(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))
+    with pytest.raises(ValueError):
+        drop_scratch(spark, tmp)
+
+
+def test_cluster_without_shared_folder_is_refused():
+    import pytest
+    from lakeweave import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Ctx:
+        applicationId = "app-cluster-unset"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Spark:
+        conf, sparkContext = Conf(), Ctx()
+
+    with pytest.raises(RuntimeError):
+        session.shared_root(Spark())

@@ -43,3 +43,15 @@ def test_clamped_running_sum_matches_sequential(spark):
         exp[r.id] = state[key]
     assert got == exp
     assert clamped_running_sum(df, ["k", "w"], ["t", "id"], "c", 30, "q").columns == df.columns + ["q"]
+
+
+def test_null_changes_count_as_none_in_any_layout(spark):
+    rows = [("k", i, None if i in (4, 7) else -5) for i in range(12)]
+    df = spark.createDataFrame(rows, "k string, o int, c int")
+    want, stock = [], 500
+    for _, _, c in rows:
+        stock += c or 0
+        want.append(stock)
+    for parts in (1, 4, 12):
+        out = clamped_running_sum(df, ["k"], ["o"], "c", 500, "s", partitions=parts)
+        assert [r.s for r in out.orderBy("o").collect()] == want
