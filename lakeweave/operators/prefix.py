@@ -5,34 +5,33 @@ sends every row of a key to one task.  If one key holds a third of the
 data, that task sorts and scans a third of the data alone.  Here the scan
 is split in two phases:
 
-1. range-partition on ``(keys, order)``: a hot key is cut into
-   contiguous slices that land in different partitions; each slice is
-   scanned locally (window over ``(partition, keys)``, groups bounded by
-   partition size);
-2. per-(key, partition) totals -- at most (#partitions) rows per key --
-   give each slice its carry-in from the earlier slices, joined back on
-   ``(keys, partition)``.
-
-The slice number is physical (``spark_partition_id`` after the range
-shuffle) and the range bounds are sampled from input whose row order is
-not fixed, so the sliced data is checkpointed once into the shared
-``spark.checkpoint.dir``: every later branch (local scan, slice totals,
-retries after a lost executor) sees the same slice numbers.
-
-Cost: one range shuffle (plus its sampling pass) written once as a
-checkpoint, one hash shuffle, and a small aggregate + join.  Requires
-``order`` to be a total order per key (break ties on every column) so the
-result does not depend on layout.
+1. the range of the first order column is cut into equal slices, as many as
+   the row count asks for (``SLICE_ROWS``); rows are shuffled once, by
+   (keys, slice), and each slice of a key is scanned locally;
+2. per-(key, slice) totals -- at most (#slices) rows per key -- give each
+   slice its carry-in from the earlier slices, joined back on (keys, slice).
+
+The input is written once to the shared folder (its row count and range
+decide the slices, and every branch and retry reads the same rows), then
+shuffled once: the local windows, the totals and the carry join all use
+that layout.  Drop the folder with ``session.clear_scratch``.
+
+The first order column must be a number, date or timestamp (NULL comes
+first), and ``order`` a total order per key (break ties on every column) so
+the result does not depend on layout.  Rows of one key with equal first
+order column share a slice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from ..session import shared_root
+from ..session import scratch
 
 _PART = "_scan_part"
+SLICE_ROWS = 500_000
 
 
 def _surrogates(keys: list[str]) -> tuple[list[str], list[str]]:
@@ -40,26 +39,37 @@ def _surrogates(keys: list[str]) -> tuple[list[str], list[str]]:
 
 
 def ranged(df: DataFrame, keys: list[str], order_by: list[str], partitions: int | None = None) -> DataFrame:
-    """Phase-1 layout: contiguous ``(keys, order)`` slices, tagged with their
-    slice number and with non-NULL surrogates of the keys
-    (``coalesce(key, default)``, ``isnull(key)``).  Grouping on the
-    surrogates equals NULL-safe grouping on the keys, and because they are
-    plain non-NULL columns, the window partitioning, the slice totals and
-    the carry join all share one hash layout (a NULL-safe join would be
-    rewritten to those expressions and force a re-shuffle of the large
-    side)."""
+    """Phase-1 layout: ``(keys, order)`` slices (``partitions`` of them, by
+    default as many as the rows need), tagged with their slice number and
+    with non-NULL surrogates of the keys (``coalesce(key, default)``,
+    ``isnull(key)``).  Grouping on the surrogates equals NULL-safe grouping
+    on the keys, and because they are plain non-NULL columns, the window
+    partitioning, the slice totals and the carry join all share one hash
+    layout (a NULL-safe join would be rewritten to those expressions and
+    force a re-shuffle of the large side)."""
     spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared_root(spark)          # checkpoint dir: the cluster's, or a local one in tests
+    first = df.schema[order_by[0]].dataType
+    if not isinstance(first, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        raise ValueError(f"{order_by[0]} must be a number, date or timestamp")
+    path = scratch(spark, "prefix")
+    df.write.parquet(path)
+    once = spark.read.schema(df.schema).parquet(path)
+    at = F.col(order_by[0])
+    if isinstance(first, (DateType, TimestampNTZType)):
+        at = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), at.cast("timestamp_ntz"))
+    at = at.cast("double")
+    n, lo, hi = once.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
+    slices = partitions or max(1, -(-n // SLICE_ROWS))
+    width = max(((hi or 0.0) - (lo or 0.0)) / slices, 1e-9)
+    number = F.least(F.floor((at - F.lit(lo or 0.0)) / F.lit(width)), F.lit(slices - 1))
     sk, sn = _surrogates(keys)
-    tagged = df.select(
+    tagged = once.select(
         "*",
         *[F.coalesce(F.col(k), F.lit(0).cast(df.schema[k].dataType)).alias(a) for k, a in zip(keys, sk)],
         *[F.col(k).isNull().alias(a) for k, a in zip(keys, sn)],
+        F.coalesce(number, F.lit(-1)).cast("int").alias(_PART),
     )
-    return tagged.repartitionByRange(parts, *[F.col(c) for c in keys + order_by]) \
-        .withColumn(_PART, F.spark_partition_id()) \
-        .checkpoint(eager=True)
+    return tagged.repartition(_PART, *sk, *sn)
 
 
 def scan_slices(sliced: DataFrame, keys: list[str], order_by: list[str],
