@@ -8,9 +8,9 @@ Strings are judged on the input.
    grams as anchor, so equal windows have the same anchor at the same
    place.  Neighbouring windows with one anchor are a context.  Equal
    contexts are told by fingerprints of anchor and content; all but the
-   earliest are wholly repeated.  This is done inside each batch first, so a
-   passage that many documents share is shuffled once a batch, not once a
-   document.
+   earliest are wholly repeated.  This is done inside each share of
+   8 MB first, so a passage that many documents share is shuffled once a
+   share, not once a document.
 2. Different contexts of one anchor may still share windows.  Only those are
    fetched, and a run-length index of blocks of such groups (``RunIndex``)
    streams matching statistics over them: windows whose match reaches
@@ -45,6 +45,7 @@ from .run_index import RunIndex
 LENGTH = 100
 GRAM = 32
 BLOCK = 1 << 20
+SHARE = 1 << 23          # bytes of text whose contexts a task settles among themselves
 BITS = 24
 NO_ID = -(1 << 63)
 
@@ -124,14 +125,16 @@ def first_pass(src: DataFrame) -> DataFrame:
         data, off = tb.flat(batch.column(1))
         ids = batch.column(0).to_numpy()
         prints = batch.column(2).to_numpy()
-        parts = []
-        for i, b, o in tb.slices(data, off):
-            doc, s1, s2, a, c = contexts(b, o)
-            parts.append((doc + i, s1 - o[doc], s2 - s1, a, c))
-        doc, start, more, a, c = (np.concatenate(x) for x in zip(*parts))
-        if not len(doc):
-            return
-        who, print_ = ids[doc], prints[doc]
+        for first, piece, piece_off in tb.slices(data, off, SHARE):
+            parts = []
+            for i, b, o in tb.slices(piece, piece_off):
+                doc, s1, s2, a, c = contexts(b, o)
+                parts.append((doc + first + i, s1 - o[doc], s2 - s1, a, c))
+            doc, start, more, a, c = (np.concatenate(x) for x in zip(*parts))
+            if len(doc):
+                yield from settled_here(ids[doc], prints[doc], start, more, a, c)
+
+    def settled_here(who, print_, start, more, a, c):
         order = np.lexsort((start, who, c, a))
         same = np.zeros(len(order), bool)
         same[1:] = (a[order][1:] == a[order][:-1]) & (c[order][1:] == c[order][:-1])
@@ -214,12 +217,12 @@ def fetch(look: DataFrame, src: DataFrame) -> DataFrame:
         a, place = (batch.column(i).flatten().to_numpy() for i in (2, 3))
         doc = np.repeat(np.arange(len(n)), n)
         start, size = place >> _START, ((place >> _SPAN) & 127) + LENGTH
-        for i in range(0, len(a), 50_000):
-            s, z, d = start[i:i + 50_000], size[i:i + 50_000], doc[i:i + 50_000]
+        for i in range(0, len(a), 20_000):
+            s, z, d = start[i:i + 20_000], size[i:i + 20_000], doc[i:i + 20_000]
             raw = data[spread(off[d] + s, z)]
             at = np.concatenate([[0], np.cumsum(z)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a[i:i + 50_000]), batch.column(0).take(pa.array(d)), pa.array(place[i:i + 50_000]),
+                [pa.array(a[i:i + 20_000]), batch.column(0).take(pa.array(d)), pa.array(place[i:i + 20_000]),
                  pa.Array.from_buffers(pa.binary(), len(z), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(raw))])],
                 names=["a", "doc_id", "place", "data"])
 
@@ -392,34 +395,31 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         data, off = tb.flat(batch.column(0))
         lists = batch.column(1)
         begin = lists.offsets.to_numpy()
-        flat_ = lists.flatten()
-        start, size = (flat_.field(i).to_numpy() for i in (0, 1))
+        stretch = lists.flatten()
+        start, size = (stretch.field(i).to_numpy() for i in (0, 1))
         begin = begin - begin[0]
-        kept, removed, spans = [], [], []
-        raw = memoryview(data)
-        for i in range(len(off) - 1):
-            x, y = off[i], off[i + 1]
-            s, e = begin[i], begin[i + 1]
-            if s == e:
-                kept.append(bytes(raw[x:y]))
-                removed.append(0)
-                spans.append(0)
-                continue
-            zero = np.zeros(e - s, np.int64)
-            _, _, at, n = _merge_marks(zero, start[s:e], start[s:e] + size[s:e], zero)
-            last, out = 0, []
-            for p, q in zip(at.tolist(), n.tolist()):
-                out.append(raw[x + last:x + p])
-                last = p + q
-            out.append(raw[x + last:y])
-            kept.append(b"".join(out))
-            removed.append(int(n.sum()))
-            spans.append(len(at))
-        if as_text:
-            kept = [k.decode("utf-8", "ignore") for k in kept]
-        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(np.diff(off)), pa.array(removed, pa.int64()),
-                                          pa.array(spans, pa.int64()), batch.column(2)],
-                                         names=["kept", "n_bytes", "n_removed", "n_spans", "row"])
+        for first, piece, o in tb.slices(data, off, SHARE):
+            kept, removed, spans = [], [], []
+            raw = memoryview(piece)
+            for i in range(len(o) - 1):
+                x, y = o[i], o[i + 1]
+                s, e = begin[first + i], begin[first + i + 1]
+                last, out, at, n = 0, [], (), np.zeros(0, np.int64)
+                if s < e:
+                    zero = np.zeros(e - s, np.int64)
+                    _, _, at, n = _merge_marks(zero, start[s:e], start[s:e] + size[s:e], zero)
+                    for p, q in zip(at.tolist(), n.tolist()):
+                        out.append(raw[x + last:x + p])
+                        last = p + q
+                out.append(raw[x + last:y])
+                out = b"".join(out)
+                kept.append(out.decode("utf-8", "ignore") if as_text else out)
+                removed.append(int(n.sum()))
+                spans.append(len(at))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(np.diff(o)), pa.array(removed, pa.int64()),
+                 pa.array(spans, pa.int64()), batch.column(2).slice(first, len(o) - 1)],
+                names=["kept", "n_bytes", "n_removed", "n_spans", "row"])
 
     out = on_text(hit, run, schema).unionByName(on_text(rest, run, schema))
     ship(spark)

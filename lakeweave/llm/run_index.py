@@ -31,13 +31,28 @@ class RunIndex:
         text[self.begin + size] = np.arange(m)
         self.n, self.size = n, size
         longest = int(size.max(initial=0)) + 1
-        # ranks by prefixes of 1, 2, 4, ... symbols until all suffixes differ
-        ranks, width = [_dense(text)], 1
-        while width < longest and (not len(ranks[-1]) or ranks[-1].max() < n - 1):
+        # ranks by prefixes of 4, 8, 16, ... symbols until all suffixes differ
+        bits = int(m + 256).bit_length()
+        self.first = 4 if 4 * bits < 63 else 2           # symbols that fit into one number
+        key = np.zeros(n, np.int64)
+        for i in range(self.first):                      # nothing after the end counts as smallest
+            key <<= bits
+            if i < n:
+                key[:n - i] += text[i:] + 1
+        # (a rank is the place of the first suffix with that prefix; only suffixes that still tie are sorted again)
+        rank, tied = _places(key, np.zeros(n, np.int64))
+        ranks, width = [rank], self.first
+        tied = np.flatnonzero(tied)
+        while len(tied) and width < longest:
             r = ranks[-1]
-            second = np.zeros(n, np.int64)
-            second[:n - width] = r[width:] + 1
-            ranks.append(_dense(r * (n + 1) + second))
+            second = np.zeros(len(tied), np.int64)
+            inside = tied + width < n
+            second[inside] = r[tied[inside] + width] + 1
+            place, more = _places(r[tied] * (n + 1) + second, r[tied])
+            r = r.copy()
+            r[tied] = place
+            ranks.append(r)
+            tied = tied[more]
             width *= 2
         rank = ranks[-1]
         sa = np.empty(n, np.int64)
@@ -48,21 +63,27 @@ class RunIndex:
         j = np.flatnonzero(head)
         self.runs = len(j)
         at, other = sa[j], np.where(j > 0, sa[j - 1], 0)
-        common = self._common(ranks, at, other)
+        common = self._common(ranks, text, at, other)
         common[j == 0] = 0
         order = np.argsort(at)
         self.sample, self.neighbour, self.length = at[order], other[order], common[order]
 
-    @staticmethod
-    def _common(ranks: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Common prefixes of suffix pairs, from the ranks of doubled prefixes."""
+    def _common(self, ranks: list[np.ndarray], text: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Common prefixes of suffix pairs, from the ranks of doubled prefixes
+        and the last symbols themselves."""
         n, got = len(ranks[0]), np.zeros(len(x), np.int64)
         for k in range(len(ranks) - 1, -1, -1):
             a, b = x + got, y + got
             ok = (a < n) & (b < n)
             same = np.zeros(len(x), bool)
             same[ok] = ranks[k][a[ok]] == ranks[k][b[ok]]
-            got[same] += 1 << k
+            got[same] += self.first << k
+        open_ = np.ones(len(x), bool)
+        for _ in range(self.first - 1):
+            a, b = x + got, y + got
+            open_ &= (a < n) & (b < n)
+            open_[open_] = text[a[open_]] == text[b[open_]]
+            got[open_] += 1
         return got
 
     def stream(self) -> tuple[np.ndarray, np.ndarray]:
@@ -96,11 +117,19 @@ class RunIndex:
         return text, where - self.begin[text], root[where]
 
 
-def _dense(key: np.ndarray) -> np.ndarray:
-    order = np.argsort(key, kind="stable")
-    ranked = key[order]
-    new = np.zeros(len(key), np.int64)
-    new[1:] = ranked[1:] != ranked[:-1]
-    out = np.empty(len(key), np.int64)
-    out[order] = np.cumsum(new)
-    return out
+def _places(key: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key among those of its group, plus the group's own place
+    (``base``, which orders the keys first); whether other keys equal it."""
+    n = len(key)
+    order = np.argsort(key)
+    ranked, group = key[order], base[order]
+    new = np.ones(n + 1, bool)
+    new[1:-1] = ranked[1:] != ranked[:-1]
+    start = np.ones(n, bool)
+    start[1:] = group[1:] != group[:-1]
+    at = np.arange(n)
+    place = np.empty(n, np.int64)
+    place[order] = group + np.maximum.accumulate(np.where(new[:-1], at, 0)) - np.maximum.accumulate(np.where(start, at, 0))
+    tied = np.empty(n, bool)
+    tied[order] = ~(new[:-1] & new[1:])
+    return place, tied
