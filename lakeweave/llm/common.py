@@ -9,13 +9,14 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_root
+from ..session import scratch
 
 _shipped: set[str] = set()
 
@@ -45,9 +46,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back with
-    its own schema: cuts the lineage, survives lost executors."""
+    its own schema: cuts the lineage, survives lost executors.  The folder
+    stays until ``session.clear_scratch``."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -85,10 +87,11 @@ def ranked(df: DataFrame, group: list[str], spread: Column, order: list[str], ou
 
     ``spread`` is a number in [0, 1) that leads the order: rows are cut into
     equal ranges of it, each (group, range) is ranked on its own, and the
-    counts of the earlier ranges are added.  Only the table of counts (one
-    row per group and range) is ordered by group.  ``sums`` maps a column
-    to the name of its running total over the whole table, exclusive, in
-    the order (group, spread).
+    counts of the earlier ranges are added (a table of one row per group and
+    range, ordered group by group).  ``sums`` maps a column to the name of
+    its running total over the whole table, exclusive, in the order (group,
+    spread); that takes one row a group into one task, so it is for few
+    groups.
     """
     n = df.count()
     buckets = max(64, -(-n // bucket_rows))
@@ -101,12 +104,19 @@ def ranked(df: DataFrame, group: list[str], spread: Column, order: list[str], ou
     for c, name in (sums or {}).items():
         local = local.withColumn(name, F.coalesce(F.sum(c).over(run), F.lit(0)))
     counts = cut.groupBy(*group, b).agg(F.count(F.lit(1)).alias(base), *[F.sum(c).alias(k) for k, c in totals.items()])
-    before = Window.partitionBy(*group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1) if group else \
-        Window.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy(*group, b).rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    if totals and group:                                 # totals of the earlier groups: a row a group
+        ahead = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
+        per_group = counts.groupBy(*group).agg(*[F.sum(k).alias(f"{k}_g") for k in totals])
+        per_group = per_group.select(*[F.col(g).alias(f"{base}_h{i}") for i, g in enumerate(group)],
+                                     *[F.coalesce(F.sum(f"{k}_g").over(ahead), F.lit(0)).alias(f"{k}_a") for k in totals])
+        same = reduce(lambda x, y: x & y, [F.col(g).eqNullSafe(F.col(f"{base}_h{i}")) for i, g in enumerate(group)])
+        counts = counts.join(per_group, same)
+    else:
+        counts = counts.withColumns({f"{k}_a": F.lit(0) for k in totals})
     counts = counts.select(*[F.col(g).alias(f"{base}_g{i}") for i, g in enumerate(group)], F.col(b).alias(f"{base}_b"),
                            F.coalesce(F.sum(base).over(before), F.lit(0)).alias(f"{base}_n"),
-                           *[F.coalesce(F.sum(k).over(whole), F.lit(0)).alias(f"{k}_n") for k in totals])
+                           *[(F.coalesce(F.sum(k).over(before), F.lit(0)) + F.col(f"{k}_a")).alias(f"{k}_n") for k in totals])
     on = F.col(b) == F.col(f"{base}_b")
     for i, g in enumerate(group):
         on = on & F.col(g).eqNullSafe(F.col(f"{base}_g{i}"))

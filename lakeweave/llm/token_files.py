@@ -25,7 +25,6 @@ empty table gives an empty result.  Only the id and text columns are read.
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
 
 import numpy as np
@@ -35,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_root
+from ..session import scratch
 from . import pieces
 from . import textbytes as tb
 from .common import fields, read, ship
@@ -202,7 +201,7 @@ def documents_of(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_root(spark)}/llm/token-files-{uuid.uuid4().hex[:12]}"
+    folder = scratch(spark, "token-files")
     write(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), folder)
     back = documents_of(spark, folder)
 
