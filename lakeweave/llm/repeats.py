@@ -347,7 +347,7 @@ def possible(src: DataFrame, ids: DataFrame, col: str, outside: bool = False) ->
         F.expr("cast(at div 32 as int)").alias("w"), F.expr("shiftleft(1L, cast(at % 32 as int))").alias("b"))
     words = rows.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()      # at most 2 ** (BITS - 5) rows
     bitmap = np.zeros(1 << (BITS - 5), np.uint32)
-    bitmap[words["w"]] = words["b"].to_numpy(np.int64).astype(np.uint32)
+    bitmap[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).astype(np.uint32)
     shared = src.sparkSession.sparkContext.broadcast(bitmap)
     at = fresh(src, "at")
 
