@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import fields, fresh, on_text, read, ship, staged
+from .common import fields, fresh, on_text, read, ship, staged, trimmed
 from .pieces import spread
 from .run_index import RunIndex
 
@@ -201,7 +201,7 @@ def settle(rows: DataFrame) -> DataFrame:
             held = tuple(x[keep] for x in (a, c, doc, place))
 
     ship(spark)
-    return rows.mapInArrow(run, fields(_ROWS))
+    return rows.mapInArrow(trimmed(run), fields(_ROWS))
 
 
 def fetch(look: DataFrame, src: DataFrame) -> DataFrame:
@@ -297,7 +297,7 @@ def match(found: DataFrame, block: int = BLOCK) -> DataFrame:
                 yield from large_or_index(x, windows, block, large)
 
     ship(spark)
-    return found.mapInArrow(run, fields(_ROWS))
+    return found.mapInArrow(trimmed(run), fields(_ROWS))
 
 
 def _blocks(a, doc, place, data, off, block):

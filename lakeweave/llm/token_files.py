@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..session import scratch
 from . import pieces
 from . import textbytes as tb
-from .common import fields, read, ship
+from .common import fields, read, ship, trimmed
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -174,7 +174,7 @@ def write(df: DataFrame, path: str, folder: str, end_id: int = END_ID,
         if held:
             yield flush()
 
-    src.mapInArrow(run, fields("part int, image int, n_ids long, payload binary")).write.parquet(folder)
+    src.mapInArrow(trimmed(run), fields("part int, image int, n_ids long, payload binary")).write.parquet(folder)
 
 
 def documents_of(spark: SparkSession, folder: str) -> DataFrame:
