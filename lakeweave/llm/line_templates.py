@@ -10,9 +10,12 @@ constant.  Lines that agree with a template's constants are dropped.  Two
 trees with different places catch templates whose variable fields lie on
 one path.
 
-Copies of whole documents are not boilerplate: a document's longest line
-names it, and a node whose documents mostly have one name is left alone
-(near-duplicates are another operator's work).
+Copies of whole documents are not boilerplate (near-duplicates are another
+operator's work), so a node's documents are counted after copies are
+collapsed: what is left of a document without the line has ``BANDS``
+fingerprints, each of ``ROWS`` smallest hashes of its 3-word shingles, and a
+document counts when no smaller one of the node shares any of them.  However
+many copies one of the documents has, the others count.
 
 A template must be reached by at least ``MIN_DOCS`` documents and by one in
 ``MAX_NODES`` lines of the corpus, the same rate at every size.  So each
@@ -46,11 +49,13 @@ MIN_TOKENS = 3
 MAX_NODES = 1 << 17
 AGREE = 0.8            # share of a template's constants that a line must have
 CONSTANT = 0.6         # share of places that must be constant
-NAMES = 64             # buckets of document names
-COPIES = 0.5           # share of documents with one name that makes them copies
+BANDS, ROWS = 5, 3     # fingerprints of a document's rest, and smallest hashes in each
 PLACES = ((1 / 6, 1 / 2, 5 / 6), (0.34, 0.67, 0.99))
 
 _WILD = np.uint64(0x5851F42D4C957F2D)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_SEEDS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, dtype=np.int64).astype(np.uint64)
+_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 
@@ -61,6 +66,7 @@ class Lines:
     def __init__(self, b: np.ndarray, off: np.ndarray):
         w = tb.Words(b, off)
         digits = np.concatenate([[0], np.cumsum(_DIGIT[b])])
+        self.raw = w.hash
         self.token = np.where(digits[w.end] > digits[w.start], _WILD, w.hash)
         start, end = tb.runs(b != 10, off)
         first = np.searchsorted(w.start, start)
@@ -69,15 +75,38 @@ class Lines:
         self.start, self.end, self.first, self.count = start[has], end[has], first[has], count[has]
         self.doc = np.searchsorted(off, self.start, "right") - 1
 
-    def names(self, n_doc: int) -> np.ndarray:
-        """Bucket of the two leading tokens of each document's longest line."""
-        out = np.zeros(n_doc, np.int64)
-        if len(self.doc):
-            order = np.lexsort((np.arange(len(self.doc)), -self.count, self.doc))
-            lead = order[np.searchsorted(self.doc[order], np.unique(self.doc))]
-            second = np.minimum(self.first[lead] + 1, self.first[lead] + self.count[lead] - 1)
-            h = tb.mix(self.token[self.first[lead]] * np.uint64(3) + self.token[second] * np.uint64(5))
-            out[self.doc[lead]] = (h >> np.uint64(58)).astype(np.int64) % NAMES
+    def documents(self) -> np.ndarray:
+        """Fingerprint of the document of each line."""
+        begin = np.flatnonzero(np.diff(self.doc, prepend=-1))
+        place = np.arange(len(self.raw)) - np.repeat(self.first[begin], np.diff(np.append(self.first[begin], len(self.raw))))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tb.mix(self.raw + place.astype(np.uint64) * _STEP))])
+        last = np.append(begin[1:], len(self.doc)) - 1
+        return np.repeat(tb.mix(total[self.first[last] + self.count[last]] - total[self.first[begin]]), last - begin + 1)
+
+    def bands(self) -> np.ndarray:
+        """``BANDS`` fingerprints of each line's document without that line
+        (and its repetitions); similar rests share most of them."""
+        if not len(self.doc):
+            return np.zeros((0, BANDS), np.uint64)
+        n = len(self.raw)
+        left = np.repeat(self.first + self.count, self.count) - np.arange(n)
+        h = self.raw
+        for j in (1, 2):
+            after = np.zeros(n, np.uint64)
+            after[:max(n - j, 0)] = self.raw[j:]
+            h = tb.mix(h * _STEP + np.where(left > j, after, np.uint64(0)) + np.uint64(j))
+        short = np.repeat(self.count < 3, self.count) & (left == np.repeat(self.count, self.count))
+        h = h[(left >= 3) | short]
+        at = np.concatenate([[0], np.cumsum(np.maximum(self.count - 2, 1))])[:-1]
+        begin = np.flatnonzero(np.diff(self.doc, prepend=-1))
+        size = np.diff(np.append(begin, len(self.doc)))
+        out = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(self.doc), axis=0)
+        for i, seed in enumerate(_SEEDS):
+            least = np.minimum.reduceat(tb.mix(h ^ seed), at)
+            own = least == np.repeat(np.minimum.reduceat(least, begin), size)
+            rest = np.repeat(np.minimum.reduceat(np.where(own, _NONE, least), begin), size)
+            rest = np.where(own, rest, np.repeat(np.minimum.reduceat(least, begin), size))
+            out[:, i // ROWS] = tb.mix(out[:, i // ROWS] * _STEP + rest)
         return out
 
     def nodes(self, tree: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,30 +140,39 @@ def _count(keys: list[np.ndarray], weight: np.ndarray | None = None) -> tuple[li
     return [k[order][at] for k in keys], np.add.reduceat(weight[order], at)
 
 
+def different(held: DataFrame) -> DataFrame:
+    """``node, n``: documents of each node that are no copies of each other,
+    from the rows ``node, doc, band``."""
+    first = held.groupBy("node", "band").agg(F.min("doc").alias("doc"))
+    return (first.groupBy("node", "doc").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == BANDS)
+            .groupBy("node").agg(F.count(F.lit(1)).alias("n")))
+
+
 def recurring(src: DataFrame, min_docs: int = MIN_DOCS) -> np.ndarray:
     """Nodes of both trees that are reached by enough documents that are no
     copies of each other, ascending."""
 
     def run(batch):
-        parts, lines = [], 0
+        lines = 0
         for i, b, o in _slices(batch, 0):
             x = Lines(b, o)
-            names = x.names(len(o) - 1)
+            docs, bands = x.documents(), x.bands()
             lines += len(x.doc)
             for tree in range(len(PLACES)):
                 at, node = x.nodes(tree)
-                (node, doc), _ = _count([node, x.doc[at]])
-                parts.append((node, names[doc]))
-        (node, name), n = _count([np.concatenate(c) for c in zip(*parts)])
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(node.view(np.int64), 0)), pa.array(np.append(name, -1)),
-                                          pa.array(np.append(n, lines))], names=["node", "name", "n"])
-
-    by_name = on_text(src, run, fields("node long, name long, n long")).groupBy("node", "name").agg(F.sum("n").alias("n"))
-    nodes = staged(by_name.groupBy("node").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.min("name").alias("name"))
-                   .filter((F.col("n") >= min_docs) | (F.col("name") == -1)), "nodes")
-    lines = nodes.filter("name = -1").agg(F.max("n")).first()[0] or 0
+                order = np.lexsort((at, x.doc[at], node))
+                new = np.ones(len(order), bool)
+                new[1:] = (np.diff(node[order]) != 0) | (np.diff(x.doc[at][order]) != 0)
+                at, node = at[order][new], node[order][new]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(tb.signed(node), BANDS)), pa.array(np.repeat(tb.signed(docs[at]), BANDS)),
+                                                  pa.array(tb.signed(bands[at].ravel())), pa.nulls(len(at) * BANDS, pa.int64())],
+                                                 names=["node", "doc", "band", "lines"])
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 3, pa.array([lines], pa.int64())], names=["node", "doc", "band", "lines"])
+
+    held = staged(on_text(src, run, fields("node long, doc long, band long, lines long")), "held")
+    lines = held.agg(F.sum("lines")).first()[0] or 0
     least = max(min_docs, -(-lines // MAX_NODES))
-    found = nodes.filter((F.col("name") >= 0) & (F.col("n") >= least) & (F.col("most") <= COPIES * F.col("n"))).select("node")
+    found = different(held.filter("node is not null")).filter(F.col("n") >= least).select("node")
     return np.sort(found.toPandas()["node"].to_numpy(np.int64).view(np.uint64))     # at most trees * MAX_NODES
 
 

@@ -163,6 +163,37 @@ def test_line_templates(spark, tmp):
         assert got[i] == ("\n".join(keep), sum(bool(x.strip()) for x in lines), len(lines) - len(keep)), i
 
 
+def kept_lines(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    return {r.doc_id: r.text.split("\n") for r in line_templates.without_templates(df).collect()}
+
+
+def test_copies_of_one_document_do_not_exempt_a_line(spark):
+    """A licence of 60 different documents goes, though one of them has 200
+    copies; the copies keep their own lines, and so do near copies."""
+    import random
+    rng = random.Random(31)
+    licence = "Released under the terms of the open body."
+    rows = [(i, "\n".join([" ".join(fx.words(rng, 12)), licence, " ".join(fx.words(rng, 9))])) for i in range(60)]
+    rows += [(1000 + i, rows[0][1]) for i in range(200)]
+    base = [fx.words(rng, 12) for _ in range(20)]
+    for i in range(100):
+        mine = [list(x) for x in base]
+        mine[i % 20][rng.randrange(12)] = f"edit{i}"
+        rows.append((5000 + i, "\n".join(map(" ".join, mine))))
+    got = kept_lines(spark, rows)
+    assert all(got[i] == [x for x in text.split("\n") if x != licence] for i, text in rows)
+
+
+def test_line_that_is_the_longest_of_its_documents_goes(spark):
+    import random
+    rng = random.Random(32)
+    footer = "All rights to these verses remain with the house that printed them."
+    rows = [(i, "\n".join([*(" ".join(fx.words(rng, 4)) + f" v{i}" for _ in range(5)), footer])) for i in range(30)]
+    got = kept_lines(spark, rows)
+    assert all(got[i] == text.split("\n")[:-1] for i, text in rows)
+
+
 def test_line_query(spark, corpus, data):
     got = {str(r["doc_id"]): r for r in collect(spark, "op5_line_templates", corpus)}
     for r in data:
