@@ -17,13 +17,17 @@ fingerprints, each of ``ROWS`` smallest hashes of its 3-word shingles, and a
 document counts when no smaller one of the node shares any of them.  However
 many copies one of the documents has, the others count.
 
-A template must be reached by at least ``MIN_DOCS`` documents and by one in
-``MAX_NODES`` lines of the corpus, the same rate at every size.  So each
-tree has at most MAX_NODES templates, a proven bound of what is broadcast.
-
-Scale: three passes over the texts, none of which shuffles them.  Counts
-are added up inside batches, then by group sums, so a line that a third of
-all documents share costs one row a batch.
+A template must be reached by at least ``MIN_DOCS`` documents, at every size
+of the corpus.
+
+Scale: nodes, templates and marks of lines are tables in Spark, joined and
+never collected.  A pass over the texts counts the lines of each node; nodes
+with enough go into a bitmap of ``BITS`` bits, the only thing sent to tasks,
+and only their lines (and the few others that the bitmap cannot tell) leave
+the texts in the next pass.  What decides is exact: counts of different
+documents, the tokens of templates by distinct lines, the lines that agree.
+Those lines are marked by document fingerprint and joined to the texts, which
+is the only time texts are shuffled.
 
 Defined cases: a null text stays null, an empty one empty, both without
 lines.  Lines without a token are kept and not counted; lines of fewer than
@@ -41,12 +45,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import fields, on_text, read, ship, staged
+from .common import fields, fresh, on_text, read, ship, staged
 from .pieces import spread
 
 MIN_DOCS = 10
 MIN_TOKENS = 3
-MAX_NODES = 1 << 17
+BITS = 1 << 26         # bits of the bitmap of node and line hashes that tasks get
 AGREE = 0.8            # share of a template's constants that a line must have
 CONSTANT = 0.6         # share of places that must be constant
 BANDS, ROWS = 5, 3     # fingerprints of a document's rest, and smallest hashes in each
@@ -83,6 +87,12 @@ class Lines:
         last = np.append(begin[1:], len(self.doc)) - 1
         return np.repeat(tb.mix(total[self.first[last] + self.count[last]] - total[self.first[begin]]), last - begin + 1)
 
+    def hashes(self) -> np.ndarray:
+        """Fingerprint of each line's tokens."""
+        place = spread(np.zeros(len(self.count), np.int64), self.count).astype(np.uint64)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tb.mix(self.token + place * _STEP))])
+        return tb.mix((total[self.first + self.count] - total[self.first]) * _STEP + self.count.astype(np.uint64))
+
     def bands(self) -> np.ndarray:
         """``BANDS`` fingerprints of each line's document without that line
         (and its repetitions); similar rests share most of them."""
@@ -124,20 +134,37 @@ def _slices(batch, column: int):
     return tb.slices(data, off)
 
 
-def _count(keys: list[np.ndarray], weight: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of ``keys`` and how often (or with which sum) they occur."""
-    n = len(keys[0])
-    if not n:
-        return keys, np.zeros(0, np.int64)
+def _first(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct row of ``keys`` occurs first, and how often."""
+    if not len(keys[0]):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     order = np.lexsort(keys[::-1])
-    new = np.zeros(n, bool)
+    new = np.zeros(len(order), bool)
     new[0] = True
     for k in keys:
         new[1:] |= k[order][1:] != k[order][:-1]
     at = np.flatnonzero(new)
-    if weight is None:
-        return [k[order][at] for k in keys], np.diff(np.append(at, n))
-    return [k[order][at] for k in keys], np.add.reduceat(weight[order], at)
+    return order[at], np.diff(np.append(at, len(order)))
+
+
+def _lists(values: np.ndarray, size: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(tb.signed(values)))
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """``BITS`` bits, those of the hashes in the only column of ``keys`` set."""
+    key = F.col(keys.columns[0])
+    bit = F.expr(f"shiftleft(1L, cast(`{keys.columns[0]}` & 63 as int))")
+    words = (keys.select(F.shiftrightunsigned(key.bitwiseAND(F.lit(BITS - 1)), 6).cast("int").alias("word"), bit.alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow())          # at most BITS / 64 rows
+    out = np.zeros(BITS >> 6, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bit").to_numpy().view(np.uint64)
+    return out
+
+
+def _hit(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    h = h & np.uint64(BITS - 1)
+    return (bits[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) > 0
 
 
 def different(held: DataFrame) -> DataFrame:
@@ -148,105 +175,107 @@ def different(held: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.count(F.lit(1)).alias("n")))
 
 
-def recurring(src: DataFrame, min_docs: int = MIN_DOCS) -> np.ndarray:
-    """Nodes of both trees that are reached by enough documents that are no
-    copies of each other, ascending."""
+def often(src: DataFrame, min_docs: int) -> DataFrame:
+    """Nodes of both trees that enough documents reach, copies included."""
 
     def run(batch):
-        lines = 0
-        for i, b, o in _slices(batch, 0):
+        for _, b, o in _slices(batch, 0):
             x = Lines(b, o)
-            docs, bands = x.documents(), x.bands()
-            lines += len(x.doc)
             for tree in range(len(PLACES)):
                 at, node = x.nodes(tree)
-                order = np.lexsort((at, x.doc[at], node))
-                new = np.ones(len(order), bool)
-                new[1:] = (np.diff(node[order]) != 0) | (np.diff(x.doc[at][order]) != 0)
-                at, node = at[order][new], node[order][new]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(tb.signed(node), BANDS)), pa.array(np.repeat(tb.signed(docs[at]), BANDS)),
-                                                  pa.array(tb.signed(bands[at].ravel())), pa.nulls(len(at) * BANDS, pa.int64())],
-                                                 names=["node", "doc", "band", "lines"])
-        yield pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 3, pa.array([lines], pa.int64())], names=["node", "doc", "band", "lines"])
-
-    held = staged(on_text(src, run, fields("node long, doc long, band long, lines long")), "held")
-    lines = held.agg(F.sum("lines")).first()[0] or 0
-    least = max(min_docs, -(-lines // MAX_NODES))
-    found = different(held.filter("node is not null")).filter(F.col("n") >= least).select("node")
-    return np.sort(found.toPandas()["node"].to_numpy(np.int64).view(np.uint64))     # at most trees * MAX_NODES
-
-
-class Templates:
-    """Tokens of each template, 0 where it is variable."""
-
-    def __init__(self, node: np.ndarray, size: np.ndarray, token: np.ndarray):
-        self.node, self.token = node, token
-        self.begin = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        self.constants = np.array([np.count_nonzero(token[s:e]) for s, e in zip(self.begin[:-1], self.begin[1:])], np.int64)
-
-    def dropped(self, x: Lines) -> np.ndarray:
-        """Lines that agree with a template."""
-        out = np.zeros(len(x.doc), bool)
-        if not len(self.node):
-            return out
-        for tree in range(len(PLACES)):
-            at, node = x.nodes(tree)
-            t = np.minimum(np.searchsorted(self.node, node), len(self.node) - 1)
-            hit = self.node[t] == node
-            at, t = at[hit], t[hit]
-            if not len(at):
-                continue
-            count = x.count[at]
-            same = self.begin[t + 1] - self.begin[t] == count        # always, but for a clash of hashes
-            at, t, count = at[same], t[same], count[same]
-            equal = x.token[spread(x.first[at], count)] == self.token[spread(self.begin[t], count)]
-            right = tb.per_doc_sum(equal, np.concatenate([[0], np.cumsum(count)]))
-            out[at[right >= AGREE * self.constants[t]]] = True
-        return out
+                once, _ = _first(node, x.doc[at])
+                first, n = _first(node[once])
+                yield pa.RecordBatch.from_arrays([pa.array(tb.signed(node[once][first])), pa.array(n)], names=["node", "n"])
+
+    return (on_text(src, run, fields("node long, n long")).groupBy("node").agg(F.sum("n").alias("n"))
+            .filter(F.col("n") >= min_docs).select("node"))
 
 
-def templates(src: DataFrame, nodes: np.ndarray) -> Templates:
-    """The tokens most lines of each node have at each place."""
-    spark = src.sparkSession
-    none = np.zeros(0, np.uint64)
-    if not len(nodes):
-        return Templates(none, np.zeros(0, np.int64), none)
-    shared = spark.sparkContext.broadcast(nodes)
+def held(src: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, line, doc, bands, tokens`` of the lines of ``nodes`` (and of a
+    few more nodes, each with all its lines); a line that repeats in a document
+    is there once."""
+    shared = src.sparkSession.sparkContext.broadcast(bitmap(nodes))
 
     def run(batch):
-        parts = []
         for _, b, o in _slices(batch, 0):
             x = Lines(b, o)
-            for tree in range(len(PLACES)):
-                at, node = x.nodes(tree)
-                i = np.minimum(np.searchsorted(shared.value, node), len(shared.value) - 1)
-                hit = shared.value[i] == node
-                at, node = at[hit], node[hit]
-                count = x.count[at]
-                flat = spread(x.first[at], count)
-                place = spread(np.zeros(len(at), np.int64), count)
-                parts.append((np.concatenate([np.repeat(node, count), node]),
-                              np.concatenate([place, np.full(len(at), -1)]),       # place -1: number of lines and tokens
-                              np.concatenate([x.token[flat], count.astype(np.uint64)])))
-        (node, place, token), n = _count([np.concatenate(c) for c in zip(*parts)])
-        yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(place, pa.int64()), pa.array(token.view(np.int64)), pa.array(n)],
-                                         names=["node", "place", "token", "n"])
-
-    tally = staged(on_text(src, run, fields("node long, place long, token long, n long")).groupBy("node", "place", "token")
-                   .agg(F.sum("n").alias("n")), "places")
-    size = tally.filter("place = -1").groupBy("node").agg(F.max("token").alias("size"), F.sum("n").alias("lines"))
-    top = (tally.filter("place >= 0").join(F.broadcast(size), "node").filter(F.col("n") * 2 > F.col("lines"))
-           .select("node", "size", "place", "token"))
-    got = top.toPandas()                                 # a token a place of at most trees * MAX_NODES templates
-    got = got.assign(node=got["node"].to_numpy(np.int64).view(np.uint64)).sort_values(["node", "place"])
-    node, first, n = np.unique(got["node"].to_numpy(), return_index=True, return_counts=True)
-    size = got["size"].to_numpy(np.int64)[first]
-    keep = n >= CONSTANT * size
-    begin = np.concatenate([[0], np.cumsum(size)])
-    token = np.zeros(int(begin[-1]), np.uint64)
-    token[np.repeat(begin[:-1], n) + got["place"].to_numpy(np.int64)] = got["token"].to_numpy(np.int64).view(np.uint64)
-    mask = np.repeat(keep, size)
-    return Templates(node[keep], size[keep], token[mask])
+            found = [(at, node) for at, node in map(x.nodes, range(len(PLACES)))]
+            found = [(at[hit], node[hit]) for at, node in found for hit in [_hit(shared.value, node)]]
+            if not any(len(at) for at, _ in found):
+                continue
+            docs, lines, bands = x.documents(), x.hashes(), x.bands()
+            for at, node in found:
+                once, _ = _first(node, lines[at], docs[at])
+                at, node = at[once], node[once]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tb.signed(node)), pa.array(tb.signed(lines[at])), pa.array(tb.signed(docs[at])),
+                     _lists(bands[at].ravel(), np.full(len(at), BANDS)), _lists(x.token[spread(x.first[at], x.count[at])], x.count[at])],
+                    names=["node", "line", "doc", "bands", "tokens"])
+
+    return on_text(src, run, fields("node long, line long, doc long, bands array<long>, tokens array<long>"))
+
+
+def dropped(src: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``line``: the lines that agree with a template."""
+    rows = staged(held(src, often(src, min_docs)), "held")
+    nodes = staged(different(rows.select("node", "doc", F.explode("bands").alias("band")))
+                   .filter(F.col("n") >= min_docs).select("node"), "nodes")
+    # each different line once, with the number of different texts that have it
+    lines = staged(rows.join(nodes, "node", "left_semi").groupBy("node", "line", "doc").agg(F.first("tokens").alias("tokens"))
+                   .groupBy("node", "line").agg(F.count(F.lit(1)).alias("n"), F.first("tokens").alias("tokens")), "lines")
+    size = lines.groupBy("node").agg(F.sum("n").alias("lines"), F.max(F.size("tokens")).alias("size"))
+    flat = lines.select("node", "line", "n", F.posexplode("tokens").alias("place", "token"))
+    # the tokens most lines of each node have at each place
+    top = (flat.groupBy("node", "place", "token").agg(F.sum("n").alias("n")).join(size, "node")
+           .filter(F.col("n") * 2 > F.col("lines")).select("node", "place", "token", "size"))
+    top = staged(top, "places")
+    fixed = (top.groupBy("node").agg(F.count(F.lit(1)).alias("fixed"), F.first("size").alias("size"))
+             .filter(F.col("fixed") >= CONSTANT * F.col("size")).select("node", "fixed"))
+    right = flat.join(top.drop("size"), ["node", "place", "token"]).groupBy("node", "line").agg(F.count(F.lit(1)).alias("right"))
+    return right.join(fixed, "node").filter(F.col("right") >= AGREE * F.col("fixed")).select("line").distinct()
+
+
+def _fingerprint(text) -> list:
+    return [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
+
+
+def marks(src: DataFrame, lines: DataFrame) -> DataFrame:
+    """``_h1, _h2, _gone``: fingerprint of each different text with lines to
+    drop, and those lines."""
+    shared = src.sparkSession.sparkContext.broadcast(bitmap(lines))
+
+    def run(batch):
+        h1, h2 = (batch.column(i).to_numpy() for i in (1, 2))
+        for i, b, o in _slices(batch, 0):
+            x = Lines(b, o)
+            line = x.hashes()
+            at = np.flatnonzero(_hit(shared.value, line))
+            line, one, two = line[at], h1[i + x.doc[at]], h2[i + x.doc[at]]
+            at, _ = _first(line, one, two)
+            yield pa.RecordBatch.from_arrays([pa.array(one[at]), pa.array(two[at]), pa.array(tb.signed(line[at]))],
+                                             names=["_h1", "_h2", "line"])
+
+    found = on_text(src.select("text", *_fingerprint(F.col("text"))), run, fields("_h1 long, _h2 long, line long")).distinct()
+    return found.join(lines, "line", "left_semi").groupBy("_h1", "_h2").agg(F.collect_set("line").alias("_gone"))
+
+
+def _flat_lists(col: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and begins of the lists of a column; a null is empty."""
+    size = pa.compute.fill_null(pa.compute.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+    return col.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+
+
+def _in(doc: np.ndarray, line: np.ndarray, in_doc: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """Which of the lines are marked in their document."""
+    order = np.lexsort((np.concatenate([np.zeros(len(in_doc)), np.ones(len(doc))]), np.concatenate([marked, line]),
+                        np.concatenate([in_doc, doc])))
+    d, h = np.concatenate([in_doc, doc])[order], np.concatenate([marked, line])[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1])
+    lead = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else order
+    hit = (order >= len(marked)) & (lead < len(marked))
+    return np.sort(order[hit] - len(marked))
 
 
 def without_templates(df: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -256,20 +285,29 @@ def without_templates(df: DataFrame, text_col: str = "text", min_docs: int = MIN
     spark = df.sparkSession
     ship(spark)
     src = df.select(F.col(text_col).cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast(templates(src, recurring(src, min_docs)))
+    gone_by_text = staged(marks(src, staged(dropped(src, min_docs), "dropped")), "marks")
     mine = ("n_lines", "n_dropped")
     own = df.select(*[F.col(c).cast("string").alias(c) if c == text_col else F.col(c) for c in df.columns if c.lower() not in mine])
     at = own.columns.index(text_col)
     schema = fields("n_lines long, n_dropped long")
     for f in own.schema.fields:
         schema = schema.add(f)
+    n_own = len(own.columns)
+    key, gone_col = [fresh(own, x) for x in ("_h1", "_h2")], fresh(own, "_gone")
+    keyed = own.select("*", *[h.alias(k) for h, k in zip(_fingerprint(F.col(text_col)), key)])
+    right = gone_by_text.select(*[F.col(h).alias(f"{k}_r") for h, k in zip(("_h1", "_h2"), key)], F.col("_gone").alias(gone_col))
+    marked = (keyed.join(right, [F.col(k) == F.col(f"{k}_r") for k in key], "left")
+              .select(*[F.col(c) for c in own.columns], gone_col))
 
     def run(batch):
         text, lines, dropped = [], [], []
+        marked_lines, begin = _flat_lists(batch.column(n_own))
         for i, b, o in _slices(batch, at):
             n = len(o) - 1
             x = Lines(b, o)
-            gone = np.flatnonzero(shared.value.dropped(x))
+            which = marked_lines[begin[i]:begin[i + n]]
+            doc = np.repeat(np.arange(n), np.diff(begin[i:i + n + 1]))
+            gone = _in(x.doc, x.hashes(), doc, which)
             start, end = x.start[gone].copy(), x.end[gone].copy()
             after = end < o[x.doc[gone] + 1]                          # a line feed follows in the same text
             end[after] += 1
@@ -284,13 +322,13 @@ def without_templates(df: DataFrame, text_col: str = "text", min_docs: int = MIN
                                                                      pa.py_buffer(np.ascontiguousarray(b[keep]))]).cast(pa.string()))
             lines.append(np.bincount(x.doc, minlength=n))
             dropped.append(np.bincount(x.doc[gone], minlength=n))
-        cols = list(batch.columns)
+        cols = list(batch.columns)[:n_own]
         old = cols[at]
         new = pa.concat_arrays(text)
         cols[at] = pa.compute.if_else(old.is_null(), pa.scalar(None, pa.string()), new) if old.null_count else new
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lines)), pa.array(np.concatenate(dropped)), *cols], names=schema.names)
 
-    return on_text(own, run, schema)
+    return on_text(marked, run, schema)
 
 
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

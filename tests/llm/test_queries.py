@@ -194,6 +194,17 @@ def test_line_that_is_the_longest_of_its_documents_goes(spark):
     assert all(got[i] == text.split("\n")[:-1] for i, text in rows)
 
 
+def test_threshold_does_not_grow_with_the_corpus(spark):
+    """Ten documents are enough beside 1.4 million other lines too."""
+    import random
+    rng = random.Random(33)
+    footer = "Printed by the house of the two rivers."
+    rows = [(i, " ".join(fx.words(rng, 20)) + "\n" + footer) for i in range(10)]
+    rows += [(100 + i, "a\n" * 1999 + "a") for i in range(700)]
+    got = kept_lines(spark, rows)
+    assert all(got[i] == text.split("\n")[:1] for i, text in rows[:10])
+
+
 def test_line_query(spark, corpus, data):
     got = {str(r["doc_id"]): r for r in collect(spark, "op5_line_templates", corpus)}
     for r in data:
