@@ -8,7 +8,8 @@ different documents reach it; its tokens are then the ones most of its
 lines have at each place, the others wildcards, and most places must be
 constant.  Lines that agree with a template's constants are dropped.  Two
 trees with different places catch templates whose variable fields lie on
-one path.
+one path.  A line of one or two tokens is its own template, digits included,
+and is parsed down the first tree only.
 
 Copies of whole documents are not boilerplate (near-duplicates are another
 operator's work), so a node's documents are counted after copies are
@@ -30,8 +31,7 @@ Those lines are marked by document fingerprint and joined to the texts, which
 is the only time texts are shuffled.
 
 Defined cases: a null text stays null, an empty one empty, both without
-lines.  Lines without a token are kept and not counted; lines of fewer than
-``MIN_TOKENS`` tokens are always kept.  A line that repeats inside one
+lines.  Lines without a token are kept and not counted.  A line that repeats inside one
 document counts once.  Repeated rows count as documents.  An empty table
 gives an empty result.  Own columns of the table are passed through.
 """
@@ -49,7 +49,7 @@ from .common import fields, fresh, on_text, read, ship, staged
 from .pieces import spread
 
 MIN_DOCS = 10
-MIN_TOKENS = 3
+SHORT = 2              # tokens of lines that are compared as they are
 BITS = 1 << 26         # bits of the bitmap of node and line hashes that tasks get
 AGREE = 0.8            # share of a template's constants that a line must have
 CONSTANT = 0.6         # share of places that must be constant
@@ -71,10 +71,11 @@ class Lines:
         w = tb.Words(b, off)
         digits = np.concatenate([[0], np.cumsum(_DIGIT[b])])
         self.raw = w.hash
-        self.token = np.where(digits[w.end] > digits[w.start], _WILD, w.hash)
         start, end = tb.runs(b != 10, off)
         first = np.searchsorted(w.start, start)
         count = np.searchsorted(w.start, end) - first
+        variable = (digits[w.end] > digits[w.start]) & np.repeat(count > SHORT, count)
+        self.token = np.where(variable, _WILD, w.hash)
         has = count > 0
         self.start, self.end, self.first, self.count = start[has], end[has], first[has], count[has]
         self.doc = np.searchsorted(off, self.start, "right") - 1
@@ -120,12 +121,13 @@ class Lines:
         return out
 
     def nodes(self, tree: int) -> tuple[np.ndarray, np.ndarray]:
-        """Lines long enough, and their node in one tree."""
-        at = np.flatnonzero(self.count >= MIN_TOKENS)
+        """Lines of one tree, and their node in it."""
+        at = np.flatnonzero((self.count > SHORT) | (tree == 0))
         first, count = self.first[at], self.count[at]
+        end = first + count - 1
         h = tb.mix(count.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tree + 1))
         for place in (first, first + 1, *(first + 2 + ((count - 2) * f).astype(np.int64) for f in PLACES[tree])):
-            h = tb.mix(h * np.uint64(0x9E3779B97F4A7C15) + self.token[place])
+            h = tb.mix(h * np.uint64(0x9E3779B97F4A7C15) + self.token[np.clip(place, first, end)])
         return at, h
 
 

@@ -205,6 +205,17 @@ def test_threshold_does_not_grow_with_the_corpus(spark):
     assert all(got[i] == text.split("\n")[:1] for i, text in rows[:10])
 
 
+def test_short_lines_are_judged(spark):
+    """Lines of one or two tokens go like others; numbers are told apart."""
+    import random
+    rng = random.Random(34)
+    rows = [(i, "\n".join(["Advertisement", " ".join(fx.words(rng, 12)), "Read more", f"Page {i}", str(1000 + i), " ".join(fx.words(rng, 9))]))
+            for i in range(20)]
+    rows += [(100 + i, f"Read less\n{' '.join(fx.words(rng, 12))}") for i in range(9)]
+    got = kept_lines(spark, rows)
+    assert all(got[i] == [x for x in text.split("\n") if x not in ("Advertisement", "Read more")] for i, text in rows)
+
+
 def test_line_query(spark, corpus, data):
     got = {str(r["doc_id"]): r for r in collect(spark, "op5_line_templates", corpus)}
     for r in data:
