@@ -9,7 +9,7 @@ and texts are rejected when it says that the prediction is more likely
 wrong than right.
 
 Scale: learning uses a sample of labelled rows of a fixed size (``PER_LANG``
-rows a language, at most ``MAX_LANGS`` languages and ``MAX_LEARN_CHARS``
+different texts a language, at most ``MAX_LANGS`` languages and ``MAX_LEARN_CHARS``
 characters a text -- documented bounds of the fit, not of predictions).
 Because averaging and softmax are linear up to the last step, the model
 ships as one table of ``BUCKETS`` rows by language; prediction is one pass
@@ -147,17 +147,20 @@ def fit(texts: list[str], langs: list[str], seed: int = 7, epochs: int = EPOCHS)
 
 
 def learning_rows(df: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> tuple[list[str], list[str]]:
-    """About ``per_lang`` rows of each of the ``max_langs`` most frequent
-    languages, chosen by a hash of the row (the same rows every time)."""
+    """About ``per_lang`` different texts of each of the ``max_langs`` most
+    frequent languages, chosen by a hash of the text (the same ones every
+    time); copies count and come once, so a language of few texts has all."""
     ok = df.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= MAX_LEARN_CHARS))
-    top = ok.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    texts = ok.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    top = (texts.groupBy("lang").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("texts"))
+           .orderBy(F.desc("rows"), "lang").limit(max_langs).collect())
     if not top:
         return [], []
     share = F.lit(0.0)
     for r in top:
-        share = F.when(F.col("lang") == r["lang"], min(1.0, per_lang / r["count"])).otherwise(share)
+        share = F.when(F.col("lang") == r["lang"], min(1.0, per_lang / r["texts"])).otherwise(share)
     u = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    rows = ok.filter(u < share).select("text", "lang").collect()
+    rows = ok.filter(u < share).select("text", "lang").distinct().collect()
     rows.sort(key=lambda r: (r["lang"], r["text"]))
     mixed = np.random.default_rng(3).permutation(len(rows))
     return [rows[i]["text"] for i in mixed], [rows[i]["lang"] for i in mixed]

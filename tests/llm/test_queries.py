@@ -194,6 +194,14 @@ def test_line_that_is_the_longest_of_its_documents_goes(spark):
     assert all(got[i] == text.split("\n")[:-1] for i, text in rows)
 
 
+def test_learning_rows_are_different_texts(spark):
+    """Copies neither fill the sample nor push a language of few texts out."""
+    rows = [(f"few {c} words", "de") for c in "abcde"] * 400 + [(f"text number {i}", "en") for i in range(1000)]
+    texts, langs = language_id.learning_rows(spark.createDataFrame(rows, "text string, lang string"), per_lang=100)
+    assert sorted(t for t, x in zip(texts, langs) if x == "de") == [f"few {c} words" for c in "abcde"]
+    assert 60 <= langs.count("en") <= 140
+
+
 def test_threshold_does_not_grow_with_the_corpus(spark):
     """Ten documents are enough beside 1.4 million other lines too."""
     import random
