@@ -283,8 +283,8 @@ def planted(doc_id: Column, text: Column) -> Column:
     n = F.greatest(F.size(words), F.lit(1))               # texts without words are left as they are
     a = (g % n).cast("int")
     p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % F.lit(8)))).cast("int")
-    at = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
-    again = F.array_join(F.transform(at, lambda i: F.get(words, i)), " ")
+    block = F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int"))
+    again = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(F.flatten(block), F.lit(1), n - a)), " ")
     return F.when((h % F.lit(10) == 0) & (F.size(words) > 0), again).otherwise(text)
 
 
