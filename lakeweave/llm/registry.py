@@ -3,8 +3,8 @@ production parameters to its whole table."""
 
 from __future__ import annotations
 
-from . import (byte_bpe, cross_polytope, language_id, line_templates, packing, periodic_runs, quality_votes, repeats, sharding,
-               token_files, weighted_minhash)
+from . import (byte_bpe, cross_polytope, language_id, line_templates, packing, periodic_runs, prefix_trie, quality_votes, repeats,
+               sharding, token_files, toxicity, weighted_minhash)
 
 QUERIES = {f.__name__: f for f in (
     weighted_minhash.op1_weighted_minhash,
@@ -17,6 +17,8 @@ QUERIES = {f.__name__: f for f in (
     packing.op8_packing,
     token_files.op9_token_files,
     language_id.op10_language_id,
+    toxicity.op11_toxicity,
+    prefix_trie.op12_prefix_trie,
     periodic_runs.op13_periodic_runs,
 )}
 
