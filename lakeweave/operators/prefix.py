@@ -1,119 +1,109 @@
-"""Skew-safe running (prefix) aggregates per key.
-
-``SUM(x) OVER (PARTITION BY key ORDER BY o ROWS UNBOUNDED PRECEDING)``
-sends every row of a key to one task.  If one key holds a third of the
-data, that task sorts and scans a third of the data alone.  Here the scan
-is split in two phases:
-
-1. the range of the first order column is cut into equal slices, as many as
-   the row count asks for (``SLICE_ROWS``); rows are shuffled once, by
-   (keys, slice), and each slice of a key is scanned locally;
-2. per-(key, slice) totals -- at most (#slices) rows per key -- give each
-   slice its carry-in from the earlier slices, joined back on (keys, slice).
-
-The input is written once to the shared folder (its row count and range
-decide the slices, and every branch and retry reads the same rows), then
-shuffled once: the local windows, the totals and the carry join all use
-that layout.  Drop the folder with ``session.clear_scratch``.
-
-The first order column must be a number, date or timestamp (NULL comes
-first), and ``order`` a total order per key (break ties on every column) so
-the result does not depend on layout.  Rows of one key with equal first
-order column share a slice.
+"""Skew-safe scans along an order, per key.
+
+``... OVER (PARTITION BY key ORDER BY o)`` sends every row of a key to one
+task.  If one key holds a third of the data, that task sorts and scans a
+third of the data alone.  Here a scan is split in two phases:
+
+1. rows are cut into slices: ranges of the *whole* order (its tie-breaks
+   included, so equal first columns are split too), with bounds that Spark
+   samples, so slices hold about equally many rows whatever the values;
+   each slice of a key is scanned locally;
+2. one row a (key, slice) -- at most (#slices) rows a key -- gives each slice
+   its carry-in from the key's other slices, joined back on (key, slice).
+
+The slices are written once to the shared folder (every branch and retry
+sees the same slice numbers), then shuffled once, by (slice, key): the local
+windows, the summaries and the carry joins all use that layout.  Drop the
+folder with ``session.clear_scratch``.
+
+``order`` must be a total order per key (break ties on every column) so the
+result does not depend on layout.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import IntegerType, StructType
 
 from ..session import scratch
 
 _PART = "_scan_part"
-SLICE_ROWS = 500_000
 
 
 def _surrogates(keys: list[str]) -> tuple[list[str], list[str]]:
     return [f"_sk{i}" for i in range(len(keys))], [f"_sn{i}" for i in range(len(keys))]
 
 
+def layout(keys: list[str]) -> list[str]:
+    """Columns that rows of ``ranged`` are laid out by."""
+    sk, sn = _surrogates(keys)
+    return [_PART, *sk, *sn]
+
+
 def ranged(df: DataFrame, keys: list[str], order_by: list[str], partitions: int | None = None) -> DataFrame:
-    """Phase-1 layout: ``(keys, order)`` slices (``partitions`` of them, by
-    default as many as the rows need), tagged with their slice number and
-    with non-NULL surrogates of the keys (``coalesce(key, default)``,
-    ``isnull(key)``).  Grouping on the surrogates equals NULL-safe grouping
-    on the keys, and because they are plain non-NULL columns, the window
-    partitioning, the slice totals and the carry join all share one hash
-    layout (a NULL-safe join would be rewritten to those expressions and
-    force a re-shuffle of the large side)."""
+    """Phase-1 layout: rows in ``partitions`` ranges of the order (default:
+    ``spark.sql.shuffle.partitions``, small ones merged by AQE), tagged with
+    their slice number and with non-NULL surrogates of the keys
+    (``coalesce(key, default)``, ``isnull(key)``).  Grouping on the
+    surrogates equals NULL-safe grouping on the keys, and because they are
+    plain non-NULL columns, local windows, summaries and carry joins share
+    one hash layout (a NULL-safe join would be rewritten to those expressions
+    and force a re-shuffle of the large side)."""
     spark = df.sparkSession
-    first = df.schema[order_by[0]].dataType
-    if not isinstance(first, (NumericType, DateType, TimestampType, TimestampNTZType)):
-        raise ValueError(f"{order_by[0]} must be a number, date or timestamp")
     path = scratch(spark, "prefix")
-    df.write.parquet(path)
-    once = spark.read.schema(df.schema).parquet(path)
-    at = F.col(order_by[0])
-    if isinstance(first, (DateType, TimestampNTZType)):
-        at = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), at.cast("timestamp_ntz"))
-    at = at.cast("double")
-    n, lo, hi = once.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
-    slices = partitions or max(1, -(-n // SLICE_ROWS))
-    width = max(((hi or 0.0) - (lo or 0.0)) / slices, 1e-9)
-    number = F.least(F.floor((at - F.lit(lo or 0.0)) / F.lit(width)), F.lit(slices - 1))
+    cut = df.repartitionByRange(partitions, *order_by) if partitions else df.repartitionByRange(*order_by)
+    cut.withColumn(_PART, F.spark_partition_id()).write.parquet(path)
+    once = spark.read.schema(StructType([*df.schema.fields]).add(_PART, IntegerType())).parquet(path)
     sk, sn = _surrogates(keys)
     tagged = once.select(
         "*",
         *[F.coalesce(F.col(k), F.lit(0).cast(df.schema[k].dataType)).alias(a) for k, a in zip(keys, sk)],
         *[F.col(k).isNull().alias(a) for k, a in zip(keys, sn)],
-        F.coalesce(number, F.lit(-1)).cast("int").alias(_PART),
     )
     return tagged.repartition(_PART, *sk, *sn)
 
 
-def scan_slices(sliced: DataFrame, keys: list[str], order_by: list[str],
-                value: str | Column, out: str, op: str = "sum") -> DataFrame:
-    """Running ``op`` (``sum`` | ``min`` | ``max``) of ``value`` per key over
-    already ``ranged`` data; adds column ``out``."""
-    agg = {"sum": F.sum, "min": F.min, "max": F.max}[op]
-    val = F.col(value) if isinstance(value, str) else value
-    sk, sn = _surrogates(keys)
-    layout = [_PART] + sk + sn
-    local_w = (Window.partitionBy(*layout).orderBy(*order_by)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = sliced.withColumn("_val", val).withColumn("_local", agg("_val").over(local_w))
-
-    # One row per (key, slice); a key spans at most #partitions slices.
-    totals = local.groupBy(*layout).agg(agg("_val").alias("_slice"))
-    before_w = (Window.partitionBy(*sk, *sn).orderBy(_PART)
-                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = totals.withColumn("_carry", agg("_slice").over(before_w)).drop("_slice")
-
-    # Equi-join on the same columns, in the same order, as the local
-    # window's partitioning: the large side keeps its layout (also through
-    # the second scan of clamped_running_sum) and only the carry table moves.
-    joined = local.join(carry, on=layout, how="left").select(*local.columns, "_carry")
-    if op == "sum":
-        # a NULL change is no change, also where a slice holds nothing else
-        total = F.coalesce(F.col("_local"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0))
-    elif op == "min":
-        total = F.least(F.col("_local"), F.col("_carry"))   # least() skips NULL
-    else:
-        total = F.greatest(F.col("_local"), F.col("_carry"))
-    return joined.withColumn(out, total).drop("_val", "_local", "_carry")
-
-
-def _drop_layout(df: DataFrame, keys: list[str]) -> DataFrame:
+def local_window(keys: list[str], order_by: list[str]) -> WindowSpec:
+    """Rows of one key in one slice, in order."""
+    return Window.partitionBy(*layout(keys)).orderBy(*order_by)
+
+
+def with_carry(sliced: DataFrame, keys: list[str], summary: dict[str, Column],
+               carry: Callable[[DataFrame, WindowSpec, WindowSpec], DataFrame], names: list[str]) -> DataFrame:
+    """Phase 2: ``summary`` aggregates each (key, slice); ``carry`` gets that
+    table and the windows over a key's earlier and later slices and adds the
+    columns ``names``, which every row of the slice then has.
+
+    The join is on the layout's columns, in its order: the large side stays
+    where it is and only the summary table moves."""
     sk, sn = _surrogates(keys)
-    return df.drop(_PART, *sk, *sn)
+    by = layout(keys)
+    table = sliced.groupBy(*by).agg(*[c.alias(n) for n, c in summary.items()])
+    slices = Window.partitionBy(*sk, *sn).orderBy(_PART)
+    earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
+    later = slices.rowsBetween(1, Window.unboundedFollowing)
+    table = carry(table, earlier, later).select(*by, *names)
+    return sliced.join(table, on=by, how="left").select(*sliced.columns, *names)
+
+
+def drop_layout(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.drop(*layout(keys))
 
 
 def running_sum(df: DataFrame, keys: list[str], order_by: list[str], value: str | Column,
                 out: str, partitions: int | None = None) -> DataFrame:
-    """Per-key cumulative sum of ``value`` in ``order_by`` order."""
-    sliced = ranged(df, keys, order_by, partitions)
-    return _drop_layout(scan_slices(sliced, keys, order_by, value, out, "sum"), keys)
+    """Per-key cumulative sum of ``value`` in ``order_by`` order; a NULL adds nothing."""
+    val = F.col(value) if isinstance(value, str) else value
+    upto = local_window(keys, order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sliced = ranged(df, keys, order_by, partitions).withColumn("_val", F.coalesce(val, F.lit(0)))
+    local = sliced.withColumn("_sum", F.sum("_val").over(upto))
+    both = with_carry(local, keys, {"_all": F.sum("_val")},
+                      lambda t, earlier, _: t.withColumn("_base", F.sum("_all").over(earlier)), ["_base"])
+    total = F.col("_sum") + F.coalesce(F.col("_base"), F.lit(0))
+    return drop_layout(both.withColumn(out, total).drop("_val", "_sum", "_base"), keys)
 
 
 def clamped_running_sum(df: DataFrame, keys: list[str], order_by: list[str], change: str,
@@ -122,13 +112,21 @@ def clamped_running_sum(df: DataFrame, keys: list[str], order_by: list[str], cha
     """Per key, ``s_i = max(s_{i-1} + change_i, floor)`` with ``s_0 = initial``.
 
     Closed form (Lindley recursion): with ``P_i = initial + cumsum(change)``,
-    ``s_i = P_i - min(floor, min_{k<=i} P_k) + floor``.  Both scans share
-    one range layout.
+    ``s_i = P_i - min(floor, min_{k<=i} P_k) + floor``.  A slice hands on the
+    pair (its sum, its smallest prefix), so one pass and one carry do.
     """
-    sliced = ranged(df, keys, order_by, partitions)
-    with_p = scan_slices(sliced, keys, order_by, change, "_p", "sum") \
-        .withColumn("_p", F.col("_p") + F.lit(initial))
-    with_m = scan_slices(with_p, keys, order_by, "_p", "_m", "min")
-    result = F.col("_p") - F.least(F.col("_m"), F.lit(floor)) + F.lit(floor)
-    return _drop_layout(with_m.withColumn(out, result.cast(df.schema[change].dataType)), keys) \
-        .drop("_p", "_m")
+    upto = local_window(keys, order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sliced = ranged(df, keys, order_by, partitions).withColumn("_val", F.coalesce(F.col(change), F.lit(0)))
+    local = sliced.withColumn("_p", F.sum("_val").over(upto)).withColumn("_m", F.min("_p").over(upto))
+
+    def carry(t: DataFrame, earlier: WindowSpec, _: WindowSpec) -> DataFrame:
+        based = t.withColumn("_base", F.coalesce(F.sum("_all").over(earlier), F.lit(0)))
+        return based.withColumn("_low", F.min(F.col("_base") + F.col("_least")).over(earlier))
+
+    both = with_carry(local, keys, {"_all": F.sum("_val"), "_least": F.min("_p")}, carry, ["_base", "_low"])
+    p = F.col("_p") + F.col("_base") + F.lit(initial)
+    # least() skips the NULL of a key's first slice
+    low = F.least(F.col("_m") + F.col("_base") + F.lit(initial), F.col("_low") + F.lit(initial), F.lit(floor))
+    result = p - low + F.lit(floor)
+    return drop_layout(both.withColumn(out, result.cast(df.schema[change].dataType)), keys) \
+        .drop("_val", "_p", "_m", "_base", "_low")

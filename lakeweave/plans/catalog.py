@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import rules_for
+from ..functions.timefmt import event_time
 from ..operators import derive, gold
 from ..operators.bronze import corrupt_split, to_bronze
 from ..operators.dedup import dedup_latest
+from ..operators.history import asof_join, history
 from ..operators.quality import layer_counts
 from ..operators.silver import ARRIVAL_ORDER, reject_counts, silver_entity, to_silver
 from ..schemas import ENTITY, ENTITY_KEY
 from ..session import scratch
 from ..sinks.files import write_layer
+from ..sinks.incremental import merge_history, read_history, versions_schema
 from ..sources.layers import read_layer
 from ..sources.testdata import messages
 
@@ -188,6 +191,49 @@ def q_payable_orders(spark, sf):
     return derive.payable_orders(silver(spark, sf, "orders", keep=NEEDS["payable_orders"]))
 
 
+# --- versions of customers ----------------------------------------------------
+TRACKED = ["city", "segment"]
+# The test tables' orders are of 1995 to 2001, their customer events of
+# January 2024; order times are scaled onto that month (microseconds, divisor).
+ORDERS_FROM, EVENTS_FROM, ORDER_SCALE = 788_918_400_000_000, 1_704_067_200_000_000, 80
+
+
+def customer_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer profile events with their time (bronze; the layer has no silver)."""
+    return bronze(spark, sf, "customers").select("customer_id", event_time(F.col("updated_at")).alias("at"), *TRACKED, "offset")
+
+
+def q_customer_history(spark, sf):
+    """SCD type 2 of customers: one row a run of equal (city, segment)."""
+    return history(customer_events(spark, sf), ["customer_id"], "at", TRACKED, ["offset"])
+
+
+def q_customer_history_merged(spark, sf):
+    """The same table from three loads in mixed order: late events split stored intervals."""
+    events = customer_events(spark, sf)
+    target = scratch(spark, "customer-history")
+    for load in (2, 0, 1):
+        merge_history(events.filter(F.pmod("offset", F.lit(3)) == load), ["customer_id"], "at", TRACKED, ["offset"], target)
+    return read_history(spark, target, versions_schema(events, ["customer_id"], "at", TRACKED))
+
+
+def _as_of(rows: DataFrame, spark, sf, at) -> DataFrame:
+    return asof_join(rows, q_customer_history(spark, sf), ["customer_id"], at, "valid_from", [*TRACKED, "version", "valid_from"])
+
+
+def q_orders_asof_customer(spark, sf):
+    """Each order with the customer's version at its (scaled) time."""
+    orders = silver(spark, sf, "orders", keep=["customer_id"]).select("order_id", "customer_id", "created_at_ts")
+    at = F.expr(f"timestamp_micros({EVENTS_FROM} + (unix_micros(created_at_ts) - {ORDERS_FROM}) div {ORDER_SCALE})")
+    return _as_of(orders, spark, sf, at)
+
+
+def q_payments_asof_customer(spark, sf):
+    """Each payment with the customer's version at its time (often the very time of a version)."""
+    payments = silver(spark, sf, "payments", keep=["customer_id"]).select("payment_id", "customer_id", "created_at_ts")
+    return _as_of(payments, spark, sf, "created_at_ts")
+
+
 def batch_queries() -> dict:
     return {
         "bronze_payments": q_bronze_payments,
@@ -212,6 +258,10 @@ def batch_queries() -> dict:
         "running_stock": q_running_stock,
         "customer_classify": q_customer_classify,
         "payable_orders": q_payable_orders,
+        "customer_history": q_customer_history,
+        "customer_history_merged": q_customer_history_merged,
+        "orders_asof_customer": q_orders_asof_customer,
+        "payments_asof_customer": q_payments_asof_customer,
     }
 
 

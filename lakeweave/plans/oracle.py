@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from ..operators.derive import INITIAL_STOCK, WAREHOUSES
 from ..sources import testdata as td
+from . import catalog as cat
 
 
 def _lp(expr: str, n: int) -> str:
@@ -310,6 +311,29 @@ FROM (
 ) c"""
 
 
+HISTORY_CTE = f"""cus_points AS (
+  SELECT * EXCLUDE (_rn) FROM (
+    SELECT customer_id, city, segment, _at,
+      row_number() OVER (PARTITION BY customer_id, _at ORDER BY "offset" DESC, city DESC NULLS LAST, segment DESC NULLS LAST) AS _rn
+    FROM (SELECT *, {_parse('updated_at')} AS _at FROM bronze_customers) t
+    WHERE customer_id IS NOT NULL AND _at IS NOT NULL
+  ) p WHERE _rn = 1
+), cus_marked AS (
+  SELECT *, lag(_at) OVER w IS NULL OR lag(city) OVER w IS DISTINCT FROM city OR lag(segment) OVER w IS DISTINCT FROM segment AS _start
+  FROM cus_points WINDOW w AS (PARTITION BY customer_id ORDER BY _at)
+), customer_history AS (
+  SELECT customer_id, city, segment, row_number() OVER v AS version, _at AS valid_from,
+    lead(_at) OVER v AS valid_to, lead(_at) OVER v IS NULL AS is_current
+  FROM cus_marked WHERE _start WINDOW v AS (PARTITION BY customer_id ORDER BY _at)
+)"""
+
+
+def _as_of(rows: str, at: str, *ctes: str) -> str:
+    return _with(*ctes, CUS_CTE, HISTORY_CTE) + f"""SELECT r.*, h.city, h.segment, h.version, h.valid_from
+FROM (SELECT {rows}, {at} AS _at FROM _rows) t ASOF LEFT JOIN customer_history h
+  ON t.customer_id = h.customer_id AND t._at >= h.valid_from""".replace("r.*", ", ".join(f"t.{c.strip()}" for c in rows.split(",")))
+
+
 def _bronze_items() -> str:
     return _with(ORD_CTE) + """SELECT b.* EXCLUDE (_k, _part, _broken, item_count),
   l.product_id, l.product_name, l.quantity, l.unit_price
@@ -362,6 +386,13 @@ FROM movements""",
         "customer_classify": _classify(),
         "payable_orders": _with(ORD_CTE, SILVER_ORD) + """SELECT order_id, customer_id, total_amount AS amount
 FROM silver_orders WHERE coalesce(order_status <> 'cancelled', true)""",
+        "customer_history": _with(CUS_CTE, HISTORY_CTE) + "SELECT * FROM customer_history",
+        "customer_history_merged": _with(CUS_CTE, HISTORY_CTE) + "SELECT * FROM customer_history",
+        "orders_asof_customer": _as_of("order_id, customer_id, created_at_ts", f"make_timestamp({cat.EVENTS_FROM} + "
+                                       f"CAST(floor((epoch_us(created_at_ts) - {cat.ORDERS_FROM}) / {cat.ORDER_SCALE}) AS BIGINT))",
+                                       ORD_CTE, SILVER_ORD).replace("_rows", "silver_orders"),
+        "payments_asof_customer": _as_of("payment_id, customer_id, created_at_ts", "created_at_ts",
+                                         PAY_CTE, SILVER_PAY).replace("_rows", "silver_payments"),
         **_stream_sql(),
     }
 
@@ -397,7 +428,7 @@ GROUP BY ALL""",
         "gold_revenue_stream_current": rev,
         "gold_revenue_stream_final": f"""SELECT * FROM ({rev}) g
 WHERE window_end <= (SELECT max({_parse('created_at')}) FROM ({_with(PAY_CTE, SILVER_PAY)} SELECT created_at FROM silver_payments) m) - INTERVAL '10 minutes'""",
-        **dict.fromkeys(("load_revenue", "load_revenue_raw", "load_revenue_table"), f"""SELECT {_text('window_start')}, {_text('window_end')}, total_revenue, transaction_count
+        **dict.fromkeys(("load_revenue", "load_revenue_raw", "load_revenue_table", "load_revenue_incremental"), f"""SELECT {_text('window_start')}, {_text('window_end')}, total_revenue, transaction_count
 FROM ({rev}) g"""),
         "load_products": f"""SELECT {_text('window_start')}, {_text('window_end')}, product_id, product_name,
   total_quantity_sold FROM ({_gold_units('1 hour')}) g""",

@@ -147,6 +147,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it does not exist."""
+    fsp = _fs_path(spark, path)
+    if fsp is None:
+        local = _local(path)
+        return sorted(os.listdir(local)) if local and os.path.isdir(local) else []
+    fs, p = fsp
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def ensure_dir(spark: SparkSession, path: str) -> None:
     """Create ``path`` (and parents) if absent, so a layer that has not
     received data yet reads as zero rows and a file stream can start."""
