@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import rules_for
@@ -19,8 +19,12 @@ from ..operators import derive, gold
 from ..operators.bronze import corrupt_split, to_bronze
 from ..operators.dedup import dedup_latest
 from ..operators.history import asof_join, history
+from ..operators.integrity import layer_tests, orphans
 from ..operators.quality import layer_counts
+from ..operators.ranking import top_products
+from ..operators.sessions import session_gaps
 from ..operators.silver import ARRIVAL_ORDER, reject_counts, silver_entity, to_silver
+from ..operators.star import dimension, resolve, resolve_version
 from ..schemas import ENTITY, ENTITY_KEY
 from ..session import scratch
 from ..sinks.files import write_layer
@@ -217,6 +221,11 @@ def q_customer_history_merged(spark, sf):
     return read_history(spark, target, versions_schema(events, ["customer_id"], "at", TRACKED))
 
 
+def order_time() -> Column:
+    """An order's time on the scale of the customer events."""
+    return F.expr(f"timestamp_micros({EVENTS_FROM} + (unix_micros(created_at_ts) - {ORDERS_FROM}) div {ORDER_SCALE})")
+
+
 def _as_of(rows: DataFrame, spark, sf, at) -> DataFrame:
     return asof_join(rows, q_customer_history(spark, sf), ["customer_id"], at, "valid_from", [*TRACKED, "version", "valid_from"])
 
@@ -224,8 +233,7 @@ def _as_of(rows: DataFrame, spark, sf, at) -> DataFrame:
 def q_orders_asof_customer(spark, sf):
     """Each order with the customer's version at its (scaled) time."""
     orders = silver(spark, sf, "orders", keep=["customer_id"]).select("order_id", "customer_id", "created_at_ts")
-    at = F.expr(f"timestamp_micros({EVENTS_FROM} + (unix_micros(created_at_ts) - {ORDERS_FROM}) div {ORDER_SCALE})")
-    return _as_of(orders, spark, sf, at)
+    return _as_of(orders, spark, sf, order_time())
 
 
 def q_payments_asof_customer(spark, sf):
@@ -234,6 +242,76 @@ def q_payments_asof_customer(spark, sf):
     return _as_of(payments, spark, sf, "created_at_ts")
 
 
+# --- tops, tests, gaps, star schema -------------------------------------------
+TOP = 10
+SESSION_GAP = "60 days"
+
+
+def q_top_products_1h(spark, sf):
+    return top_products(silver(spark, sf, "orders", keep=NEEDS["product_units"]), "1 hour", TOP)
+
+
+def q_orphan_payments(spark, sf):
+    """Payments without a payable order (its id before the part number)."""
+    payable = derive.payable_orders(silver(spark, sf, "orders", keep=NEEDS["payable_orders"]))
+    orders = payable.select(F.substring_index("order_id", "-", 1).alias("order_number"))
+    payments = silver(spark, sf, "payments", keep=["order_id", "amount"]).select("payment_id", "order_id", "amount", "created_at_ts")
+    return orphans(payments, "order_id", orders, "order_number")
+
+
+def q_layer_tests(spark, sf):
+    """Not-null and unique tests of bronze and silver keys and references."""
+    layers = {}
+    for topic, columns in (("orders", ["customer_id"]), ("payments", ["order_id"]), ("inventory", ["product_id"])):
+        b = bronze(spark, sf, topic, keep=columns)
+        for layer, df in (("bronze", b), ("silver", silver(spark, sf, topic, bronze_df=b, keep=columns))):
+            layers[f"{layer}_{topic}"] = (df, [ENTITY_KEY[topic], *columns, "created_at"] if layer == "bronze"
+                                          else [ENTITY_KEY[topic], *columns, "created_at_ts"], [ENTITY_KEY[topic]])
+    return layer_tests(layers)
+
+
+def q_customer_gaps(spark, sf):
+    """Sessions of a customer's orders; a customer is gone after 60 days without one."""
+    orders = silver(spark, sf, "orders", keep=["customer_id", "total_amount"])
+    return _round(session_gaps(orders, ["customer_id"], "created_at_ts", SESSION_GAP, ["order_id"], {"spent": F.sum("total_amount")}), "spent")
+
+
+def _dim_customer(spark, sf):
+    versions = q_customer_history(spark, sf).select("customer_id", "valid_from", "valid_to", "is_current", *TRACKED)
+    return dimension(versions, ["customer_id", "valid_from"], "customer_key")
+
+
+def _order_lines(orders: DataFrame) -> DataFrame:
+    return orders.select("order_id", "customer_id", "created_at_ts", F.posexplode("items").alias("item_pos", "item")).select(
+        "order_id", "item_pos", "customer_id", "created_at_ts", "item.product_id", "item.product_name", "item.quantity", "item.unit_price")
+
+
+def _dim_product(lines: DataFrame) -> DataFrame:
+    members = lines.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.max("product_name").alias("product_name"))
+    return dimension(members, ["product_id"], "product_key")
+
+
+def q_dim_customer(spark, sf):
+    """One row a customer version, and the unknown member."""
+    return _dim_customer(spark, sf)
+
+
+def q_dim_product(spark, sf):
+    return _dim_product(_order_lines(silver(spark, sf, "orders", keep=["customer_id", "items"])))
+
+
+def q_fact_order_items(spark, sf):
+    """Order lines with the keys of the customer's version at the order's (scaled) time and of the product."""
+    orders = silver(spark, sf, "orders", keep=["customer_id", "items"])
+    path = scratch(spark, "fact-lines")
+    write_layer(_order_lines(orders), path)               # read by the product dimension and by the facts
+    lines = read_layer(spark, path, _order_lines(orders).schema)
+    known = resolve(lines.drop("product_name"), _dim_product(lines), ["product_id"], "product_key")
+    facts = resolve_version(known, _dim_customer(spark, sf), ["customer_id"], order_time(), "customer_key")
+    return facts.select("order_id", "item_pos", "customer_key", "product_key", "quantity",
+                        F.round(F.col("quantity") * F.col("unit_price"), 2).alias("amount"))
+
+
 def batch_queries() -> dict:
     return {
         "bronze_payments": q_bronze_payments,
@@ -262,6 +340,13 @@ def batch_queries() -> dict:
         "customer_history_merged": q_customer_history_merged,
         "orders_asof_customer": q_orders_asof_customer,
         "payments_asof_customer": q_payments_asof_customer,
+        "top_products_1h": q_top_products_1h,
+        "orphan_payments": q_orphan_payments,
+        "layer_tests": q_layer_tests,
+        "customer_gaps": q_customer_gaps,
+        "dim_customer": q_dim_customer,
+        "dim_product": q_dim_product,
+        "fact_order_items": q_fact_order_items,
     }
 
 

@@ -328,6 +328,65 @@ HISTORY_CTE = f"""cus_points AS (
 )"""
 
 
+ORDER_TIME = (f"make_timestamp({cat.EVENTS_FROM} + "
+              f"CAST(floor((epoch_us(created_at_ts) - {cat.ORDERS_FROM}) / {cat.ORDER_SCALE}) AS BIGINT))")
+
+DIM_CUSTOMER = """dim_customer AS (
+  SELECT row_number() OVER (ORDER BY customer_id, valid_from) AS customer_key, customer_id, valid_from, valid_to, is_current, city, segment
+  FROM customer_history
+  UNION ALL SELECT 0, NULL, NULL, NULL, NULL, NULL, NULL
+)"""
+DIM_PRODUCT = """dim_product AS (
+  SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id, max(product_name) AS product_name
+  FROM silver_items WHERE product_id IS NOT NULL GROUP BY product_id
+  UNION ALL SELECT 0, NULL, NULL
+)"""
+
+
+def _star_sql() -> dict[str, str]:
+    return {
+        "dim_customer": _with(CUS_CTE, HISTORY_CTE, DIM_CUSTOMER) + "SELECT * FROM dim_customer",
+        "dim_product": _with(ORD_CTE, SILVER_ORD, ORD_ITEMS, DIM_PRODUCT) + "SELECT * FROM dim_product",
+        "fact_order_items": _with(ORD_CTE, SILVER_ORD, ORD_ITEMS, DIM_PRODUCT, CUS_CTE, HISTORY_CTE, DIM_CUSTOMER) + f"""
+SELECT i.order_id, CAST(i.item_pos AS INTEGER) AS item_pos, coalesce(c.customer_key, 0) AS customer_key,
+  coalesce(p.product_key, 0) AS product_key, i.quantity, round(i.quantity * i.unit_price, 2) AS amount
+FROM (SELECT *, {ORDER_TIME} AS _at FROM silver_items) i
+ASOF LEFT JOIN (SELECT * FROM dim_customer WHERE customer_key > 0) c ON i.customer_id = c.customer_id AND i._at >= c.valid_from
+LEFT JOIN dim_product p ON i.product_id = p.product_id""",
+    }
+
+
+def _tests_sql() -> dict[str, str]:
+    parts = []
+    for entity, key, ref in (("orders", "order_id", "customer_id"), ("payments", "payment_id", "order_id"),
+                             ("inventory", "inventory_id", "product_id")):
+        for layer, time in (("bronze", "created_at"), ("silver", "created_at_ts")):
+            t = f"{layer}_{entity}"
+            parts += [f"SELECT '{t}' AS layer, '{c}' AS column_name, 'not_null' AS test, CAST(count(*) - count({c}) AS BIGINT) AS failures, "
+                      f"CAST(count(*) AS BIGINT) AS \"rows\" FROM {t}" for c in (key, ref, time)]
+            parts.append(f"SELECT '{t}', '{key}', 'unique', CAST(count({key}) - count(DISTINCT {key}) AS BIGINT), CAST(count(*) AS BIGINT) FROM {t}")
+    return {
+        "layer_tests": _with(PAY_CTE, ORD_CTE, INV_CTE, SILVER_PAY, SILVER_ORD, SILVER_INV) + "\nUNION ALL\n".join(parts),
+        "orphan_payments": _with(PAY_CTE, ORD_CTE, SILVER_PAY, SILVER_ORD) + """SELECT payment_id, order_id, amount, created_at_ts
+FROM silver_payments p WHERE NOT EXISTS (
+  SELECT 1 FROM silver_orders o WHERE split_part(o.order_id, '-', 1) = p.order_id AND coalesce(o.order_status <> 'cancelled', true))""",
+    }
+
+
+def _sessions() -> str:
+    order = "PARTITION BY customer_id ORDER BY created_at_ts, order_id"
+    return _with(ORD_CTE, SILVER_ORD, f"""marked AS (
+  SELECT customer_id, created_at_ts, total_amount, order_id,
+    CASE WHEN lag(created_at_ts) OVER w IS NULL OR created_at_ts > lag(created_at_ts) OVER w + INTERVAL '{cat.SESSION_GAP}' THEN 1 ELSE 0 END AS s
+  FROM silver_orders WINDOW w AS ({order})
+)""", f"""numbered AS (
+  SELECT *, CAST(sum(s) OVER ({order} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session FROM marked
+)""", """sessions AS (
+  SELECT customer_id, session, min(created_at_ts) AS session_start, max(created_at_ts) AS session_end,
+    CAST(count(*) AS BIGINT) AS events, round(sum(total_amount), 2) AS spent FROM numbered GROUP BY customer_id, session
+)""")
+
+
 def _as_of(rows: str, at: str, *ctes: str) -> str:
     return _with(*ctes, CUS_CTE, HISTORY_CTE) + f"""SELECT r.*, h.city, h.segment, h.version, h.valid_from
 FROM (SELECT {rows}, {at} AS _at FROM _rows) t ASOF LEFT JOIN customer_history h
@@ -388,9 +447,20 @@ FROM movements""",
 FROM silver_orders WHERE coalesce(order_status <> 'cancelled', true)""",
         "customer_history": _with(CUS_CTE, HISTORY_CTE) + "SELECT * FROM customer_history",
         "customer_history_merged": _with(CUS_CTE, HISTORY_CTE) + "SELECT * FROM customer_history",
-        "orders_asof_customer": _as_of("order_id, customer_id, created_at_ts", f"make_timestamp({cat.EVENTS_FROM} + "
-                                       f"CAST(floor((epoch_us(created_at_ts) - {cat.ORDERS_FROM}) / {cat.ORDER_SCALE}) AS BIGINT))",
+        "orders_asof_customer": _as_of("order_id, customer_id, created_at_ts", ORDER_TIME,
                                        ORD_CTE, SILVER_ORD).replace("_rows", "silver_orders"),
+        **_star_sql(),
+        **_tests_sql(),
+        "top_products_1h": f"""SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY total_quantity_sold DESC NULLS LAST,
+    product_id NULLS FIRST, product_name NULLS FIRST) AS INTEGER) AS rank FROM ({_gold_units('1 hour')}) u
+) r WHERE rank <= {cat.TOP}""",
+        "customer_gaps": _sessions() + f"""SELECT *,
+  next_start IS NOT NULL OR session_end + INTERVAL '{cat.SESSION_GAP}' <= (SELECT max(created_at_ts) FROM silver_orders) AS gone
+FROM (SELECT *, lead(session_start) OVER (PARTITION BY customer_id ORDER BY session) AS next_start FROM sessions) s""",
+        "customer_gaps_stream": _sessions() + f"""SELECT session_start AS window_start, session_end + INTERVAL '{cat.SESSION_GAP}' AS window_end,
+  customer_id, events, spent FROM sessions
+WHERE session_end + INTERVAL '{cat.SESSION_GAP}' <= (SELECT max(created_at_ts) FROM silver_orders) - INTERVAL '10 minutes'""",
         "payments_asof_customer": _as_of("payment_id, customer_id, created_at_ts", "created_at_ts",
                                          PAY_CTE, SILVER_PAY).replace("_rows", "silver_payments"),
         **_stream_sql(),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import gold
 from ..operators.bronze import to_bronze
 from ..operators.current import current_state
+from ..operators.sessions import sessions_stream
 from ..operators.silver import silver_entity
 from ..schemas import ENTITY, ENTITY_KEY, GOLD_TABLES, bronze_schema, silver_schema, with_batch_id
 from ..session import drop_scratch, ensure_dir, move, path_exists, scratch
@@ -225,6 +226,20 @@ def _item_count(s: DataFrame) -> DataFrame:
     return s.select(*[c if c != "items" else F.size("items").alias("item_count") for c in s.columns])
 
 
+def q_customer_gaps_stream(spark, sf):
+    """Customers as they go: a session of orders is emitted when the watermark has passed its gap."""
+    from .catalog import SESSION_GAP
+    root = scratch(spark, "customer-gaps")
+    feed = _silver_slices(spark, sf, "orders", "customer_activity", f"{root}/slices")
+    out, ckpt = f"{root}/gone", f"{root}/_checkpoints/gone"
+    for i in range(feed.n):
+        feed.hand_over(i)
+        gone = sessions_stream(feed.stream(), ["customer_id"], "created_at_ts", SESSION_GAP, {"spent": F.sum("total_amount")}, DELAY)
+        _run(run_append(gone, out, ckpt, trigger="availableNow"))
+    drop_scratch(spark, f"{root}/slices")
+    return read_layer(spark, out, gone.schema).withColumn("spent", F.round("spent", 2))
+
+
 def stream_queries() -> dict:
     return {
         "bronze_payments_stream": _bronze_stream("payments"),
@@ -238,6 +253,7 @@ def stream_queries() -> dict:
         "gold_revenue_stream_current": q_gold_revenue_stream_current,
         "gold_revenue_stream_final": q_gold_revenue_stream_final,
         "gold_revenue_stream_late": q_gold_revenue_stream_late,
+        "customer_gaps_stream": q_customer_gaps_stream,
         "load_revenue": _load("revenue", "5 minutes", ("total_revenue",)),
         "load_revenue_raw": _load("revenue", "5 minutes", ("total_revenue",), current=False, slices=1),
         "load_revenue_table": _load("revenue", "5 minutes", ("total_revenue",), table=True),
