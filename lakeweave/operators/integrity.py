@@ -80,3 +80,19 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     asked = with_maybe(keys, "_key", key_filter(known, child_key, bits), bits).filter("_maybe").select("_key").distinct()
     maybe = probed.filter("_maybe").drop("_maybe")
     return sure.unionByName(maybe.join(asked, maybe[child_key] == asked["_key"], "left_anti"))
+
+
+def orphans_stream(child: DataFrame, child_key: str, child_at: str, parent: DataFrame, parent_key: str, parent_at: str,
+                   within: str, delay: str) -> DataFrame:
+    """Streaming (append mode): rows of ``child`` for which no row of
+    ``parent`` with their key came within ``within`` of their time, before or
+    after.  A row waits in state until the watermark (of the slower stream) has
+    passed that time, then it is emitted; rows of both sides older than
+    that leave the state.  The sides must not share column names."""
+    if not (child.isStreaming and parent.isStreaming):
+        raise ValueError("orphans_stream needs streaming DataFrames; use orphans on batch data")
+    around = F.expr(f"INTERVAL '{within}'")
+    c, p = child.withWatermark(child_at, delay), parent.select(parent_key, parent_at).withWatermark(parent_at, delay)
+    near = (F.col(parent_at) >= F.col(child_at) - around) & (F.col(parent_at) <= F.col(child_at) + around)
+    joined = c.join(p, (F.col(child_key) == F.col(parent_key)) & near, "leftOuter")
+    return joined.filter(F.col(parent_key).isNull() & F.col(child_key).isNotNull()).select(*child.columns)

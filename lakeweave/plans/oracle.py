@@ -367,6 +367,14 @@ def _tests_sql() -> dict[str, str]:
             parts.append(f"SELECT '{t}', '{key}', 'unique', CAST(count({key}) - count(DISTINCT {key}) AS BIGINT), CAST(count(*) AS BIGINT) FROM {t}")
     return {
         "layer_tests": _with(PAY_CTE, ORD_CTE, INV_CTE, SILVER_PAY, SILVER_ORD, SILVER_INV) + "\nUNION ALL\n".join(parts),
+        "orphan_payments_stream": _with(PAY_CTE, ORD_CTE, SILVER_PAY, SILVER_ORD) + f"""SELECT p.payment_id, p.order_id, p.created_at_ts
+FROM silver_payments p, (SELECT least(
+    (SELECT max(created_at_ts) FROM silver_payments),
+    (SELECT max({ORDER_TIME}) FROM silver_orders WHERE coalesce(order_status <> 'cancelled', true))) - INTERVAL '10 minutes' AS mark) w
+WHERE p.created_at_ts + INTERVAL '5 days' < w.mark AND NOT EXISTS (
+  SELECT 1 FROM (SELECT *, {ORDER_TIME} AS placed_at FROM silver_orders WHERE coalesce(order_status <> 'cancelled', true)) o
+  WHERE split_part(o.order_id, '-', 1) = p.order_id
+    AND o.placed_at BETWEEN p.created_at_ts - INTERVAL '5 days' AND p.created_at_ts + INTERVAL '5 days')""",
         "orphan_payments": _with(PAY_CTE, ORD_CTE, SILVER_PAY, SILVER_ORD) + """SELECT payment_id, order_id, amount, created_at_ts
 FROM silver_payments p WHERE NOT EXISTS (
   SELECT 1 FROM silver_orders o WHERE split_part(o.order_id, '-', 1) = p.order_id AND coalesce(o.order_status <> 'cancelled', true))""",

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import gold
 from ..operators.bronze import to_bronze
 from ..operators.current import current_state
+from ..operators.integrity import orphans_stream
 from ..operators.sessions import sessions_stream
 from ..operators.silver import silver_entity
 from ..schemas import ENTITY, ENTITY_KEY, GOLD_TABLES, bronze_schema, silver_schema, with_batch_id
@@ -240,6 +241,32 @@ def q_customer_gaps_stream(spark, sf):
     return read_layer(spark, out, gone.schema).withColumn("spent", F.round("spent", 2))
 
 
+WITHIN = "5 days"
+
+
+def q_orphan_payments_stream(spark, sf):
+    """Payments for whose order no payable order was placed within 5 days (order times scaled, see catalog)."""
+    from .catalog import NEEDS, order_time, silver
+    root = scratch(spark, "orphans")
+    payments = silver(spark, sf, "payments", keep=["order_id"]).select("payment_id", "order_id", "created_at_ts")
+    payable = silver(spark, sf, "orders", keep=NEEDS["payable_orders"]).filter(F.coalesce(F.col("order_status") != "cancelled", F.lit(True)))
+    orders = payable.select(F.substring_index("order_id", "-", 1).alias("order_number"), order_time().alias("placed_at"))
+    feeds = []
+    for df, at, name in ((payments, "created_at_ts", "payments"), (orders, "placed_at", "orders")):
+        write_layer(df, f"{root}/once-{name}")
+        once = read_layer(spark, f"{root}/once-{name}", df.schema)
+        r = once.agg(F.min(at).cast("double").alias("lo"), F.max(at).cast("double").alias("hi")).first()
+        feeds.append(Slices(once, at, f"{root}/slices-{name}", r["lo"], r["hi"]))
+    out, ckpt = f"{root}/orphans", f"{root}/_checkpoints/orphans"
+    for i in range(SLICES):
+        for feed in feeds:
+            feed.hand_over(i)
+        lost = orphans_stream(feeds[0].stream(), "order_id", "created_at_ts", feeds[1].stream(), "order_number", "placed_at", WITHIN, DELAY)
+        _run(run_append(lost, out, ckpt, trigger="availableNow"))
+    drop_scratch(spark, *[f"{root}/{part}-{name}" for part in ("once", "slices") for name in ("payments", "orders")])
+    return read_layer(spark, out, payments.schema)
+
+
 def stream_queries() -> dict:
     return {
         "bronze_payments_stream": _bronze_stream("payments"),
@@ -254,6 +281,7 @@ def stream_queries() -> dict:
         "gold_revenue_stream_final": q_gold_revenue_stream_final,
         "gold_revenue_stream_late": q_gold_revenue_stream_late,
         "customer_gaps_stream": q_customer_gaps_stream,
+        "orphan_payments_stream": q_orphan_payments_stream,
         "load_revenue": _load("revenue", "5 minutes", ("total_revenue",)),
         "load_revenue_raw": _load("revenue", "5 minutes", ("total_revenue",), current=False, slices=1),
         "load_revenue_table": _load("revenue", "5 minutes", ("total_revenue",), table=True),

@@ -171,3 +171,24 @@ def test_numbering_goes_over_slices(spark):
     df = spark.range(5000).select(F.format_string("m%05d", "id").alias("id"), F.lit(1).alias("since"), F.lit("x").alias("city"))
     got = dimension(df, ["id", "since"], "key").filter("key > 0")
     assert got.filter(F.col("key") != F.substring("id", 2, 5).cast("long") + 1).count() == 0 and got.count() == 5000
+
+
+def test_stream_of_orphans(spark, tmp):
+    """A payment waits for its order; without one it comes out once the watermark of both streams has passed."""
+    from lakeweave.operators.integrity import orphans_stream
+
+    def at(h):
+        return T0 + dt.timedelta(hours=h)
+
+    def feed(i, payments, orders):
+        for name, rows, ddl in (("pay", payments, "pid string, oid string, paid timestamp"), ("ord", orders, "number string, placed timestamp")):
+            spark.createDataFrame([(*r[:-1], at(r[-1])) for r in rows], ddl).write.parquet(f"{tmp}/{name}/part-{i}")
+        src = {n: spark.readStream.schema(ddl).option("recursiveFileLookup", "true").parquet(f"{tmp}/{n}")
+               for n, ddl in (("pay", "pid string, oid string, paid timestamp"), ("ord", "number string, placed timestamp"))}
+        out = orphans_stream(src["pay"], "oid", "paid", src["ord"], "number", "placed", "6 hours", "1 hours")
+        run_append(out, f"{tmp}/out", f"{tmp}/ckpt", trigger="availableNow").awaitTermination()
+        return sorted(r.pid for r in spark.read.schema(out.schema).parquet(f"{tmp}/out").collect())
+
+    assert feed(0, [("p1", "o1", 0), ("p2", "o2", 1), ("p3", None, 1)], [("o1", 2), ("o1", 3)]) == []
+    assert feed(1, [("p4", "o4", 20)], [("o9", 5)]) == []          # orders are slow: o2 may still come
+    assert feed(2, [("p5", "o5", 21)], [("o2", 12), ("o9", 30)]) == ["p2"]         # o2 came 11 hours later: too late
