@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch
+from ..session import drop_scratch, scratch
 
 _shipped: set[str] = set()
+_PATH = "_staged_in"
 
 
 def ship(spark: SparkSession) -> None:
@@ -52,7 +53,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    setattr(out, _PATH, path)
+    return out
+
+
+def drop_staged(*frames: DataFrame | None) -> None:
+    """Deletes the folders of tables that ``staged`` gave, once nothing reads them any more."""
+    for df in frames:
+        path = getattr(df, _PATH, None)
+        if path:
+            drop_scratch(df.sparkSession, path)
 
 
 def on_text(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:

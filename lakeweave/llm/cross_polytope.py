@@ -8,16 +8,20 @@ are ranked by exact cosine in double precision on the original vectors.
 
 Scale: equal vectors are one class (found by a group limit that Spark also
 applies before the shuffle), so copies cost one index entry and one search,
-whatever their number.  Buckets are cut into cells of at most about
+whatever their number.  Vectors of each length are searched by themselves.
+Lengths of fewer than ``CELL_ROWS`` different vectors, and queries that find
+fewer than k neighbours, are searched exactly: the stated queries against
+all vectors of their length, in blocks.  Buckets are cut into cells of at most about
 ``CELL_ROWS`` vectors by ``CELL_QUERIES`` queries, so a hot bucket spreads
-over tasks; bucket sizes are a table of at most TABLES * 2 D rows, which is
-broadcast.  The query set is a stated part of the rows; nothing is capped.
+over tasks; bucket sizes are a table of at most TABLES * 2 D rows a hashed
+length, and a row for any other, which is broadcast.  The query set is a stated part of the rows; nothing is capped.
 
-Defined cases: vectors that are null, all zero, of another length than the
-longest, or hold null or non-finite components take no part, as queries or
-candidates, and neither do rows without an id.  Rows that repeat an id and
+Defined cases: vectors that are null, empty, all zero, or hold null or
+non-finite components take no part, as queries or candidates, and neither do
+rows without an id.  A cosine needs equal lengths, so vectors of another
+length than the query's are no candidates.  Rows that repeat an id and
 a vector count once each.  Equal scores go to the smaller id.  A query with
-fewer candidates than k gets all that were found; an empty table gives an
+fewer candidates than k gets all of them; an empty table gives an
 empty result.  Only the id and vector columns are read.
 """
 
@@ -28,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fields, read, ship
+from .common import fields, read, ship, staged
 
 TABLES = 16
 PROBES = 4
@@ -91,20 +95,25 @@ def _valid(rows: DataFrame) -> DataFrame:
     return ok
 
 
-def _hashed(df: DataFrame, tables: int, probes: int, dim: int) -> DataFrame:
-    """Adds ``codes``: for each table the probed axes."""
+def _hashed(df: DataFrame, tables: int, probes: int) -> DataFrame:
+    """Adds ``codes``: for each table the probed axes of the vector's length."""
     schema = fields("cls long, v array<float>, codes array<array<int>>")
     schema["v"].dataType = df.schema["v"].dataType
 
     def run(batches):
-        signs = rotations(dim, tables)
+        signs: dict[int, np.ndarray] = {}
         for batch in batches:
-            u = unit(matrix(batch.column(1)))
-            codes = np.stack([nearest_axes(rotate(u, s), probes) for s in signs], axis=1)
-            p = codes.shape[2]
-            inner = pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, p, dtype=np.int32)), pa.array(codes.ravel()))
-            outer = pa.ListArray.from_arrays(pa.array(np.arange(0, len(u) * tables + 1, tables, dtype=np.int32)), inner)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), outer], names=["cls", "v", "codes"])
+            size = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            for dim in np.unique(size):
+                part = batch.filter(pa.array(size == dim))
+                if dim not in signs:
+                    signs[dim] = rotations(int(dim), tables)
+                u = unit(matrix(part.column(1)))
+                codes = np.stack([nearest_axes(rotate(u, s), probes) for s in signs[dim]], axis=1)
+                p = codes.shape[2]
+                inner = pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, p, dtype=np.int32)), pa.array(codes.ravel()))
+                outer = pa.ListArray.from_arrays(pa.array(np.arange(0, len(u) * tables + 1, tables, dtype=np.int32)), inner)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), outer], names=["cls", "v", "codes"])
 
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
@@ -133,6 +142,27 @@ def _cell(key, index: pa.Table, queries: pa.Table) -> pa.Table:
                      "score": pa.array(exact[order])})
 
 
+def _in_cells(index: DataFrame, probe: DataFrame) -> DataFrame:
+    """``query, cls, score``: the best classes of each bucket (``d, t, code``)
+    for its queries; a bucket is cut into cells of a block of either side."""
+    bucket = ["d", "t", "code"]
+
+    def blocks(df, size, name):
+        return df.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+
+    size = F.broadcast(blocks(index, CELL_ROWS, "ib").join(blocks(probe, CELL_QUERIES, "qb"), bucket))
+
+    def dealt(df, own, own_at, other, other_at):         # an own block by hash, and a copy for every block of the other side
+        return df.join(size, bucket).select(
+            *bucket, F.pmod(F.xxhash64("cls"), F.col(own)).cast("int").alias(own_at),
+            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other_at), "cls", "v")
+
+    cells = [*bucket, "i", "j"]
+    return (dealt(index, "ib", "i", "qb", "j").groupBy(*cells)
+            .cogroup(dealt(probe, "qb", "j", "ib", "i").select(*cells, "cls", "v").groupBy(*cells))
+            .applyInArrow(_cell, "query long, cls long, score double"))
+
+
 def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K,
            tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of every row for which ``is_query`` holds."""
@@ -140,34 +170,32 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
         raise ValueError(f"cells keep {K} neighbours")
     ok = _valid(rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"),
                             F.coalesce(is_query, F.lit(False)).alias("q")))
-    dim = ok.agg(F.max(F.size("v"))).first()[0]
-    if dim is None:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    ok = ok.filter(F.size("v") == dim).withColumn("h", F.xxhash64("v"))
+    ok = ok.withColumn("h", F.xxhash64("v"))
     # the k + 1 smallest ids of every vector; the smallest is its class
     small = ok.withColumn("n", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).filter(F.col("n") <= k + 1)
     classes = small.groupBy("h", "v").agg(F.min("id").alias("cls"), F.sort_array(F.collect_list("id")).alias("ids"))
     asked = (ok.filter("q").withColumn("n", F.row_number().over(Window.partitionBy("h", "v").orderBy("id")))
              .filter("n = 1").select(F.col("id").alias("cls"), "v"))
-    index = _hashed(classes.select("cls", "v"), tables, 1, dim).select(
-        "cls", "v", F.posexplode("codes").alias("t", "c")).select("cls", "v", "t", F.col("c")[0].alias("code"))
-    probe = _hashed(asked, tables, probes, dim).select("cls", "v", F.posexplode("codes").alias("t", "c")).select(
-        "cls", "v", "t", F.explode("c").alias("code"))
-
-    def blocks(df, size, name):                          # at most tables * 2 D rows
-        return df.groupBy("t", "code").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
-
-    size = F.broadcast(blocks(index, CELL_ROWS, "ib").join(blocks(probe, CELL_QUERIES, "qb"), ["t", "code"]))
-
-    def dealt(df, own, own_at, other, other_at):         # an own block by hash, and a copy for every block of the other side
-        return df.join(size, ["t", "code"]).select(
-            "t", "code", F.pmod(F.xxhash64("cls"), F.col(own)).cast("int").alias(own_at),
-            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other_at), "cls", "v")
-
-    cells = ["t", "code", "i", "j"]
-    found = (dealt(index, "ib", "i", "qb", "j").groupBy(*cells)
-             .cogroup(dealt(probe, "qb", "j", "ib", "i").select(*cells, "cls", "v").groupBy(*cells))
-             .applyInArrow(_cell, "query long, cls long, score double"))
+    classes, asked = staged(classes, "classes"), staged(asked, "asked")
+    d = F.size("v")
+    # lengths of many vectors are hashed; there are at most (rows / CELL_ROWS) of them
+    many = [r.d for r in classes.groupBy(d.alias("d")).count().filter(F.col("count") >= CELL_ROWS).collect()]
+
+    def coded(df: DataFrame, n: int) -> DataFrame:
+        hashed = _hashed(df.filter(d.isin(many)).select("cls", "v"), tables, n).select("cls", "v", F.posexplode("codes").alias("t", "c"))
+        return (hashed.select("cls", "v", d.alias("d"), "t", F.explode("c").alias("code"))
+                .unionByName(whole(df.filter(~d.isin(many)))))
+
+    def whole(df: DataFrame) -> DataFrame:               # one bucket a length
+        return df.select("cls", "v", d.alias("d"), F.lit(-1).alias("t"), F.lit(0).alias("code"))
+
+    found = staged(_in_cells(coded(classes, 1), coded(asked, probes)), "found")
+    seen = (found.select("query", "cls").distinct().join(classes.select("cls", F.size("ids").alias("n")), "cls")
+            .groupBy("query").agg(F.sum("n").alias("n")).filter(F.col("n") >= k + 1).select(F.col("query").alias("cls")))
+    short = staged(asked.filter(d.isin(many)).join(seen, "cls", "left_anti"), "short")
+    if not short.isEmpty():
+        sizes = short.select(d.alias("size")).distinct()
+        found = found.unionByName(_in_cells(whole(classes.join(sizes, d == F.col("size"), "left_semi")), whole(short)))
     w = Window.partitionBy("query").orderBy(F.desc("score"), "cls")
     best = (found.groupBy("query", "cls").agg(F.max("score").alias("score"))
             .withColumn("n", F.row_number().over(w)).filter(F.col("n") <= k + 1))

@@ -8,12 +8,11 @@ back to fit a temperature, so that the score is a calibrated probability,
 and texts are rejected when it says that the prediction is more likely
 wrong than right.
 
-Scale: learning uses a sample of labelled rows of a fixed size (``PER_LANG``
-different texts a language, at most ``MAX_LANGS`` languages and ``MAX_LEARN_CHARS``
-characters a text -- documented bounds of the fit, not of predictions).
-Because averaging and softmax are linear up to the last step, the model
-ships as one table of ``BUCKETS`` rows by language; prediction is one pass
-over the whole texts without a shuffle.
+Scale: learning uses a sample of labelled rows (about ``PER_LANG`` different
+texts a language and ``LANG_FEATURES`` counted subwords of them -- documented
+bounds of the fit, not of predictions); every language is learned, from whole
+texts of any length.  The sample's subwords are counted where the texts lie.
+Prediction is one pass over the whole texts without a shuffle.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score
 0 and rejected.  Without labelled rows every text is ``und``.  Equal texts
@@ -27,19 +26,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import fields, on_text, read
+from .common import fields, on_text, read, staged
 
 BUCKETS = 1 << 15
 DIM = 16
-PER_LANG = 600
-MAX_LANGS = 64
-MAX_LEARN_CHARS = 20_000
+PER_LANG = 600           # different texts a language that the fit uses, about
+LANG_FEATURES = 1 << 20  # and (subword, count) pairs of them: what reaches the driver a language
 EPOCHS = 6
 UNKNOWN = "und"
+HAS_LETTER = r"\p{L}"
 
 # lower-cased ASCII; bytes that are no letter become a space
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -80,18 +79,27 @@ def subwords(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
+    """Embeddings of subwords (BUCKETS x DIM) and of languages (DIM x
+    languages): its size hardly follows the number of languages."""
+
     langs: list[str]
-    table: np.ndarray          # BUCKETS x languages: each subword's share of the logits
+    emb: np.ndarray
+    out: np.ndarray
     bias: np.ndarray
     temperature: float
 
-    def probabilities(self, b: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Calibrated probabilities, one row a document of the slice."""
+    def logits(self, b: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Logits before the temperature, one row a document of the slice."""
         bucket, doc = subwords(b, off)
         n = len(off) - 1
         count = np.maximum(np.bincount(doc, minlength=n), 1)
-        logits = np.stack([np.bincount(doc, self.table[bucket, j], minlength=n) for j in range(len(self.langs))], 1)
-        return softmax((logits / count[:, None] + self.bias) / self.temperature)
+        # the narrower of (embedding, then languages) and (each subword's share of the logits): the same product
+        table = self.emb @ self.out if len(self.langs) <= DIM else self.emb
+        mean = np.stack([np.bincount(doc, table[bucket, j], minlength=n) for j in range(table.shape[1])], 1) / count[:, None]
+        return (mean if len(self.langs) <= DIM else mean @ self.out) + self.bias
+
+    def probabilities(self, b: np.ndarray, off: np.ndarray) -> np.ndarray:
+        return softmax(self.logits(b, off) / self.temperature)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -99,21 +107,28 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
+def counted(b: np.ndarray, off: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Different subwords of each document of a slice, and how often they occur."""
+    bucket, doc = subwords(b, off)
+    order = np.argsort(doc, kind="stable")
+    at = np.searchsorted(doc[order], np.arange(len(off)))
+    return [np.unique(bucket[order[at[i]:at[i + 1]]], return_counts=True) for i in range(len(off) - 1)]
+
+
 def fit(texts: list[str], langs: list[str], seed: int = 7, epochs: int = EPOCHS) -> Model | None:
-    """SGD over averaged subword embeddings, then the temperature on each fifth row kept back."""
+    """``fit_counted`` of texts at hand."""
+    data, off = tb.flat(pa.array(texts, pa.large_string()))
+    return fit_counted([row for _, b, o in tb.slices(data, off) for row in counted(b, o)], langs, seed, epochs)
+
+
+def fit_counted(found: list[tuple[np.ndarray, np.ndarray]], langs: list[str], seed: int = 7, epochs: int = EPOCHS) -> Model | None:
+    """SGD over averaged subword embeddings of counted texts, then the temperature on each fifth kept back."""
     names = sorted(set(langs))
     if not names:
         return None
-    y = np.array([names.index(x) for x in langs])
-    rows = []
-    data, off = tb.flat(pa.array(texts, pa.large_string()))
-    for _, b, o in tb.slices(data, off):
-        bucket, doc = subwords(b, o)
-        order = np.argsort(doc, kind="stable")
-        at = np.searchsorted(doc[order], np.arange(len(o)))
-        for i in range(len(o) - 1):
-            k, c = np.unique(bucket[order[at[i]:at[i + 1]]], return_counts=True)
-            rows.append((k, (c / max(c.sum(), 1)).astype(np.float32)))
+    number = {x: i for i, x in enumerate(names)}
+    y = np.array([number[x] for x in langs])
+    rows = [(k, (c / max(c.sum(), 1)).astype(np.float32)) for k, c in found]
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     out = rng.normal(0, 0.1, (DIM, len(names))).astype(np.float32)
@@ -137,38 +152,59 @@ def fit(texts: list[str], langs: list[str], seed: int = 7, epochs: int = EPOCHS)
             out -= step * np.outer(mean, p)
             bias -= np.float32(0.1) * step * p
             emb[k] -= (rate * x)[:, None] * back
-    model = Model(names, (emb @ out).astype(np.float64), bias.astype(np.float64), 1.0)
+    model = Model(names, emb.astype(np.float64), out.astype(np.float64), bias.astype(np.float64), 1.0)
     held = [i for i in range(len(rows)) if i % 5 == 0] or list(range(len(rows)))
-    z = np.stack([rows[i][1] @ model.table[rows[i][0]] + model.bias for i in held])
+    z = np.stack([rows[i][1] @ model.emb[rows[i][0]] @ model.out + model.bias for i in held])
     grid = np.geomspace(0.25, 20, 60)
     loss = [-np.log(np.maximum(softmax(z / t)[np.arange(len(held)), y[held]], 1e-12)).mean() for t in grid]
     model.temperature = float(grid[int(np.argmin(loss))])
     return model
 
 
-def learning_rows(df: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> tuple[list[str], list[str]]:
-    """About ``per_lang`` different texts of each of the ``max_langs`` most
-    frequent languages, chosen by a hash of the text (the same ones every
-    time); copies count and come once, so a language of few texts has all."""
-    ok = df.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.length("text") <= MAX_LEARN_CHARS))
-    texts = ok.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    top = (texts.groupBy("lang").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("texts"))
-           .orderBy(F.desc("rows"), "lang").limit(max_langs).collect())
-    if not top:
-        return [], []
-    share = F.lit(0.0)
-    for r in top:
-        share = F.when(F.col("lang") == r["lang"], min(1.0, per_lang / r["texts"])).otherwise(share)
+def chosen(df: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
+    """``lang, h, text``: about ``per_lang`` different texts of each language,
+    chosen by a hash of the text (the same ones every time); copies come
+    once, so a language of few texts has all."""
+    ok = df.filter(F.col("lang").isNotNull() & F.col("text").rlike(HAS_LETTER)).withColumn("h", F.xxhash64("text"))
+    sizes = ok.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n")).groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
     u = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    rows = ok.filter(u < share).select("text", "lang").distinct().collect()
-    rows.sort(key=lambda r: (r["lang"], r["text"]))
-    mixed = np.random.default_rng(3).permutation(len(rows))
-    return [rows[i]["text"] for i in mixed], [rows[i]["lang"] for i in mixed]
+    # sizes: one row a language
+    picked = ok.join(F.broadcast(staged(sizes, "languages")), "lang").filter(u * F.col("texts") < per_lang)
+    return picked.select("lang", "h", "text").dropDuplicates(["lang", "h"])
+
+
+def learning_rows(df: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str], list[str]]:
+    """Texts and languages of the sample, to look at; learning takes ``learning_counts``."""
+    rows = chosen(df, per_lang).collect()
+    return [r["text"] for r in rows], [r["lang"] for r in rows]
+
+
+def learning_counts(df: DataFrame, per_lang: int = PER_LANG, features: int = LANG_FEATURES) -> tuple[list, list[str]]:
+    """Counted subwords and languages of the sample.  Texts are counted whole
+    where they lie; a language gives at most about ``features`` pairs (at
+    least one text), so of long texts fewer are taken."""
+
+    def run(batch):
+        data, off = tb.flat(batch.column(2))
+        for i, b, o in tb.slices(data, off):
+            rows = counted(b, o)
+            n = len(rows)
+            at = pa.array(np.concatenate([[0], np.cumsum([len(k) for k, _ in rows])]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, pa.array(np.concatenate(part).astype(np.int32))) for part in zip(*rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), batch.column(1).slice(i, n), *lists], names=["lang", "h", "k", "c"])
+
+    found = on_text(chosen(df, per_lang), run, fields("lang string, h long, k array<int>, c array<int>"))
+    before = F.coalesce(F.sum(F.size("k")).over(Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    table = staged(found, "subwords").withColumn("before", before).filter(F.col("before") < features).drop("before").toArrow()
+    order = np.lexsort((table.column("h").to_numpy(), np.array(table.column("lang").to_pylist(), object).astype(str)))
+    k, c, langs = (table.column(x).combine_chunks() for x in ("k", "c", "lang"))
+    order = order[np.random.default_rng(3).permutation(len(order))]
+    return [(k[i].values.to_numpy(), c[i].values.to_numpy()) for i in order.tolist()], [langs[i].as_py() for i in order.tolist()]
 
 
 def train(df: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model | None:
     """Fit on the rows of ``df`` with a language."""
-    return fit(*learning_rows(df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))))
+    return fit_counted(*learning_counts(df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))))
 
 
 def predict_batch(model: Model | None, texts) -> tuple[list[str], np.ndarray]:
@@ -183,9 +219,6 @@ def predict_batch(model: Model | None, texts) -> tuple[list[str], np.ndarray]:
     return [model.langs[i] for i in best], p[np.arange(n), best]
 
 
-HAS_LETTER = r"\p{L}"
-
-
 def predict(df: DataFrame, model: Model | None, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """``df`` with ``lang_pred``, ``score`` and ``rejected`` put before its
     own columns; columns of ``df`` with these names are dropped."""
@@ -194,7 +227,7 @@ def predict(df: DataFrame, model: Model | None, threshold: float = 0.5, text_col
     src = df.select(F.coalesce(F.col(text_col).cast("string").rlike(HAS_LETTER), F.lit(False)).alias("rejected"),
                     *[c for c in df.columns if c.lower() not in mine])
     at = src.columns.index(text_col)
-    shared = spark.sparkContext.broadcast(model)      # BUCKETS x languages doubles: a fixed size
+    shared = spark.sparkContext.broadcast(model)      # BUCKETS x DIM doubles, and DIM a language
     schema = fields("lang_pred string, score double, rejected boolean")
     for f in src.schema.fields[1:]:
         schema = schema.add(f)

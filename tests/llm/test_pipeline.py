@@ -10,7 +10,7 @@ from lakeweave.llm.common import staged
 def test_stage_names_and_registration():
     assert [n for n, _ in P.STAGES] == ["language_id", "line_dedup", "near_dedup", "suffix_dedup", "packing"]
     assert {"pipeline", *registry.QUERIES} <= set(E.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark, corpus, data):
@@ -43,3 +43,14 @@ def test_run_and_empty_table(spark, corpus, empty):
     rows = P.run(spark, corpus).collect()
     assert rows and len({(r.doc_id, r.start) for r in rows}) == len(rows)
     assert P.run(spark, empty).collect() == []
+
+
+def test_several_texts_of_one_id_stay(spark, corpus):
+    import random
+    rng = random.Random(21)
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    one = docs.filter("doc_id = 0").first()
+    texts = [fx.prose(rng, 120), fx.prose(rng, 120)]
+    rows = [(7, t, *one[2:]) for t in texts] + [(7, texts[0], *one[2:]), (8, fx.prose(rng, 90), *one[2:]), (9, texts[1], *one[2:])]
+    kept = P.drop_near_duplicates(spark, spark.createDataFrame(rows, docs.schema), corpus).collect()
+    assert sorted(r.text for r in kept) == sorted([*texts, rows[3][1]])

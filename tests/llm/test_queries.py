@@ -406,3 +406,66 @@ def test_links_of_a_spread_out_group_are_all_found(spark, monkeypatch):
     got = {r.doc_id: r.class_id for r in weighted_minhash.classes(df, bands=40, rows=2).collect()}
     want = fx.weighted_classes(docs, weight)
     assert got == want and 3 < len({c for i, c in want.items() if i < 90}) < 80
+
+
+def lists_of(spark, rows):
+    df = cross_polytope.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0)
+    out = {}
+    for r in df.collect():
+        out.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    return {q: [v[k] for k in sorted(v)] for q, v in out.items()}
+
+
+def nearest(rows):
+    """Brute force: the 5 nearest of the same length."""
+    out = {}
+    for i, v in rows:
+        if i % 50 == 0:
+            x = np.array(v, np.float32).astype(float)
+            mine = [(-(x @ np.array(w, np.float32).astype(float)) / np.linalg.norm(x) / np.linalg.norm(np.array(w, np.float32).astype(float)), j)
+                    for j, w in rows if j != i and len(w) == len(v)]
+            out[i] = [j for _, j in sorted(mine)[:5]]
+    return out
+
+
+def test_one_longer_vector_takes_nothing_from_the_others(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(300)] + [(1000, rng.normal(size=65).tolist())]
+    rows += [(2000 + i, rng.normal(size=3).tolist()) for i in range(0, 60, 10)]
+    got, want = lists_of(spark, rows), nearest(rows)
+    assert got == {q: v for q, v in want.items() if v} and len(got) == 8
+
+
+def test_queries_that_find_too_few_are_searched_exactly(spark, monkeypatch):
+    """Hashed (the limit for an exact search is lowered): unrelated vectors rarely share a bucket."""
+    monkeypatch.setattr(cross_polytope, "CELL_ROWS", 4)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in cross_polytope.search(df, F.col("vec_id") % 50 == 0, tables=1, probes=1).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert {q: set(v) for q, v in got.items()} == {q: set(v) for q, v in nearest(rows).items()}
+
+
+def test_empty_vectors_table(spark, tmp):
+    spark.createDataFrame([], "vec_id long, embedding array<float>").write.parquet(f"{tmp}/embeddings.parquet")
+    assert collect(spark, "op7_cross_polytope", tmp) == []
+
+
+def test_every_language_is_learned(spark):
+    """70 languages, one of long texts only."""
+    import random
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, fresh = [], []
+    for k in range(70):
+        syllables = ["".join(rng.choice(letters) for _ in range(3)) for _ in range(6)]
+        text = lambda n: " ".join("".join(rng.choice(syllables) for _ in range(2)) for _ in range(n))
+        rows += [(f"l{k}", text(3500 if k == 0 else 25)) for _ in range(12)]
+        fresh.append((f"l{k}", text(25)))
+    assert min(len(t) for x, t in rows if x == "l0") > 20_000
+    model = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(model.langs) == 70
+    out = language_id.predict(spark.createDataFrame(fresh, "lang string, text string"), model).collect()
+    assert sum(r.lang == r.lang_pred for r in out) >= 60 and next(r.lang_pred for r in out if r.lang == "l0") == "l0"
