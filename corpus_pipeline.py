@@ -40,11 +40,17 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: of each class of near-duplicates the document with the smallest id stays."""
+    """Operator 1: of each class of near-duplicates the document with the smallest id stays
+    (of several texts with one id each is a document)."""
     key, one = fresh(docs, "key"), fresh(docs, "class_id")
-    # a row without an id gets a negative one of its text
-    ident = F.coalesce(F.col("doc_id").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64("text"), 2))
-    keyed = docs.withColumn(key, ident)
+    print_ = F.xxhash64("text")
+    # ids that name one text are used as they are; rows without one, or of an id with several
+    # texts, get a negative one of id and text
+    plain = (docs.groupBy("doc_id").agg(F.min(print_).alias("_lo"), F.max(print_).alias("_hi"))
+             .filter("doc_id is not null and _lo = _hi").select(F.col("doc_id").alias(one)))
+    ident = F.when(F.col(one).isNotNull(), F.col("doc_id").cast("long")).otherwise(
+        -1 - F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2))
+    keyed = docs.join(plain, F.col("doc_id") == F.col(one), "left").select(*[docs[c] for c in docs.columns], ident.alias(key))
     kept = weighted_minhash.classes(keyed.select(key, "text"), id_col=key).filter("doc_id = class_id").select(
         F.col("doc_id").alias(one)).distinct()
     # both sides of the join lie by the id, so taking one row an id needs no further shuffle
