@@ -27,6 +27,8 @@ with enough go into a bitmap of ``BITS`` bits, the only thing sent to tasks,
 and only their lines (and the few others that the bitmap cannot tell) leave
 the texts in the next pass.  What decides is exact: counts of different
 documents, the tokens of templates by distinct lines, the lines that agree.
+A template's tokens come from a majority vote over whole token arrays that
+merges batch by batch, and one counting pass; no row is made of a token.
 Those lines are marked by document fingerprint and joined to the texts, which
 is the only time texts are shuffled.
 
@@ -45,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import fields, fresh, on_text, read, ship, staged
+from .common import fields, fresh, on_text, read, ship, staged, trimmed
 from .pieces import spread
 
 MIN_DOCS = 10
@@ -218,6 +220,82 @@ def held(src: DataFrame, nodes: DataFrame) -> DataFrame:
     return on_text(src, run, fields("node long, line long, doc long, bands array<long>, tokens array<long>"))
 
 
+def _tokens(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of an array column, and their number in each row."""
+    col = batch.column(name)
+    return col.flatten().to_numpy(zero_copy_only=False), pa.compute.list_value_length(col).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _by_place(node: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different nodes of some rows, where each occurs first, its number for
+    every row, and for every token its place among all nodes' places (the
+    lines of a node are equally long)."""
+    nodes, first, which = np.unique(node, return_index=True, return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum(size[first])])
+    return nodes, first, which, np.repeat(begin[which], size) + spread(np.zeros(len(size), np.int64), size)
+
+
+def _vote(node: np.ndarray, tokens: np.ndarray, size: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+    """``node, tokens, weights``: each place's heaviest token of each node,
+    with how much it outweighs all others together (0 if it does not).
+
+    Such votes may be voted on again: a token of more than half of all weight
+    outweighs the others in the sum of any parts' votes (the majority vote of
+    Boyer and Moore, merged), so it comes out of them; whether it has half
+    is counted afterwards."""
+    nodes, first, _, at = _by_place(node, size)
+    order = np.lexsort((tokens, at))
+    new = np.ones(len(order), bool)
+    new[1:] = (at[order][1:] != at[order][:-1]) | (tokens[order][1:] != tokens[order][:-1])
+    begin = np.flatnonzero(new)
+    sums = np.add.reduceat(weight[order], begin) if len(begin) else np.zeros(0, np.int64)
+    place, token = at[order][begin], tokens[order][begin]
+    heavy = np.lexsort((-sums, place))
+    lead = np.ones(len(heavy), bool)
+    lead[1:] = place[heavy][1:] != place[heavy][:-1]
+    top = heavy[lead]
+    all_ = np.bincount(place, weights=sums, minlength=len(top)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(nodes), _lists(token[top], size[first]), _lists(np.maximum(2 * sums[top] - all_, 0), size[first])],
+                                      names=["node", "tokens", "weights"])
+
+
+def _sum(node: np.ndarray, values: np.ndarray, size: np.ndarray, lines: np.ndarray) -> pa.RecordBatch:
+    """``node, right, lines`` added up by node."""
+    nodes, first, which, at = _by_place(node, size)
+    total = np.bincount(at, weights=values, minlength=int(size[first].sum())).astype(np.int64)
+    n = np.bincount(which, weights=lines, minlength=len(nodes)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(nodes), _lists(total, size[first]), pa.array(n)], names=["node", "right", "lines"])
+
+
+def _merged(parts: DataFrame, merge) -> DataFrame:
+    """Rows of one node merged: first in every batch where they lie (so a hot
+    node gives a row a batch), then with all rows of the node together."""
+
+    def local(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield merge(batch)
+
+    def whole(batches):
+        held = None                                      # rows of the node that may go on
+        for batch in batches:
+            table = pa.Table.from_batches([b for b in (held, batch) if b is not None]).combine_chunks()
+            if not table.num_rows:
+                continue
+            node = table.column("node").to_numpy()
+            done = int(np.searchsorted(node, node[-1]))
+            if done:
+                yield merge(table.slice(0, done).combine_chunks().to_batches()[0])
+            held = merge(table.slice(done).combine_chunks().to_batches()[0])
+        if held is not None:
+            yield held
+
+    spark, schema = parts.sparkSession, parts.schema
+    ship(spark)
+    near = parts.mapInArrow(trimmed(local), schema)
+    return near.repartition("node").sortWithinPartitions("node").mapInArrow(trimmed(whole), schema)
+
+
 def dropped(src: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``line``: the lines that agree with a template."""
     rows = staged(held(src, often(src, min_docs)), "held")
@@ -226,16 +304,27 @@ def dropped(src: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     # each different line once, with the number of different texts that have it
     lines = staged(rows.join(nodes, "node", "left_semi").groupBy("node", "line", "doc").agg(F.first("tokens").alias("tokens"))
                    .groupBy("node", "line").agg(F.count(F.lit(1)).alias("n"), F.first("tokens").alias("tokens")), "lines")
-    size = lines.groupBy("node").agg(F.sum("n").alias("lines"), F.max(F.size("tokens")).alias("size"))
-    flat = lines.select("node", "line", "n", F.posexplode("tokens").alias("place", "token"))
-    # the tokens most lines of each node have at each place
-    top = (flat.groupBy("node", "place", "token").agg(F.sum("n").alias("n")).join(size, "node")
-           .filter(F.col("n") * 2 > F.col("lines")).select("node", "place", "token", "size"))
-    top = staged(top, "places")
-    fixed = (top.groupBy("node").agg(F.count(F.lit(1)).alias("fixed"), F.first("size").alias("size"))
-             .filter(F.col("fixed") >= CONSTANT * F.col("size")).select("node", "fixed"))
-    right = flat.join(top.drop("size"), ["node", "place", "token"]).groupBy("node", "line").agg(F.count(F.lit(1)).alias("right"))
-    return right.join(fixed, "node").filter(F.col("right") >= AGREE * F.col("fixed")).select("line").distinct()
+
+    # the token that may be the one of most lines of a node at each place
+    def vote(batch):
+        tokens, size = _tokens(batch, "tokens")
+        return _vote(batch.column("node").to_numpy(), tokens, size, _tokens(batch, "weights")[0])
+
+    votes = _merged(lines.select("node", "tokens", F.transform("tokens", lambda _: F.col("n")).alias("weights")), vote)
+    # whether it is: its lines, counted
+    both = lines.join(votes.select("node", F.col("tokens").alias("often")), "node")
+
+    def add(batch):
+        right, size = _tokens(batch, "right")
+        return _sum(batch.column("node").to_numpy(), right, size, batch.column("lines").to_numpy())
+
+    counts = _merged(both.select("node", F.zip_with("tokens", "often", lambda t, o: F.when(t == o, F.col("n")).otherwise(F.lit(0).cast("long"))).alias("right"),
+                                 F.col("n").alias("lines")), add)
+    constant = counts.select("node", F.transform("right", lambda r: r * 2 > F.col("lines")).alias("constant"))
+    fixed = F.size(F.filter("constant", lambda c: c))
+    templates = constant.withColumn("fixed", fixed).filter(F.col("fixed") >= CONSTANT * F.size("constant"))
+    agree = F.size(F.filter(F.arrays_zip(F.col("tokens"), F.col("often"), F.col("constant")), lambda x: x["constant"] & (x["tokens"] == x["often"])))
+    return both.join(templates, "node").filter(agree >= AGREE * F.col("fixed")).select("line").distinct()
 
 
 def _fingerprint(text) -> list:

@@ -160,3 +160,36 @@ def test_language_model_and_rejection():
     got, score = language_id.predict_batch(model, pa.array([t for t, _ in fresh]))
     assert np.mean([a == b for a, (_, b) in zip(got, fresh)]) > 0.97 and (score <= 1).all()
     assert language_id.fit([], []) is None
+
+
+def test_votes_of_parts_keep_every_majority():
+    """The merged vote names each place's token of more than half of the weight, however rows are dealt."""
+    import random
+
+    import pyarrow as pa
+
+    from lakeweave.llm.line_templates import _tokens, _vote
+    rng = random.Random(11)
+    for _ in range(60):
+        rows = []                                           # node, tokens, weight
+        for node in range(rng.randint(1, 4)):
+            width = rng.randint(1, 4)
+            rows += [(node, [rng.choice([1, 1, 1, 2, 3]) * 10 + p for p in range(width)], rng.randint(1, 5)) for _ in range(rng.randint(1, 12))]
+        rng.shuffle(rows)
+
+        def vote(part):
+            size = np.array([len(t) for _, t, _ in part], np.int64)
+            weight = np.repeat(np.array([w for *_, w in part], np.int64), size)
+            return _vote(np.array([n for n, *_ in part], np.int64), np.concatenate([np.array(t, np.int64) for _, t, _ in part]), size, weight)
+
+        parts = [vote(p) for p in (rows[i::3] for i in range(3)) if p]
+        table = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        tokens, size = _tokens(table, "tokens")
+        merged = _vote(table.column("node").to_numpy(), tokens, size, _tokens(table, "weights")[0])
+        for node, got in zip(merged.column("node").to_pylist(), merged.column("tokens").to_pylist()):
+            mine = [(t, w) for n, t, w in rows if n == node]
+            for place, token in enumerate(got):
+                total = sum(w for _, w in mine)
+                for x in {t[place] for t, _ in mine}:
+                    if 2 * sum(w for t, w in mine if t[place] == x) > total:
+                        assert token == x
