@@ -479,6 +479,15 @@ def _text(col: str) -> str:
     return f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f') AS {col}"
 
 
+def _inventory_stream() -> str:
+    rest = [c for c in INV_COLS if c not in ("inventory_id", '"offset"')] + ["created_at_ts"]
+    agree = {c: f"min({c}) IS NOT DISTINCT FROM max({c}) AND count({c}) IN (0, count(*))" for c in rest}
+    return _with(INV_CTE) + f"""SELECT inventory_id, {', '.join(f'CASE WHEN {a} THEN min({c}) END AS {c}' for c, a in agree.items())},
+  CAST({' + '.join(f'CAST({a} AS INTEGER)' for a in agree.values())} AS INTEGER) AS settled
+FROM (SELECT *, {_parse('created_at')} AS created_at_ts FROM bronze_inventory) t WHERE {INV_WHERE}
+GROUP BY inventory_id"""
+
+
 def _stream_sql() -> dict[str, str]:
     """Streaming queries equal their batch counterparts (through the
     current-state view); append mode keeps only windows whose end the final
@@ -493,7 +502,7 @@ def _stream_sql() -> dict[str, str]:
         "silver_orders_stream": _with(ORD_CTE, SILVER_ORD) + f"""SELECT * EXCLUDE ("offset")
 FROM (SELECT {_sel(ORD_COLS)}, created_at_ts FROM silver_orders) s""",
         # natural duplicates of an inventory id differ in payload, and either may come first in a micro-batch
-        "silver_inventory_stream": _with(INV_CTE, SILVER_INV) + "SELECT inventory_id FROM silver_inventory",
+        "silver_inventory_stream": _inventory_stream(),
         "stamps_payments": _with(PAY_CTE, SILVER_PAY) + """SELECT count(*) AS silver_rows, count(*) AS ingested,
   count(*) AS cleaned, count(*) AS in_order FROM silver_payments""",
         "gold_revenue_stream_late": f"""WITH b AS (SELECT min(kafka_timestamp) AS lo, max(kafka_timestamp) AS hi FROM ({_with(PAY_CTE)} SELECT kafka_timestamp FROM bronze_payments) x),

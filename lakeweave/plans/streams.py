@@ -21,7 +21,8 @@ from ..operators.bronze import to_bronze
 from ..operators.current import current_state
 from ..operators.integrity import orphans_stream
 from ..operators.sessions import sessions_stream
-from ..operators.silver import silver_entity
+from ..functions.rules import rules_for
+from ..operators.silver import silver_entity, to_silver
 from ..schemas import ENTITY, ENTITY_KEY, GOLD_TABLES, bronze_schema, silver_schema, with_batch_id
 from ..session import drop_scratch, ensure_dir, move, path_exists, scratch
 from ..sinks.files import create_database, load_table, write_layer
@@ -170,11 +171,11 @@ def silver_stream(spark: SparkSession, sf: str, topic: str, slices: int = 4) ->
     return read_layer(spark, out, silver_schema(ENTITY[topic], stamp=True)), progress
 
 
-def _silver_stream(topic: str, shape=lambda df: df):
+def _silver_stream(topic: str, shape=lambda df, spark, sf: df):
     def q(spark, sf):
         silver, _ = silver_stream(spark, sf, topic)
         # of two copies in one micro-batch either may be kept: no offset
-        return shape(silver.drop("ingested_at", "cleaned_at", "offset"))
+        return shape(silver.drop("ingested_at", "cleaned_at", "offset"), spark, sf)
     q.__name__ = f"q_silver_{topic}_stream"
     q.__doc__ = "D1 + K2: every bronze row fed twice, each key comes out once."
     return q
@@ -223,7 +224,20 @@ def _items(b: DataFrame) -> DataFrame:
     return b.select(*rest, F.explode_outer("items").alias("item")).select(*rest, "item.*")
 
 
-def _item_count(s: DataFrame) -> DataFrame:
+def _settled_columns(s: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Inventory ids repeat with other contents, and of two copies in one
+    micro-batch either may be kept: each column of a kept row, where all valid
+    bronze rows of its id agree on it (NULL elsewhere), and how many columns that is."""
+    from .catalog import bronze
+    key = ENTITY_KEY["inventory"]
+    valid = to_silver(bronze(spark, sf, "inventory"), rules_for("inventory"), stamp=False)
+    rest = [c for c in s.columns if c != key]
+    same = valid.groupBy(key).agg(*[(F.min(c).eqNullSafe(F.max(c)) & F.count(c).isin(F.lit(0), F.count(F.lit(1)))).alias(f"_{c}") for c in rest])
+    settled = sum((F.col(f"_{c}").cast("int") for c in rest), F.lit(0))
+    return s.join(same, key).select(key, *[F.when(F.col(f"_{c}"), F.col(c)).alias(c) for c in rest], settled.alias("settled"))
+
+
+def _item_count(s: DataFrame, *_) -> DataFrame:
     return s.select(*[c if c != "items" else F.size("items").alias("item_count") for c in s.columns])
 
 
@@ -275,7 +289,7 @@ def stream_queries() -> dict:
         "bronze_customers_stream": _bronze_stream("customers"),
         "silver_dedup_stream": _silver_stream("payments"),
         "silver_orders_stream": _silver_stream("orders", _item_count),
-        "silver_inventory_stream": _silver_stream("inventory", lambda s: s.select(ENTITY_KEY["inventory"])),
+        "silver_inventory_stream": _silver_stream("inventory", _settled_columns),
         "stamps_payments": _stamps("payments"),
         "gold_revenue_stream_current": q_gold_revenue_stream_current,
         "gold_revenue_stream_final": q_gold_revenue_stream_final,

@@ -39,7 +39,7 @@ def compact_layer(spark: SparkSession, src: str, dst: str, schema: StructType,
     readers switch to ``dst``.  Returns the number of output files planned."""
     files = max(1, -(-folder_bytes(spark, src) // target_file_bytes))
     layer = read_layer(spark, src, schema)
-    write_layer(layer.coalesce(files), dst, partition_by=partition_by)
+    swap_folder(layer.coalesce(files), dst, partition_by)
     return files
 
 
@@ -54,11 +54,16 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def swap_folder(df: DataFrame, target: str) -> None:
-    """Writes ``df`` beside ``target`` and then takes its place."""
+def swap_folder(df: DataFrame, target: str, partition_by: tuple[str, ...] | list[str] = ()) -> None:
+    """Writes ``df`` beside ``target`` and then takes its place, by two
+    renames: the old content stays whole if the write fails, but a reader
+    that comes between the renames finds no folder and must try again, and a
+    driver lost there leaves the old content in ``<target>__old-...``.
+    Readers that cannot bear that read a table of ``sinks/incremental.py``,
+    whose commits switch by one file."""
     spark, target = df.sparkSession, target.rstrip("/")
     new, old = f"{target}__new-{uuid.uuid4().hex[:8]}", f"{target}__old-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(new)
+    write_layer(df, new, partition_by=partition_by)
     had = path_exists(spark, target)
     if had:
         move(spark, target, old)
@@ -105,8 +110,9 @@ def load_table(spark: SparkSession, folder: str, schema: StructType, keys: list[
       log, as the original hourly loader did;
     * P9: fixed target column order; P10: timestamps as text;
     * K4: a Parquet target is written to a new folder beside it and then
-      exchanged, so a failed load leaves the old target whole; a table is
-      replaced by ``mode("overwrite")``.  When the folder is missing or
+      exchanged (``swap_folder``), so a failed load leaves the old target
+      whole; a catalog table is replaced by ``mode("overwrite")``, which
+      drops its files first, so a load that fails there must be repeated.  When the folder is missing or
       holds no rows the target is left untouched, the skip is logged and
       ``None`` returned (the original returned before truncating);
     * rows of ``compacted`` (see ``compact_log``) stand for the batches up

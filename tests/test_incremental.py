@@ -121,3 +121,16 @@ def test_a_late_event_splits_a_stored_interval_and_touches_one_bucket(spark, tmp
     got = inc.read_history(spark, tmp, schema).filter("k = 'k7'").orderBy("version").collect()
     assert [(r.city, r.valid_from, r.valid_to) for r in got] == [("a", t[0], t[1]), ("b", t[1], t[2]), ("a", t[2], None)]
     assert inc.read_history(spark, tmp, schema).count() == 39 + 3
+
+
+def test_incremental_load_from_the_command_line(spark, tmp):
+    from lakeweave import jobs
+    args = ["load", "--name", "revenue", "--root", tmp, "--incremental", "--target", f"{tmp}/table", "--buckets", "4"]
+    write_batch(spark, f"{tmp}/gold/revenue", 0, range(9), 1)
+    jobs.main(args)
+    write_batch(spark, f"{tmp}/gold/revenue", 1, range(5, 12), 2)
+    jobs.main(args)
+    assert loaded(spark, f"{tmp}/table") == expect(spark, f"{tmp}/gold/revenue")
+    assert inc.snapshot(spark, f"{tmp}/table").load == 1
+    with pytest.raises(SystemExit):
+        jobs.main(args[:6])
