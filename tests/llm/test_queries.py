@@ -469,3 +469,20 @@ def test_every_language_is_learned(spark):
     assert len(model.langs) == 70
     out = language_id.predict(spark.createDataFrame(fresh, "lang string, text string"), model).collect()
     assert sum(r.lang == r.lang_pred for r in out) >= 60 and next(r.lang_pred for r in out if r.lang == "l0") == "l0"
+
+
+@pytest.mark.parametrize("name", ["op1_weighted_minhash", "op2_repeats", "op5_line_templates", "op12_prefix_trie"])
+def test_state_is_carried_over_arrow_batches(spark, corpus, tmp, name):
+    """Batches of two rows give what large ones give."""
+    if name == "op12_prefix_trie":
+        corpus = tmp
+        rows = [(c, t, "user", f"t{(c // 3) % (t + 2)}") for c in range(60) for t in range(1 + c % 7)]
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp}/conversations.parquet")
+    want = collect(spark, name, corpus)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+        got = collect(spark, name, corpus)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert sorted(map(str, got)) == sorted(map(str, want))
