@@ -21,6 +21,7 @@ from ..session import drop_scratch, scratch
 
 _shipped: set[str] = set()
 _PATH = "_staged_in"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship(spark: SparkSession) -> None:
@@ -49,10 +50,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back with
     its own schema: cuts the lineage, survives lost executors.  The folder
-    stays until ``session.clear_scratch``."""
+    stays until ``session.clear_scratch``; the shuffle files of the write go
+    as soon as it is done."""
     spark = df.sparkSession
     path = scratch(spark, f"llm-{name}")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     setattr(out, _PATH, path)
     return out

@@ -61,6 +61,34 @@ def test_idf_counts_all_documents(spark):
     assert len(idf.hash) == 1 and abs(idf.weight[0] - 1) < 1e-9 and abs(idf.rare - (1 + math.log(16))) < 1e-9
 
 
+def test_idf_of_rare_shingles_decides_a_link(spark):
+    """Shingles of 1 and of 40 documents, all under the floor of 1024 / 16, have weights of their own: the
+    rare excess of text 1 (weight 1 + ln (1025 / 2) a shingle) parts two texts that equal weights would link."""
+    own = " ".join(f"o{i}" for i in range(5))
+    shared = " ".join(f"s{i}" for i in range(24))
+    rows = [(0, shared), (1, f"{shared} {own}")] + [(i, f"{shared} e{i} " * 4) for i in range(2, 40)]
+    rows += [(i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(40, 1024)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    n, df_of = len(rows), {}
+    for _, text in rows:
+        w = text.split()
+        for s in {tuple(w[k:k + 5]) for k in range(max(len(w) - 4, 1))}:
+            df_of[s] = df_of.get(s, 0) + 1
+    idf = weighted_minhash.learn_idf(df)
+
+    def weight(shingle):
+        w = tb.Words(*tb.flat(__import__("pyarrow").array([" ".join(shingle)])))
+        return float(idf(tb.shingles(w, 5)[0])[0])
+
+    for s in list(df_of)[:60]:
+        assert abs(weight(s) - (1 + math.log((1 + n) / (1 + df_of[s])))) < 1e-9
+    assert {df_of[s] for s in list(df_of)[:60]} >= {1, 40}
+    got = {r.doc_id: r.class_id for r in weighted_minhash.classes(df, bands=40, rows=2).collect()}
+    assert got == fx.weighted_classes(rows, weight)
+    flat = fx.weighted_classes(rows, lambda s: 1.0)
+    assert flat != got and flat[1] == 0 and got[1] == 1
+
+
 def test_large_group_of_near_copies_is_one_class(spark, tmp):
     """A third of the rows are near copies of one text; each has its own edits."""
     import random
