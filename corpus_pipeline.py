@@ -51,9 +51,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ident = F.when(F.col(one).isNotNull(), F.col("doc_id").cast("long")).otherwise(
         -1 - F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2))
     keyed = docs.join(plain, F.col("doc_id") == F.col(one), "left").select(*[docs[c] for c in docs.columns], ident.alias(key))
+    # written once: the operator reads its input several times, and each time would join all texts anew
+    keyed = staged(keyed, "near-keyed")
     kept = weighted_minhash.classes(keyed.select(key, "text"), id_col=key).filter("doc_id = class_id").select(
         F.col("doc_id").alias(one)).distinct()
-    # both sides of the join lie by the id, so taking one row an id needs no further shuffle
+    # both sides of the join lie by the key, so taking one row a key needs no further shuffle
     return keyed.join(kept, F.col(key) == F.col(one)).dropDuplicates([key]).select(*docs.columns)
 
 

@@ -54,3 +54,12 @@ def test_several_texts_of_one_id_stay(spark, corpus):
     rows = [(7, t, *one[2:]) for t in texts] + [(7, texts[0], *one[2:]), (8, fx.prose(rng, 90), *one[2:]), (9, texts[1], *one[2:])]
     kept = P.drop_near_duplicates(spark, spark.createDataFrame(rows, docs.schema), corpus).collect()
     assert sorted(r.text for r in kept) == sorted([*texts, rows[3][1]])
+
+
+def test_near_duplicates_join_texts_once(spark, corpus, monkeypatch):
+    # the operator reads its input several times: it must be the written table, not the join that tells the ids
+    seen, classes = [], P.weighted_minhash.classes
+    monkeypatch.setattr(P.weighted_minhash, "classes", lambda df, **k: seen.append(df) or classes(df, **k))
+    P.drop_near_duplicates(spark, spark.read.parquet(f"{corpus}/documents.parquet"), corpus).collect()
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
