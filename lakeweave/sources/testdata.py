@@ -33,6 +33,7 @@ BROKEN_VALUE = "{bad"
 # bounds the nested array whatever share of all lines one order holds.
 PART_LINES = 1000
 LINE_RANGES = 64
+LINE = ["l_partkey", "l_quantity", "l_extendedprice"]
 # Messages of one order follow each other in their topic partition.
 MAX_PARTS = 1 << 20
 TOPIC_PARTITIONS = 4
@@ -113,26 +114,58 @@ def _order_time(key: Column, day: Column) -> Column:
     return F.timestamp_add("SECOND", F.pmod(key, F.lit(86400)), day)
 
 
+def _line_item() -> Column:
+    return F.struct(
+        _id("P", F.col("l_partkey"), 6).alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.when(~_every(F.col("l_partkey"), NULL_QUANTITY_EVERY), F.col("l_quantity").cast("int")).alias("quantity"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+    )
+
+
 def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of each order cut into parts of ``PART_LINES``:
     ``l_orderkey, part, items, total``.
 
-    Equal lines (same part, quantity and price) are counted, with map-side
-    combining, and never ranked one by one; different lines of an order are
-    ranked in ``LINE_RANGES`` ranges of their part key and the ranges'
-    counts added.  So an order that holds a third of all lines is spread
-    over tasks, and an array never exceeds PART_LINES items.  ``lineitem``
-    is scanned once.
+    Equal lines (same part, quantity and price) are counted first, with
+    map-side combining, and never ranked one by one.  An order of at most
+    PART_LINES lines is one part, whatever their order: its lines are
+    collected in one more shuffle.  The others (at most one for PART_LINES
+    lines of the table) are cut by ``_cut_parts``.  ``lineitem`` is scanned
+    once.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    own = ["l_orderkey", "_range"]
-    line = ["l_partkey", "l_quantity", "l_extendedprice"]
-    # both uses of ``lines`` read one exchange: same filters, no NULL range
+    # all uses of ``lines`` read one exchange: same filters, same columns
     lines = (li.filter(F.col("l_orderkey").isNotNull())
-             .withColumn("_range", F.coalesce(F.pmod("l_partkey", F.lit(LINE_RANGES)), F.lit(0)))
-             .groupBy(*own, *line).agg(F.count(F.lit(1)).alias("_n")))
-    running = Window.partitionBy(*own).orderBy(*line).rowsBetween(Window.unboundedPreceding, -1)
+             .groupBy("l_orderkey", *LINE).agg(F.count(F.lit(1)).alias("_n")))
+    long_ = (lines.groupBy("l_orderkey").agg(F.sum("_n").alias("_all")).filter(F.col("_all") > PART_LINES)
+             .select("l_orderkey", F.lit(True).alias("_long")))
+    tagged = lines.join(F.broadcast(long_), "l_orderkey", "left")
+    item = _line_item()
+    # Every line becomes an item; a part missing from ``part`` leaves the
+    # item's product_name NULL rather than dropping the line.
+    named = lambda lines: lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    each = tagged.filter(F.col("_long").isNull()).select(
+        "l_orderkey", *LINE, F.explode(F.array_repeat(F.lit(True), F.col("_n").cast("int"))))
+    short = named(each).groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(item)).alias("items"),
+        F.round(F.sum("l_extendedprice"), 2).alias("total"),
+    ).select("l_orderkey", F.lit(0).cast("long").alias("part"), "items", "total")
+    cut = _cut_parts(tagged.filter(F.col("_long").isNotNull()).select("l_orderkey", *LINE, "_n"))
+    return short.unionByName(named(cut).groupBy("l_orderkey", "part").agg(
+        F.array_sort(F.flatten(F.collect_list(F.array_repeat(item, F.col("_here"))))).alias("items"),
+        F.round(F.sum(F.col("l_extendedprice") * F.col("_here")), 2).alias("total")))
+
+
+def _cut_parts(counted: DataFrame) -> DataFrame:
+    """Counted lines of long orders, cut into parts: lines of an order are
+    ranked in ``LINE_RANGES`` ranges of their part key and the ranges' counts
+    added.  So an order that holds a third of all lines is spread over
+    tasks, and an array never exceeds PART_LINES items."""
+    own = ["l_orderkey", "_range"]
+    lines = counted.withColumn("_range", F.coalesce(F.pmod("l_partkey", F.lit(LINE_RANGES)), F.lit(0)))
+    running = Window.partitionBy(*own).orderBy(*LINE).rowsBetween(Window.unboundedPreceding, -1)
     ranked = lines.withColumn("_at", F.coalesce(F.sum("_n").over(running), F.lit(0)))
     # lines in the earlier ranges of the order: at most LINE_RANGES rows an order
     earlier = Window.partitionBy("l_orderkey").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -141,21 +174,10 @@ def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ranked.join(before, own).withColumn("_at", F.col("_at") + F.col("_before"))
     # a counted line may reach over several parts
     first, last = F.expr(f"_at div {PART_LINES}"), F.expr(f"(_at + _n - 1) div {PART_LINES}")
-    cut = placed.select("l_orderkey", *line, "_at", "_n", F.explode(F.sequence(first, last)).alias("part"))
+    cut = placed.select("l_orderkey", *LINE, "_at", "_n", F.explode(F.sequence(first, last)).alias("part"))
     here = (F.least(F.col("_at") + F.col("_n"), (F.col("part") + 1) * PART_LINES)
             - F.greatest(F.col("_at"), F.col("part") * PART_LINES)).cast("int")
-    # Every line becomes an item; a part missing from ``part`` leaves the
-    # item's product_name NULL rather than dropping the line.
-    named = cut.withColumn("_here", here).join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    item = F.struct(
-        _id("P", F.col("l_partkey"), 6).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.when(~_every(F.col("l_partkey"), NULL_QUANTITY_EVERY), F.col("l_quantity").cast("int")).alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-    )
-    return named.groupBy("l_orderkey", "part").agg(
-        F.array_sort(F.flatten(F.collect_list(F.array_repeat(item, F.col("_here"))))).alias("items"),
-        F.round(F.sum(F.col("l_extendedprice") * F.col("_here")), 2).alias("total"))
+    return cut.withColumn("_here", here)
 
 
 def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,3 +288,15 @@ MESSAGES = {
 
 def messages(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     return MESSAGES[topic](spark, sf_dir)
+
+
+def message_times(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """``timestamp`` of a topic's messages (each at least once), straight
+    from the table that sets it: no join, no JSON."""
+    name, stamp = {
+        "payments": ("events", F.col("ts")),
+        "orders": ("orders", _order_time(F.col("o_orderkey"), F.col("o_orderdate"))),
+        "inventory": ("lineitem", _order_time(F.col("l_orderkey"), F.col("l_shipdate"))),
+        "customers": ("events", F.col("ts")),
+    }[topic]
+    return table(spark, sf_dir, name).select(event_time(iso_utc(stamp)).alias("timestamp"))

@@ -131,3 +131,19 @@ def test_hot_order_matches_the_oracle(spark, hot_tables, name):
     df = all_queries()[name](spark, hot_tables)
     res = con.sql(oracle_sql()[name])
     assert _bag(df.columns, [tuple(r) for r in df.collect()]) == _bag(res.columns, res.fetchall())
+
+
+def test_short_orders_are_not_ranked(spark, tmp):
+    # no order is longer than PART_LINES: its lines are counted and collected, nothing else
+    _tables(spark, tmp)
+    df = testdata.order_parts(spark, tmp)
+    assert [len(r["items"]) for r in df.collect()] == [9]
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Window" not in plan and plan.count("FileScan parquet [l_orderkey") == 1
+
+
+@pytest.mark.parametrize("topic", sorted(testdata.MESSAGES))
+def test_message_times_are_the_messages_own(spark, topic):
+    sf = "/root/testdata/sf0.001"
+    ends = lambda df: df.agg(F.min("timestamp"), F.max("timestamp")).first()
+    assert ends(testdata.message_times(spark, sf, topic)) == ends(testdata.messages(spark, sf, topic))
