@@ -16,24 +16,32 @@ def column_tests(df: DataFrame, not_null: list[str], unique: list[str]) -> DataF
     column, and rows of each ``unique`` column whose value (not NULL) another
     row has too, less one of each value.
 
-    One scan answers all tests: every row gives one (test, value) a test --
-    a not-null test needs only whether the value is there -- which are
-    counted by value and then by test, combined in the map tasks first, so a
-    frequent value meets nobody as rows.  Counts are exact.
+    One scan answers all tests.  Rows are counted by the value of the
+    ``unique`` column, combined in the map tasks first, so a frequent value
+    meets nobody as rows; NULLs of the other columns are counted along, and a
+    layer that lies by that column already is not shuffled again.  Only
+    with several ``unique`` columns does a row give one value each.  Counts
+    are exact.
     """
-    tests = [(c, "not_null") for c in not_null] + [(c, "unique") for c in unique]
-    values = [F.struct(F.lit(i).alias("i"), F.col(c).isNull().alias("absent"),
-                       (F.lit(None).cast("string") if t == "not_null" else F.col(c).cast("string")).alias("v"))
-              for i, (c, t) in enumerate(tests)]
-    each = df.select(F.explode(F.array(*values)).alias("x")).select("x.*")
-    by_value = each.groupBy("i", "absent", "v").agg(F.count(F.lit(1)).alias("n"))
-    is_unique = F.col("i") >= len(not_null)
-    failed = F.when(is_unique, F.when(F.col("absent"), 0).otherwise(F.col("n") - 1)).otherwise(F.when(F.col("absent"), F.col("n")).otherwise(0))
-    counts = by_value.groupBy("i").agg(F.sum(failed).alias("failures"), F.sum("n").alias("rows"))
-    names = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("column_name"), F.lit(t).alias("test")) for i, (c, t) in enumerate(tests)])
-    listed = df.sparkSession.range(1).select(F.explode(names).alias("t")).select("t.*")
-    return listed.join(counts, "i", "left").select("column_name", "test", F.coalesce("failures", F.lit(0)).cast("long").alias("failures"),
-                                                   F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
+    absent = [F.col(c).isNull().cast("int").alias(f"_null{j}") for j, c in enumerate(not_null)]
+    texts = [F.col(c).cast("string") for c in unique]
+    if len(unique) > 1:
+        each = df.select(*absent, F.posexplode(F.array(*texts)).alias("_i", "_v"))
+    else:
+        each = df.select(*absent, F.lit(0).alias("_i"), (texts or [F.lit(None).cast("string")])[0].alias("_v"))
+    by = ["_i", "_v"] if len(unique) > 1 else ["_v"]
+    once = F.col("_i") == 0                               # a row's NULLs count with its first value
+    nulls = [f"_null{j}" for j in range(len(not_null))]
+    by_value = each.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.count_if(once).alias("_rows"),
+                                     *[F.sum(F.when(once, F.col(c)).otherwise(0)).alias(c) for c in nulls])
+    place = F.col("_i") if len(unique) > 1 else F.lit(0)
+    again = [F.sum(F.when((place == i) & F.col("_v").isNotNull(), F.col("_n") - 1).otherwise(0)).alias(f"_again{i}") for i in range(len(unique))]
+    totals = by_value.agg(F.sum("_rows").alias("_rows"), *[F.sum(c).alias(c) for c in nulls], *again)
+    tests = [(c, "not_null", f"_null{j}") for j, c in enumerate(not_null)] + [(c, "unique", f"_again{i}") for i, c in enumerate(unique)]
+    number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    listed = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"), number(n).alias("failures"),
+                                number("_rows").alias("rows")) for c, t, n in tests])
+    return totals.select(F.explode(listed).alias("t")).select("t.*")
 
 
 def layer_tests(layers: dict[str, tuple[DataFrame, list[str], list[str]]]) -> DataFrame:
