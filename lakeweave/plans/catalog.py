@@ -287,7 +287,9 @@ def _order_lines(orders: DataFrame) -> DataFrame:
 
 
 def _dim_product(lines: DataFrame) -> DataFrame:
-    members = lines.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.max("product_name").alias("product_name"))
+    # different names first: they are combined by hash, a maximum of texts would sort all lines
+    named = lines.filter(F.col("product_id").isNotNull()).select("product_id", "product_name").distinct()
+    members = named.groupBy("product_id").agg(F.max("product_name").alias("product_name"))
     return dimension(members, ["product_id"], "product_key")
 
 
@@ -302,12 +304,16 @@ def q_dim_product(spark, sf):
 
 def q_fact_order_items(spark, sf):
     """Order lines with the keys of the customer's version at the order's (scaled) time and of the product."""
-    orders = silver(spark, sf, "orders", keep=["customer_id", "items"])
-    path = scratch(spark, "fact-lines")
-    write_layer(_order_lines(orders), path)               # read by the product dimension and by the facts
-    lines = read_layer(spark, path, _order_lines(orders).schema)
-    known = resolve(lines.drop("product_name"), _dim_product(lines), ["product_id"], "product_key")
-    facts = resolve_version(known, _dim_customer(spark, sf), ["customer_id"], order_time(), "customer_key")
+    orders = silver(spark, sf, "orders", keep=["customer_id", "items"]).select("order_id", "customer_id", "created_at_ts", "items")
+    path = scratch(spark, "fact-orders")
+    write_layer(orders, path)                             # read by both dimensions' lookups and by the facts
+    orders = read_layer(spark, path, orders.schema)
+    # the version follows from the order alone: looked up once an order, not once a line
+    placed = resolve_version(orders.drop("items"), _dim_customer(spark, sf), ["customer_id"], order_time(), "customer_key")
+    keyed = orders.select("order_id", "items").join(placed.select("order_id", "customer_key"), "order_id")
+    lines = keyed.select("order_id", "customer_key", F.posexplode("items").alias("item_pos", "item")).select(
+        "order_id", "item_pos", "customer_key", "item.product_id", "item.quantity", "item.unit_price")
+    facts = resolve(lines, _dim_product(_order_lines(orders)), ["product_id"], "product_key")
     return facts.select("order_id", "item_pos", "customer_key", "product_key", "quantity",
                         F.round(F.col("quantity") * F.col("unit_price"), 2).alias("amount"))
 

@@ -192,3 +192,24 @@ def test_stream_of_orphans(spark, tmp):
     assert feed(0, [("p1", "o1", 0), ("p2", "o2", 1), ("p3", None, 1)], [("o1", 2), ("o1", 3)]) == []
     assert feed(1, [("p4", "o4", 20)], [("o9", 5)]) == []          # orders are slow: o2 may still come
     assert feed(2, [("p5", "o5", 21)], [("o2", 12), ("o9", 30)]) == ["p2"]         # o2 came 11 hours later: too late
+
+
+def test_one_unique_column_is_counted_without_copies(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", 2), (None, None)], "k string, v int")
+    out = column_tests(df, ["k", "v"], ["k"])
+    assert {(r.column_name, r.test): (r.failures, r.rows) for r in out.collect()} == {
+        ("k", "not_null"): (1, 4), ("v", "not_null"): (2, 4), ("k", "unique"): (1, 4)}
+    # one row a row, by its own value: the one explode left lists the three tests
+    tree = out._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("Generate explode") <= 1 and "Join" not in tree
+    none = column_tests(df.limit(0), ["v"], ["k"]).collect()
+    assert sorted((r.test, r.failures, r.rows) for r in none) == [("not_null", 0, 0), ("unique", 0, 0)]
+    assert [(r.failures, r.rows) for r in column_tests(df, ["v"], []).collect()] == [(2, 4)]
+
+
+def test_facts_look_a_version_up_once_an_order(spark, monkeypatch):
+    from lakeweave.plans import catalog
+    seen, real = [], catalog.resolve_version
+    monkeypatch.setattr(catalog, "resolve_version", lambda facts, *a: seen.append(facts) or real(facts, *a))
+    facts = catalog.q_fact_order_items(spark, "/root/testdata/sf0.001")
+    assert facts.count() > seen[0].count() == seen[0].select("order_id").distinct().count()
