@@ -28,7 +28,7 @@ from ..session import drop_scratch, ensure_dir, move, path_exists, scratch
 from ..sinks.files import create_database, load_table, write_layer
 from ..sinks.incremental import load_increment, read_loaded
 from ..sources.layers import read_envelope_stream, read_layer, read_layer_stream
-from ..sources.testdata import messages
+from ..sources.testdata import message_times, messages
 from ..streaming.runner import run_append, run_update
 
 SLICES = 3
@@ -60,6 +60,16 @@ class Slices:
         if path_exists(self.spark, part):                # a range may hold no rows
             move(self.spark, part, f"{self.src}/part-{i}")
 
+    def replay(self, i: int) -> None:
+        """Hands the files of slice ``i`` over once more: under another name they are new to the stream."""
+        part = f"{self.src}/part-{i}"
+        if path_exists(self.spark, part):
+            move(self.spark, part, f"{self.src}/replay-{i}")
+
+    def rows(self) -> DataFrame:
+        """What was handed over, each row once."""
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(self.src)
+
     def stream(self) -> DataFrame:
         ensure_dir(self.spark, self.src)
         return (self.spark.readStream.schema(self.schema).option("recursiveFileLookup", "true")
@@ -142,40 +152,46 @@ def _bronze_stream(topic: str, shape=lambda df: df):
     return q
 
 
-def silver_stream(spark: SparkSession, sf: str, topic: str, slices: int = 4) -> tuple[DataFrame, list]:
-    """D1 + K2: bronze rows through the silver stream, each slice of arrival
-    order followed in the next batch by its own replay.  The watermark delay
-    is longer than two slices, so replayed rows are not late: only their
-    keys' state can drop them.  Returns silver and the queries' progress."""
+def _replayed_stream(spark: SparkSession, sf: str, topic: str, slices: int) -> tuple[DataFrame, list, Slices]:
+    """``silver_stream`` and the slices it was fed from, which are not dropped."""
     root = scratch(spark, f"silver-stream-{topic}")
     out, ckpt = f"{root}/silver", f"{root}/_checkpoints/silver"
     bronze = to_bronze(messages(spark, sf, topic), ENTITY[topic], stamp=True)
-    write_layer(bronze, f"{root}/once")
-    once = read_layer(spark, f"{root}/once", bronze_schema(ENTITY[topic], stamp=True))
-    r = once.agg(F.min("kafka_timestamp").cast("double").alias("lo"), F.max("kafka_timestamp").cast("double").alias("hi")).first()
+    r = message_times(spark, sf, topic).agg(F.min("timestamp").cast("double").alias("lo"), F.max("timestamp").cast("double").alias("hi")).first()
     lo, hi = r["lo"] or 0.0, r["hi"] or 0.0
-    twice = once.withColumn("_replay", F.explode(F.array(F.lit(0), F.lit(1))))
     width = max((hi - lo) / slices, 1e-6)
-    at = F.least(F.floor((F.col("kafka_timestamp").cast("double") - lo) / width), F.lit(slices - 1))
-    # slice i, then its replay together with nothing else
-    order = (F.coalesce(at, F.lit(0)) * 2 + F.col("_replay")).cast("double")
-    feed = Slices(twice.withColumn("_order", order).drop("_replay"), "_order", f"{root}/slices", 0.0, 2.0 * slices, 2 * slices)
+    # every row is written once
+    feed = Slices(bronze, "kafka_timestamp", f"{root}/slices", lo, hi, slices)
     delay = f"{int(3 * width) + 600} seconds"
     progress = []
-    for i in range(feed.n):
-        feed.hand_over(i)
-        silver = silver_entity(feed.stream().drop("_order"), topic, delay=delay)
+    for step in range(2 * feed.n):
+        # slice i, then its replay together with nothing else
+        feed.replay(step // 2) if step % 2 else feed.hand_over(step // 2)
+        silver = silver_entity(feed.stream(), topic, delay=delay)
         q = _run(run_append(silver, out, ckpt, trigger="availableNow"))
-        progress += [dict(p["stateOperators"][0], slice=i) for p in q.recentProgress if p["stateOperators"]]
-    drop_scratch(spark, f"{root}/slices", f"{root}/once")
-    return read_layer(spark, out, silver_schema(ENTITY[topic], stamp=True)), progress
+        progress += [dict(p["stateOperators"][0], slice=step) for p in q.recentProgress if p["stateOperators"]]
+    return read_layer(spark, out, silver_schema(ENTITY[topic], stamp=True)), progress, feed
+
+
+def silver_stream(spark: SparkSession, sf: str, topic: str, slices: int = 4) -> tuple[DataFrame, list]:
+    """D1 + K2: bronze rows through the silver stream, each slice of arrival
+    order followed in the next batch by its own replay.  The watermark delay
+    is longer than two slices, so replayed rows are not late: only their
+    keys' state can drop them.  Returns silver and the queries' progress."""
+    silver, progress, feed = _replayed_stream(spark, sf, topic, slices)
+    drop_scratch(spark, feed.root)
+    return silver, progress
 
 
-def _silver_stream(topic: str, shape=lambda df, spark, sf: df):
+def _silver_stream(topic: str, shape=lambda df: df, settled: bool = False):
     def q(spark, sf):
-        silver, _ = silver_stream(spark, sf, topic)
+        silver, _, feed = _replayed_stream(spark, sf, topic, 4)
         # of two copies in one micro-batch either may be kept: no offset
-        return shape(silver.drop("ingested_at", "cleaned_at", "offset"), spark, sf)
+        rows = silver.drop("ingested_at", "cleaned_at", "offset")
+        if settled:
+            return _settled_columns(rows, feed.rows())    # which stay until the caller clears them
+        drop_scratch(spark, feed.root)
+        return shape(rows)
     q.__name__ = f"q_silver_{topic}_stream"
     q.__doc__ = "D1 + K2: every bronze row fed twice, each key comes out once."
     return q
@@ -224,20 +240,21 @@ def _items(b: DataFrame) -> DataFrame:
     return b.select(*rest, F.explode_outer("items").alias("item")).select(*rest, "item.*")
 
 
-def _settled_columns(s: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+def _settled_columns(s: DataFrame, bronze: DataFrame) -> DataFrame:
     """Inventory ids repeat with other contents, and of two copies in one
     micro-batch either may be kept: each column of a kept row, where all valid
-    bronze rows of its id agree on it (NULL elsewhere), and how many columns that is."""
-    from .catalog import bronze
+    bronze rows of its id agree on it (NULL elsewhere), and how many columns that is.
+    The kept row is one of those, so they agree where each equals it."""
     key = ENTITY_KEY["inventory"]
-    valid = to_silver(bronze(spark, sf, "inventory"), rules_for("inventory"), stamp=False)
+    valid = to_silver(bronze, rules_for("inventory"), stamp=False)
     rest = [c for c in s.columns if c != key]
-    same = valid.groupBy(key).agg(*[(F.min(c).eqNullSafe(F.max(c)) & F.count(c).isin(F.lit(0), F.count(F.lit(1)))).alias(f"_{c}") for c in rest])
+    both = valid.select(key, *[F.col(c).alias(f"_{c}") for c in rest]).join(s, key)
+    same = both.groupBy(key).agg(*[F.bool_and(F.col(f"_{c}").eqNullSafe(F.col(c))).alias(f"_{c}") for c in rest])
     settled = sum((F.col(f"_{c}").cast("int") for c in rest), F.lit(0))
     return s.join(same, key).select(key, *[F.when(F.col(f"_{c}"), F.col(c)).alias(c) for c in rest], settled.alias("settled"))
 
 
-def _item_count(s: DataFrame, *_) -> DataFrame:
+def _item_count(s: DataFrame) -> DataFrame:
     return s.select(*[c if c != "items" else F.size("items").alias("item_count") for c in s.columns])
 
 
@@ -289,7 +306,7 @@ def stream_queries() -> dict:
         "bronze_customers_stream": _bronze_stream("customers"),
         "silver_dedup_stream": _silver_stream("payments"),
         "silver_orders_stream": _silver_stream("orders", _item_count),
-        "silver_inventory_stream": _silver_stream("inventory", _settled_columns),
+        "silver_inventory_stream": _silver_stream("inventory", settled=True),
         "stamps_payments": _stamps("payments"),
         "gold_revenue_stream_current": q_gold_revenue_stream_current,
         "gold_revenue_stream_final": q_gold_revenue_stream_final,

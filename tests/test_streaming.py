@@ -157,3 +157,23 @@ def test_processing_time_trigger_runs_until_stopped(spark, tmp):
     finally:
         q.stop()
     assert not q.isActive and q.exception() is None
+
+
+def test_replays_are_not_written_again(spark, monkeypatch):
+    from lakeweave.plans import streams
+    from lakeweave.sources.testdata import messages
+    sf, written, calls = "/root/testdata/sf0.001", [], []
+
+    class Counted(streams.Slices):
+        def __init__(self, df, *a, **k):
+            written.append(df.count())
+            super().__init__(df, *a, **k)
+
+    monkeypatch.setattr(streams, "Slices", Counted)
+    monkeypatch.setattr(streams, "messages", lambda *a: calls.append(a) or messages(*a))
+    out = streams.stream_queries()["silver_inventory_stream"](spark, sf)
+    assert out.count() > 0
+    assert written == [messages(spark, sf, "inventory").count()] and len(calls) == 1
+    assert "part" not in {f.rsplit("/", 1)[1] for f in out.inputFiles()}     # the tables are not read again
+
+
