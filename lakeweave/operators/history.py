@@ -77,7 +77,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_at: str |
     side = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     names = [f"_k{i}" for i in range(len(keys))]
     version = F.struct(*columns)
-    rows = left.select(*side, time.alias("_at"), F.lit(1).alias("_kind"), F.struct(*left.columns).alias("_row"),
+    kept = [c for c in left.columns if c not in keys]     # the keys are there already
+    rows = left.select(*side, time.alias("_at"), F.lit(1).alias("_kind"), F.struct(*(kept or [F.lit(1)])).alias("_row"),
                        F.lit(None).cast(right.select(version).schema[0].dataType).alias("_version"),
                        F.xxhash64(*left.columns).alias("_tie"))
     versions = right.dropna(subset=[*keys, right_at]).select(
@@ -91,5 +92,5 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_at: str |
                       ["_before"])
     found = F.coalesce(F.last("_version", ignorenulls=True).over(upto), F.col("_before"))
     joined = drop_layout(both.withColumn("_found", found), names).filter(F.col("_kind") == 1)
-    return joined.select(*[F.col(f"_row.{c}").alias(c) for c in left.columns],
+    return joined.select(*[F.col(f"_k{keys.index(c)}" if c in keys else f"_row.{c}").alias(c) for c in left.columns],
                          *[F.when(F.col("_at").isNotNull(), F.col(f"_found.{c}")).alias(c) for c in columns])

@@ -12,8 +12,10 @@ third of the data alone.  Here a scan is split in two phases:
    its carry-in from the key's other slices, joined back on (key, slice).
 
 The slices are written once to the shared folder (every branch and retry
-sees the same slice numbers), then shuffled once, by (slice, key): the local
-windows, the summaries and the carry joins all use that layout.  Drop the
+sees the same slice numbers), then shuffled once, by (key, slice): the local
+windows, the summaries and the carry joins all use that layout, the key
+first, by which a sort tells most rows apart.  A task gets about
+``TASK_BYTES`` of the written slices, however many there are.  Drop the
 folder with ``session.clear_scratch``.
 
 ``order`` must be a total order per key (break ties on every column) so the
@@ -28,9 +30,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from ..session import scratch
+from ..session import folder_bytes, scratch
 
 _PART = "_scan_part"
+TASK_BYTES = 1 << 24      # of the written slices, for a task of the scan
 
 
 def _surrogates(keys: list[str]) -> tuple[list[str], list[str]]:
@@ -40,7 +43,7 @@ def _surrogates(keys: list[str]) -> tuple[list[str], list[str]]:
 def layout(keys: list[str]) -> list[str]:
     """Columns that rows of ``ranged`` are laid out by."""
     sk, sn = _surrogates(keys)
-    return [_PART, *sk, *sn]
+    return [*sk, *sn, _PART]
 
 
 def ranged(df: DataFrame, keys: list[str], order_by: list[str], partitions: int | None = None) -> DataFrame:
@@ -63,7 +66,10 @@ def ranged(df: DataFrame, keys: list[str], order_by: list[str], partitions: int
         *[F.coalesce(F.col(k), F.lit(0).cast(df.schema[k].dataType)).alias(a) for k, a in zip(keys, sk)],
         *[F.col(k).isNull().alias(a) for k, a in zip(keys, sn)],
     )
-    return tagged.repartition(_PART, *sk, *sn)
+    # left to itself, Spark keeps to its number of shuffle partitions (merging small ones)
+    tasks = folder_bytes(spark, path) // TASK_BYTES
+    many = [tasks] if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else []
+    return tagged.repartition(*many, *layout(keys))
 
 
 def local_window(keys: list[str], order_by: list[str]) -> WindowSpec:

@@ -55,3 +55,18 @@ def test_null_changes_count_as_none_in_any_layout(spark):
     for parts in (1, 4, 12):
         out = clamped_running_sum(df, ["k"], ["o"], "c", 500, "s", partitions=parts)
         assert [r.s for r in out.orderBy("o").collect()] == want
+
+
+def test_tasks_of_a_scan_grow_with_its_rows(spark, monkeypatch):
+    from lakeweave.operators import prefix
+    df = spark.range(4000).selectExpr("id % 50 AS k", "id AS o")
+    few = prefix.ranged(df, ["k"], ["o"])
+    monkeypatch.setattr(prefix, "TASK_BYTES", 1 << 10)
+    many = prefix.ranged(df, ["k"], ["o"])
+    at_most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert few.rdd.getNumPartitions() <= at_most < many.rdd.getNumPartitions()
+
+
+def test_a_scan_sorts_by_the_key_first():
+    from lakeweave.operators.prefix import _PART, layout
+    assert layout(["a", "b"])[-1] == _PART
