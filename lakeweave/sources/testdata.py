@@ -141,18 +141,20 @@ def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
              .groupBy("l_orderkey", *LINE).agg(F.count(F.lit(1)).alias("_n")))
     long_ = (lines.groupBy("l_orderkey").agg(F.sum("_n").alias("_all")).filter(F.col("_all") > PART_LINES)
              .select("l_orderkey", F.lit(True).alias("_long")))
-    tagged = lines.join(F.broadcast(long_), "l_orderkey", "left")
+    # never empty (a flag of order 0, false unless it is long): the plan of short orders stays the same without long ones
+    flags = (long_.unionByName(spark.range(1).select(F.lit(0).cast("long").alias("l_orderkey"), F.lit(False).alias("_long")))
+             .groupBy("l_orderkey").agg(F.bool_or("_long").alias("_long")))
     item = _line_item()
     # Every line becomes an item; a part missing from ``part`` leaves the
     # item's product_name NULL rather than dropping the line.
     named = lambda lines: lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    each = tagged.filter(F.col("_long").isNull()).select(
+    each = lines.join(F.broadcast(flags), "l_orderkey", "left").filter(~F.coalesce("_long", F.lit(False))).select(
         "l_orderkey", *LINE, F.explode(F.array_repeat(F.lit(True), F.col("_n").cast("int"))))
     short = named(each).groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(item)).alias("items"),
         F.round(F.sum("l_extendedprice"), 2).alias("total"),
     ).select("l_orderkey", F.lit(0).cast("long").alias("part"), "items", "total")
-    cut = _cut_parts(tagged.filter(F.col("_long").isNotNull()).select("l_orderkey", *LINE, "_n"))
+    cut = _cut_parts(lines.join(F.broadcast(long_), "l_orderkey").select("l_orderkey", *LINE, "_n"))
     return short.unionByName(named(cut).groupBy("l_orderkey", "part").agg(
         F.array_sort(F.flatten(F.collect_list(F.array_repeat(item, F.col("_here"))))).alias("items"),
         F.round(F.sum(F.col("l_extendedprice") * F.col("_here")), 2).alias("total")))

@@ -147,3 +147,13 @@ def test_message_times_are_the_messages_own(spark, topic):
     sf = "/root/testdata/sf0.001"
     ends = lambda df: df.agg(F.min("timestamp"), F.max("timestamp")).first()
     assert ends(testdata.message_times(spark, sf, topic)) == ends(testdata.messages(spark, sf, topic))
+
+
+def test_order_zero_is_cut_like_any_other(spark, tmp, monkeypatch):
+    _tables(spark, tmp)
+    ship = dt.datetime(1995, 2, 1)
+    spark.createDataFrame([(0, 10 + i, i, 3, 1.0, 10.0, ship) for i in range(6)] + [(4, 10, 1, 3, 1.0, 10.0, ship)], LINE_SCHEMA) \
+        .write.mode("append").parquet(f"{tmp}/lineitem.parquet")
+    monkeypatch.setattr(testdata, "PART_LINES", 4)
+    parts = sorted((r.l_orderkey, r.part, len(r["items"])) for r in testdata.order_parts(spark, tmp).collect())
+    assert parts == [(0, 0, 4), (0, 1, 2), (1, 0, 4), (1, 1, 4), (1, 2, 1), (4, 0, 1)]
