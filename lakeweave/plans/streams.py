@@ -29,7 +29,7 @@ from ..sinks.files import create_database, load_table, write_layer
 from ..sinks.incremental import load_increment, read_loaded
 from ..sources.layers import read_envelope_stream, read_layer, read_layer_stream
 from ..sources.testdata import message_times, messages
-from ..streaming.runner import run_append, run_update
+from ..streaming.runner import run_append, run_update, state_by_task
 
 SLICES = 3
 DELAY = "10 minutes"
@@ -157,7 +157,8 @@ def _replayed_stream(spark: SparkSession, sf: str, topic: str, slices: int) -> t
     root = scratch(spark, f"silver-stream-{topic}")
     out, ckpt = f"{root}/silver", f"{root}/_checkpoints/silver"
     bronze = to_bronze(messages(spark, sf, topic), ENTITY[topic], stamp=True)
-    r = message_times(spark, sf, topic).agg(F.min("timestamp").cast("double").alias("lo"), F.max("timestamp").cast("double").alias("hi")).first()
+    r = message_times(spark, sf, topic).agg(F.min("timestamp").cast("double").alias("lo"), F.max("timestamp").cast("double").alias("hi"),
+                                            F.count(F.lit(1)).alias("n")).first()
     lo, hi = r["lo"] or 0.0, r["hi"] or 0.0
     width = max((hi - lo) / slices, 1e-6)
     # every row is written once
@@ -168,7 +169,9 @@ def _replayed_stream(spark: SparkSession, sf: str, topic: str, slices: int) -> t
         # slice i, then its replay together with nothing else
         feed.replay(step // 2) if step % 2 else feed.hand_over(step // 2)
         silver = silver_entity(feed.stream(), topic, delay=delay)
-        q = _run(run_append(silver, out, ckpt, trigger="availableNow"))
+        with state_by_task(spark, r["n"]):
+            q = run_append(silver, out, ckpt, trigger="availableNow")
+        _run(q)
         progress += [dict(p["stateOperators"][0], slice=step) for p in q.recentProgress if p["stateOperators"]]
     return read_layer(spark, out, silver_schema(ENTITY[topic], stamp=True)), progress, feed
 

@@ -10,7 +10,10 @@ the same folder instead of appending a second copy.  ``current_state``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import ensure_dir, path_exists
@@ -25,6 +28,34 @@ def trigger_kwargs(trigger: str) -> dict:
     return {"processingTime": trigger}
 
 
+# Rows a partition of keyed state is sized for: about 400 bytes a key on the heap
+# while a commit holds the version before and the new one.
+STATE_ROWS = 500_000
+
+
+@contextmanager
+def state_by_task(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Settings for stateful queries started inside, over at most about ``rows``
+    keys: an executor holds the state of the partitions it is working on, not
+    of all that it has worked on, and a partition has at most about
+    ``STATE_ROWS`` keys.
+
+    For queries that are restarted for each batch, where a loaded store is of
+    little use: every batch loads its state from the checkpoint.  A query
+    copies the settings when it starts; the session has its own back afterwards.
+    """
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // STATE_ROWS))
+    conf = {"spark.sql.streaming.stateStore.unloadOnCommit": "true", "spark.sql.shuffle.partitions": str(parts)}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def run_append(df: DataFrame, path: str, checkpoint: str, trigger: str = "10 seconds",
                partition_by: tuple[str, ...] | list[str] = (), fmt: str = "parquet",
                query_name: str | None = None) -> StreamingQuery:

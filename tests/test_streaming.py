@@ -177,3 +177,51 @@ def test_replays_are_not_written_again(spark, monkeypatch):
     assert "part" not in {f.rsplit("/", 1)[1] for f in out.inputFiles()}     # the tables are not read again
 
 
+def _inventory_tables(spark, tmp, lines=64):
+    """Order k has line 1 on day k; every eighth order has it once more, the next day."""
+    base = T(2024, 1, 1)
+    rows = [(k, k % 5, k % 3, 1, 3.0, base + dt.timedelta(days=k + again))
+            for k in range(1, lines + 1) for again in range(2 if k % 8 == 0 else 1)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp") \
+        .write.parquet(f"{tmp}/lineitem.parquet")
+    spark.createDataFrame([(k, f"part {k}") for k in range(5)], "p_partkey long, p_name string").write.parquet(f"{tmp}/part.parquet")
+    return rows
+
+
+def test_replayed_streams_keep_no_state_between_batches(spark, tmp, monkeypatch):
+    """No batch finds a store that an earlier one left loaded, and a stream
+    over more rows gets more partitions; the session keeps its settings."""
+    from lakeweave.plans import streams
+    from lakeweave.streaming import runner
+    rows = _inventory_tables(spark, tmp)
+    monkeypatch.setattr(runner, "STATE_ROWS", 10, raising=False)
+    keys = ["spark.sql.streaming.stateStore.unloadOnCommit", "spark.sql.shuffle.partitions"]
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = [spark.conf.get(k, None) for k in keys]
+    kept = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        silver, progress, feed = streams._replayed_stream(spark, tmp, "inventory", 4)
+    finally:
+        spark.conf.set(provider, kept)
+    assert [spark.conf.get(k, None) for k in keys] == before
+    assert len(progress) > 2 * feed.n                   # some restarts run a second batch, without rows
+    assert sum(p["customMetrics"]["loadedMapCacheHitCount"] for p in progress) == 0
+    assert {p["numShufflePartitions"] for p in progress} == {-(-len(rows) // 10)}
+    # ids of valid messages, once each, though every message came twice or more
+    ids = [r.inventory_id for r in silver.collect()]
+    valid = {f"INV{k:010d}01" for k, *_ in rows if k % 101 and k % 89 and k % 83}
+    assert sorted(ids) == sorted(valid)
+
+
+def test_state_settings_are_put_back(spark):
+    from lakeweave.streaming.runner import STATE_ROWS, state_by_task
+    parts, unload = "spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.unloadOnCommit"
+    old = spark.conf.get(parts)
+    with state_by_task(spark, 0):
+        assert (spark.conf.get(parts), spark.conf.get(unload)) == (old, "true")
+    with pytest.raises(ValueError):
+        with state_by_task(spark, 100 * STATE_ROWS + 1):
+            assert spark.conf.get(parts) == "101"
+            raise ValueError
+    assert spark.conf.get(parts) == old and spark.conf.get(unload, None) is None
